@@ -104,7 +104,7 @@ def merge_phrases(
     """
     docs, key = keyed(docs, key)
     pairs = docs.select(key, F.posexplode(next_pairs(F.col(tokens))).alias("pos", "pair"))
-    pairs = pairs.select(key, "pos", F.col("pair")["0"].alias("w"), F.col("pair")["1"].alias("nx"))
+    pairs = pairs.select(key, "pos", "pair.*").toDF(key, "pos", "w", "nx")
     table = broadcast_if_small(phrases.select("w", "nx"))
     hits = pairs.where("nx IS NOT NULL").join(table, ["w", "nx"], "left_semi")
     found = hits.groupBy(key).agg(F.array_sort(F.collect_list("pos")).alias("_hits"))

@@ -88,7 +88,7 @@ def multi_field(spark, folder):
 
 
 def null_fill(spark, folder):
-    """Quality labels leave documents unmatched; short texts are made null first."""
+    """Short texts are made null first, since the table has no nulls of its own."""
     docs = documents(spark, folder).select("doc_id", F.when(F.col("n_chars") > 500, F.col("text")).alias("text"), "source")
     return shape.null_fill(docs)
 
@@ -304,7 +304,7 @@ def embedding_text(spark, folder):
     as_list = vector_list_text(F.col("embedding"), 5)
     total = F.aggregate(parse_vector(as_list), F.lit(0.0), lambda acc, x: acc + x)
     return vectors.select(
-        "vec_id", vector_text(F.col("embedding"), 5).alias("spaced"), as_list.alias("listed"), F.round(total, 4).alias("total")
+        "vec_id", vector_text(F.col("embedding"), 5).alias("spaced"), as_list.alias("listed"), F.round(total, 5).alias("total")
     )
 
 

@@ -133,8 +133,11 @@ DEFAULT_STOPWORDS = {
 
 
 def default_stopwords(spark: SparkSession) -> DataFrame:
-    rows = [(lang, word) for lang, text in DEFAULT_STOPWORDS.items() for word in text.split()]
-    return spark.createDataFrame(rows, "lang string, word string")
+    return spark.createDataFrame(stopword_rows(), "lang string, word string")
+
+
+def stopword_rows() -> list[tuple[str, str]]:
+    return [(lang, word) for lang, text in DEFAULT_STOPWORDS.items() for word in text.split()]
 
 
 def read_stopwords(spark: SparkSession, folder: str, lang: str, skip_lines: int = 0) -> DataFrame:
@@ -160,13 +163,21 @@ def stopword_lines(spark: SparkSession, folder: str, lang: str, skip_lines: int
 
 def acronyms(spark: SparkSession, lang: str | None = None) -> DataFrame:
     """The default acronyms, of one language or of all."""
-    rows = [("en", a, e) for a, e in EN_ACRONYMS.items()] + [("es", a, e) for a, e in ES_ACRONYMS.items()]
-    table = spark.createDataFrame(rows, "lang string, acronym string, expansion string")
+    table = spark.createDataFrame(acronym_rows(), "lang string, acronym string, expansion string")
     return table if lang is None else table.where(F.col("lang") == lang)
 
 
+def acronym_rows() -> list[tuple[str, str, str]]:
+    return [("en", a, e) for a, e in EN_ACRONYMS.items()] + [("es", a, e) for a, e in ES_ACRONYMS.items()]
+
+
 def contractions(spark: SparkSession) -> DataFrame:
-    """Common English contractions, built from their parts."""
+    """The default contractions: common English ones."""
+    return spark.createDataFrame(contraction_rows(), "lang string, contraction string, expansion string")
+
+
+def contraction_rows() -> list[tuple[str, str, str]]:
+    """(lang, contraction, expansion), built from pronouns, verbs and endings."""
     pronouns = "i you he she it we they that there who what".split()
     endings = {"'ll": "will", "'d": "would", "'ve": "have"}
     rows = [(p + e, f"{p} {full}") for p in pronouns for e, full in endings.items()]
@@ -176,4 +187,4 @@ def contractions(spark: SparkSession) -> DataFrame:
     rows += [(verb + "n't", verb + " not") for verb in negated.split()]
     rows += [("i'm", "i am"), ("can't", "cannot"), ("won't", "will not"), ("shan't", "shall not"), ("let's", "let us")]
     fixed = [(c, "I" + e[1:] if e.startswith("i ") else e) for c, e in rows]
-    return spark.createDataFrame([("en", c, e) for c, e in fixed], "lang string, contraction string, expansion string")
+    return [("en", c, e) for c, e in fixed]
