@@ -293,8 +293,8 @@ def build() -> dict[str, str]:
         tokens("rt", "r1", "turn_id"), filtered("rf", "rt"), phrases("rp", "rf", "turn_id"),
         f"jt AS ({joined('spa', 'tp_out', 'turn_id', 'token', 'text_lemmas', 'text role')})",
         f"jr AS ({joined('spa', 'rp_out', 'turn_id', 'token', 'role_lemmas')})",
-        select="""SELECT turn_id, text AS text_raw_text, role AS role_raw_text, text_lemmas, role_lemmas
-          FROM jt JOIN jr USING (turn_id)""",
+        select="""SELECT split_part(turn_id, '-', 1)::BIGINT AS conv_id, text AS text_raw_text, role AS role_raw_text,
+          text_lemmas, role_lemmas FROM jt JOIN jr USING (turn_id)""",
     )
     sql["prepare_embedded"] = _with(
         STOP,

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import letter_trigrams, words
-from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, keyed, small_rows, written
+from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, written
 
 # Fixed value: label of a text whose language cannot be told.
 OTHER = "Other"
@@ -43,7 +43,7 @@ class LanguageModel:
 
 def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, gram, n) over labelled texts."""
-    grams = labelled.select(F.col(lang_col).alias("lang"), F.explode(letter_trigrams(F.col(text_col))).alias("gram"))
+    grams = explode_each(labelled, [F.col(lang_col).alias("lang")], letter_trigrams(F.col(text_col)), "gram")
     return grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -76,7 +76,7 @@ def predict_language(
     Equal scores go to the first language in alphabetical order.
     """
     docs, key = keyed(docs, key)
-    grams = docs.select(key, F.explode(letter_trigrams(F.col(text_col))).alias("gram"))
+    grams = explode_each(docs, [key], letter_trigrams(F.col(text_col)), "gram")
     found = grams.join(broadcast_if_small(model.weights), "gram", "left")
     indices = range(len(model.languages))
     sums = found.groupBy(key).agg(
@@ -113,12 +113,12 @@ def vote_language(
     ``Other``. Cheap and untrained, but it can only choose among languages that
     have a list.
     """
-    listed = stopwords.select("lang", F.lower("word").alias("word")).distinct()
+    listed = stopwords.select("lang", F.lower("word").alias("word"))
     rows = small_rows(listed, literal_entries)
     if rows is None:
-        return _vote_by_join(docs, text_col, listed, out, key)
+        return _vote_by_join(docs, text_col, listed.distinct(), out, key)
     by_lang: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(set(rows)):
         by_lang.setdefault(row["lang"], []).append(row["word"])
     # Words are found once; the votes then count over the same array.
     voted = docs.withColumn("_words", words(F.lower(text_col)))
@@ -138,7 +138,7 @@ def _vote_result(votes: list[Column], names: list[str]) -> Column:
 
 def _vote_by_join(docs: DataFrame, text_col: str, listed: DataFrame, out: str, key: str | None) -> DataFrame:
     docs, key = keyed(docs, key)
-    spoken = docs.select(key, F.explode(words(F.lower(text_col))).alias("word"))
+    spoken = explode_each(docs, [key], words(F.lower(text_col)), "word")
     votes = spoken.join(broadcast_if_small(listed), "word").groupBy(key, "lang").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), "lang"))["lang"].alias(out))
     return docs.drop(out).join(best, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))

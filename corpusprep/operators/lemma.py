@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import alpha_words
-from corpusprep.work import LITERAL_ENTRIES, attach, broadcast_if_small, keyed, regroup, small_rows
+from corpusprep.work import LITERAL_ENTRIES, attach, broadcast_if_small, explode_each, keyed, regroup, small_rows
 
 # Parts of speech that are kept.
 CONTENT_POS = ("VERB", "NOUN", "ADJ", "PROPN")
@@ -41,7 +41,7 @@ def drop_stopwords(
     words = _words_by_language(stopwords, literal_entries)
     if words is None:
         docs, key = keyed(docs, key)
-        long = docs.select(key, lang.alias("lang"), F.posexplode(tokens).alias("pos", "token"))
+        long = explode_each(docs, [key, lang.alias("lang")], F.col(tokens), "token")
         kept = _anti(long.withColumn("word", fold(F.col("token"))), stopwords)
         return attach(docs, regroup(kept, key, "token", tokens), key, tokens)
     branches = None
@@ -71,7 +71,7 @@ def lookup_lemmas(
     A form that is not listed is its own lemma and has no part of speech.
     """
     docs, key = keyed(docs, key)
-    long = docs.select(key, lang.alias("lang"), F.posexplode(tokens).alias("pos", "form"))
+    long = explode_each(docs, [key, lang.alias("lang")], F.col(tokens), "form")
     reading = F.min(F.struct("lemma", "pos")).alias("reading")
     table = lexicon.groupBy("lang", F.lower("form").alias("folded")).agg(reading)
     table = table.select("lang", "folded", "reading.lemma", F.col("reading.pos").alias("upos"))
@@ -102,12 +102,18 @@ def content_lemmas(
     every token keep their row, with an empty array.
     """
     if lexicon is None:
-        for table, lower in ((surface_stopwords, True), (lemma_stopwords, False)):
-            if table is not None:
-                docs = drop_stopwords(
-                    docs, tokens, table, lang, lower=lower, key=key, literal_entries=literal_entries
-                )
-        return docs.withColumn(tokens, F.transform(tokens, F.lower))
+        # Surface and lemma are the same here, so the case-sensitive list goes
+        # first and the other one compares tokens that are lowercased already.
+        if lemma_stopwords is not None:
+            docs = drop_stopwords(
+                docs, tokens, lemma_stopwords, lang, lower=False, key=key, literal_entries=literal_entries
+            )
+        docs = docs.withColumn(tokens, F.transform(tokens, F.lower))
+        if surface_stopwords is not None:
+            docs = drop_stopwords(
+                docs, tokens, surface_stopwords, lang, lower=False, key=key, literal_entries=literal_entries
+            )
+        return docs
 
     docs, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
     if keep_pos is not None:
@@ -140,10 +146,10 @@ def _anti(long: DataFrame, stopwords: DataFrame) -> DataFrame:
 
 
 def _words_by_language(stopwords: DataFrame, limit: int) -> dict[str, list[str]] | None:
-    rows = small_rows(stopwords.select("lang", "word").distinct(), limit)
+    rows = small_rows(stopwords.select("lang", "word"), limit)
     if rows is None:
         return None
     by_lang: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(set(rows)):
         by_lang.setdefault(row["lang"], []).append(row["word"])
     return by_lang

@@ -12,11 +12,11 @@ to their document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import join_tokens, next_pairs
-from corpusprep.work import broadcast_if_small, keyed, written
+from corpusprep.work import broadcast_if_small, explode_each, keyed, written
 
 # Phrase settings and the sign between merged words.
 MIN_COUNT = 2
@@ -29,7 +29,7 @@ _JOINED, _APART = "\u0001", "\u0002"
 
 def follow_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(w, nx, n): how often token ``w`` is followed by ``nx``; null at a document's end."""
-    follows = docs.select(F.inline(next_pairs(F.col(tokens))).alias("w", "nx"))
+    follows = docs.select(F.inline_outer(next_pairs(F.col(tokens))).alias("w", "nx")).where("w IS NOT NULL")
     return follows.groupBy("w", "nx").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -44,38 +44,35 @@ def bigram_counts(follows: DataFrame) -> DataFrame:
 
 
 def vocabulary(follows: DataFrame) -> DataFrame:
-    """(key, n) over tokens and joined pairs, which share one dictionary.
+    """(key, n, is_token) over tokens and joined pairs, which share one dictionary.
 
     A token that itself reads ``a_b`` and the pair (a, b) are the same entry.
     """
-    return _entries(follows).groupBy("key").agg(F.sum("n").alias("n"))
+    tokens = unigram_counts(follows).select(F.col("token").alias("key"), "n", F.lit(True).alias("is_token"))
+    pairs = bigram_counts(follows).select(F.concat_ws(DELIMITER, "w", "nx").alias("key"), "n", F.lit(False).alias("is_token"))
+    return tokens.unionAll(pairs).groupBy("key").agg(F.sum("n").alias("n"), F.max("is_token").alias("is_token"))
 
 
-def _entries(follows: DataFrame) -> DataFrame:
-    tokens = unigram_counts(follows).select(
-        F.col("token").alias("key"), F.lit(None).cast("string").alias("w"), F.lit(None).cast("string").alias("nx"), "n"
-    )
-    pairs = bigram_counts(follows).select(F.concat_ws(DELIMITER, "w", "nx").alias("key"), "w", "nx", "n")
-    return tokens.unionAll(pairs)
-
-
-def score_phrases(follows: DataFrame, min_count: int = MIN_COUNT, threshold: float = THRESHOLD) -> DataFrame:
+def score_phrases(
+    follows: DataFrame, vocab: DataFrame, min_count: int = MIN_COUNT, threshold: float = THRESHOLD
+) -> DataFrame:
     """Pairs that are phrases: (w, nx, n, n_w, n_nx, score).
 
     ``score = (n - min_count) / (n_w * n_nx) * V`` with V the vocabulary size;
-    a phrase scores above the threshold.
+    a phrase scores above the threshold. ``vocab`` is best a written table, since
+    it is read four times.
     """
-    # Entries with one key are one token and the few ways to split it, never many rows.
-    entry = Window.partitionBy("key")
-    pairs = _entries(follows).withColumn("n", F.sum("n").over(entry)).where("w IS NOT NULL").drop("key")
+    entries = vocab.select("key", "n")
     if threshold >= 0:
         # Rarer pairs cannot score above zero, and most pairs are rare.
-        pairs = pairs.where(F.col("n") > min_count)
-    size = vocabulary(follows).agg(F.count(F.lit(1)).cast("double")).scalar()
-    counts = vocabulary(follows)
+        entries = entries.where(F.col("n") > min_count)
+    pairs = bigram_counts(follows).select("w", "nx", F.concat_ws(DELIMITER, "w", "nx").alias("key"))
+    tokens = vocab.where("is_token")
+    size = vocab.agg(F.count(F.lit(1)).cast("double")).scalar()
     scored = (
-        pairs.join(counts.select(F.col("key").alias("w"), F.col("n").alias("n_w")), "w")
-        .join(counts.select(F.col("key").alias("nx"), F.col("n").alias("n_nx")), "nx")
+        pairs.join(entries, "key")
+        .join(tokens.select(F.col("key").alias("w"), F.col("n").alias("n_w")), "w")
+        .join(tokens.select(F.col("key").alias("nx"), F.col("n").alias("n_nx")), "nx")
         # Doubles, because the product of two large counts does not fit a bigint.
         .withColumn("score", (F.col("n") - min_count) / (F.col("n_w").cast("double") * F.col("n_nx")) * size)
     )
@@ -91,7 +88,8 @@ def learn_phrases(
     corpus is to be scanned once.
     """
     follows = written(follow_counts(docs, tokens), "follow_counts")
-    return written(score_phrases(follows, min_count, threshold), "phrases")
+    vocab = written(vocabulary(follows), "vocabulary")
+    return written(score_phrases(follows, vocab, min_count, threshold), "phrases")
 
 
 def merge_phrases(
@@ -103,7 +101,7 @@ def merge_phrases(
     three tokens that form two overlapping phrases the first two are merged.
     """
     docs, key = keyed(docs, key)
-    pairs = docs.select(key, F.posexplode(next_pairs(F.col(tokens))).alias("pos", "pair"))
+    pairs = explode_each(docs, [key], next_pairs(F.col(tokens)), "pair")
     pairs = pairs.select(key, "pos", "pair.*").toDF(key, "pos", "w", "nx")
     table = broadcast_if_small(phrases.select("w", "nx"))
     hits = pairs.where("nx IS NOT NULL").join(table, ["w", "nx"], "left_semi")

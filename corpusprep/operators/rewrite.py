@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import runs
-from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, keyed, small_rows
+from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows
 
 _APOSTROPHES = "'’"
 
@@ -34,7 +34,7 @@ def expand_acronyms(
     any is left unchanged. Upper and lower case are alike unless ``case_sensitive``.
     """
     match = (lambda run: run) if case_sensitive else F.lower
-    table = _dictionary(acronyms, match(F.col("acronym")))
+    table = acronyms.select("lang", match(F.col("acronym")).alias("word"), "expansion")
     return _replace(docs, text_col, table, lang, "", match, lambda run, found: found, key, literal_entries)
 
 
@@ -61,15 +61,10 @@ def expand_contractions(
         capital = F.concat(F.upper(F.substring(found, 1, 1)), found.substr(F.lit(2), F.length(found)))
         return F.when(first != F.lower(first), capital).otherwise(found)
 
-    table = _dictionary(contractions, match(F.col("contraction")))
+    table = contractions.select("lang", match(F.col("contraction")).alias("word"), "expansion")
     return _replace(docs, text_col, table, lang, _APOSTROPHES, match, render, key, literal_entries)
 
 
-def _dictionary(table: DataFrame, word: Column) -> DataFrame:
-    """(lang, word, found) with one row per language and word."""
-    return table.groupBy("lang", word.alias("word")).agg(F.min("expansion").alias("found"))
-
-
 def _replace(
     docs: DataFrame,
     text_col: str,
@@ -85,9 +80,10 @@ def _replace(
     if entries is None:
         return _replace_by_join(docs, text_col, table, lang, inner, match, render, key)
 
+    # A word that is listed twice has the first of its expansions in sort order.
     by_lang: dict[str, dict[str, str]] = {}
     for row in sorted(entries):
-        by_lang.setdefault(row["lang"], {})[row["word"]] = row["found"]
+        by_lang.setdefault(row["lang"], {}).setdefault(row["word"], row["expansion"])
     text = F.col(text_col)
     branches = None
     for code, words in by_lang.items():
@@ -109,9 +105,9 @@ def _lookup(words: dict[str, str], match, render) -> Callable[[Column], Column]:
 
 def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) -> DataFrame:
     docs, key = keyed(docs, key)
-    pieces = docs.select(
-        key, lang.alias("lang"), F.posexplode(runs(F.col(text_col), inner)).alias("pos", "run")
-    ).withColumn("word", match(F.col("run")))
+    table = table.groupBy("lang", "word").agg(F.min("expansion").alias("found"))
+    pieces = explode_each(docs, [key, lang.alias("lang")], runs(F.col(text_col), inner), "run")
+    pieces = pieces.withColumn("word", match(F.col("run")))
     looked_up = pieces.join(broadcast_if_small(table), ["lang", "word"], "left").select(
         key, "pos", F.when(F.col("found").isNull(), F.col("run")).otherwise(render(F.col("run"), F.col("found"))).alias("run")
     )

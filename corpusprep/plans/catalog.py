@@ -16,19 +16,24 @@ from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, tables
 from corpusprep.sources.mapping import FieldMapping
 from corpusprep.streaming.incremental import process_new_files, read_processed
-from corpusprep.work import new_path, written
+from corpusprep.work import explode_each, new_path, written
 
 DIMS = 64
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tables.read_table(spark, f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    return tables.read_table(spark, f"{folder}/{name}.parquet", spread=spread)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for steps that work hard on each text."""
+    return table(spark, folder, "documents", spread=True)
+
+
 # Sources and sinks
 
 
@@ -67,7 +72,7 @@ TURN_MAPPING = FieldMapping("turn_id", ("role", "text"))
 
 
 def turns(spark, folder):
-    conversations = table(spark, folder, "conversations")
+    conversations = table(spark, folder, "conversations", spread=True)
     return conversations.withColumn("turn_id", F.concat_ws("-", "conv_id", "turn"))
 
 
@@ -108,11 +113,11 @@ def drop_unusable(spark, folder):
 
 
 def lang_model_counts(spark, folder):
-    return language.trigram_counts(documents(spark, folder), "text", "lang")
+    return language.trigram_counts(texts(spark, folder), "text", "lang")
 
 
 def lang_predict_nb(spark, folder):
-    docs = documents(spark, folder)
+    docs = texts(spark, folder)
     model = language.train_language_model(docs, "text", "lang")
     return language.predict_language(docs.select("doc_id", "text"), "text", model, key="doc_id").select(
         "doc_id", "pred_lang"
@@ -121,20 +126,20 @@ def lang_predict_nb(spark, folder):
 
 def lang_predict_turns(spark, folder):
     """The model of the documents labels the turns of conversations, unseen in training."""
-    model = language.train_language_model(documents(spark, folder), "text", "lang")
+    model = language.train_language_model(texts(spark, folder), "text", "lang")
     unlabelled = turns(spark, folder).select("turn_id", "text")
     return language.predict_language(unlabelled, "text", model, key="turn_id").select("turn_id", "pred_lang")
 
 
 def lang_filter(spark, folder):
-    docs = documents(spark, folder)
+    docs = texts(spark, folder)
     model = language.train_language_model(docs, "text", "lang")
     labelled = language.predict_language(docs.select("doc_id", "text", "n_chars"), "text", model, key="doc_id")
     return language.keep_language(labelled, "es").select("doc_id", "text", "n_chars")
 
 
 def lang_vote(spark, folder):
-    docs = documents(spark, folder).select("doc_id", "text")
+    docs = texts(spark, folder).select("doc_id", "text")
     return language.vote_language(docs, "text", lexicons.default_stopwords(spark)).select("doc_id", "pred_lang")
 
 
@@ -143,7 +148,7 @@ def lang_vote(spark, folder):
 
 def acronym_expand(spark, folder):
     """Acronyms of the row's language; some words are turned into acronyms first."""
-    docs = documents(spark, folder).select(
+    docs = texts(spark, folder).select(
         "doc_id", "lang", F.regexp_replace(F.regexp_replace("text", " nd ", " DNA "), " os ", " OMS ").alias("text")
     )
     return rewrite.expand_acronyms(docs, "text", lexicons.acronyms(spark), F.col("lang"))
@@ -154,20 +159,20 @@ def contraction_expand(spark, folder):
     text = F.regexp_replace("text", " is ", " isn't ")
     text = F.regexp_replace(text, " it ", " 'it’s' ")
     text = F.regexp_replace(text, " he ", " He'll ")
-    docs = documents(spark, folder).select("doc_id", "lang", text.alias("text"))
+    docs = texts(spark, folder).select("doc_id", "lang", text.alias("text"))
     return rewrite.expand_contractions(docs, "text", lexicons.contractions(spark), F.col("lang"))
 
 
 def tokens_alpha(spark, folder):
     tokens = tx.alpha_words(F.col("text"))
-    return documents(spark, folder).select(
+    return texts(spark, folder).select(
         "doc_id", F.size(tx.words(F.col("text"))).alias("n_words"), tx.join_tokens(tokens).alias("tokens")
     )
 
 
 def stopword_filter(spark, folder):
     """Surface stopwords go in any case, lemma stopwords only as they are written."""
-    docs = lemma.tokenise(documents(spark, folder).select("doc_id", "lang", "text"), "text")
+    docs = lemma.tokenise(texts(spark, folder).select("doc_id", "lang", "text"), "text")
     stopwords = lexicons.default_stopwords(spark)
     strict = F.struct(F.initcap("word").alias("word"), "lang")
     capital = stopwords.where(F.length("word") > 2).select(strict["lang"].alias("lang"), strict["word"].alias("word"))
@@ -183,7 +188,7 @@ def corpus_lexicon(spark, folder):
     Endings are cut for the lemma and the length decides the part of speech: a
     lexicon that grows with the corpus, and leaves rare forms unlisted.
     """
-    forms = documents(spark, folder).select("lang", F.explode(tx.alpha_words(F.lower("text"))).alias("form"))
+    forms = explode_each(texts(spark, folder), ["lang"], tx.alpha_words(F.lower("text")), "form")
     listed = forms.groupBy("lang", "form").count().where(F.col("count") >= 2)
     stem = F.regexp_replace("form", "(ing|ed|es|s|en)$", "")
     kinds = F.array(*[F.lit(p) for p in ("NOUN", "VERB", "ADJ", "PROPN", "ADP", "DET")])
@@ -197,7 +202,7 @@ def corpus_lexicon(spark, folder):
 
 def lemma_lookup(spark, folder):
     """Lemmas of every token, counted."""
-    docs = lemma.tokenise(documents(spark, folder).select("doc_id", "lang", "text"), "text")
+    docs = lemma.tokenise(texts(spark, folder).select("doc_id", "lang", "text"), "text")
     lexicon = written(corpus_lexicon(spark, folder), "lexicon")
     _, found, _ = lemma.lookup_lemmas(docs, "tokens", lexicon, F.col("lang"), key="doc_id")
     return found.groupBy("lang", "form", "lemma", "upos").agg(F.count(F.lit(1)).alias("n"))
@@ -205,7 +210,7 @@ def lemma_lookup(spark, folder):
 
 def pos_filter(spark, folder):
     """Listed content words only, as lowercased lemmas per document."""
-    docs = lemma.tokenise(documents(spark, folder).select("doc_id", "lang", "text"), "text")
+    docs = lemma.tokenise(texts(spark, folder).select("doc_id", "lang", "text"), "text")
     lexicon = written(corpus_lexicon(spark, folder), "lexicon")
     docs = lemma.content_lemmas(docs, "tokens", F.col("lang"), lexicon=lexicon, keep_unlisted=False, key="doc_id")
     return docs.select("doc_id", F.size("tokens").alias("n_lemmas"), tx.join_tokens(F.col("tokens")).alias("lemmas"))
@@ -213,7 +218,7 @@ def pos_filter(spark, folder):
 
 def _filtered(spark, folder, lang: str | None = None):
     """Tokens without stopwords, lowercased."""
-    docs = documents(spark, folder)
+    docs = texts(spark, folder)
     if lang is not None:
         docs = docs.where(F.col("lang") == lang)
     docs = lemma.tokenise(docs.select("doc_id", "lang", "text"), "text").drop("text")
@@ -275,17 +280,17 @@ def duplicate_ids(spark, folder):
 
 def truncate_tokens(spark, folder):
     tokens = embed.encoder_tokens(F.col("text"), embed.MAX_TOKENS)
-    return documents(spark, folder).select("doc_id", tx.join_tokens(tokens).alias("encoder_input"))
+    return texts(spark, folder).select("doc_id", tx.join_tokens(tokens).alias("encoder_input"))
 
 
 def embed_hash(spark, folder):
-    docs = embed.embed_hash(documents(spark, folder).select("doc_id", "text"), "text", DIMS, key="doc_id")
+    docs = embed.embed_hash(texts(spark, folder).select("doc_id", "text"), "text", DIMS, key="doc_id")
     cells = docs.select("doc_id", F.posexplode("embeddings").alias("dim", "val")).where("val <> 0")
     return cells.select("doc_id", "dim", F.round("val", 6).alias("val"))
 
 
 def embed_word2vec(spark, folder):
-    docs = documents(spark, folder).select("doc_id", "text")
+    docs = texts(spark, folder).select("doc_id", "text")
     vectors = embed.train_word_vectors(docs, "text", dims=16)
     coded = vectors.encode(docs, "text")
     return coded.select("doc_id", F.size("embeddings").alias("n_dims"), vector_text(F.col("embeddings"), 4).alias("vector"))
@@ -334,15 +339,15 @@ def user_model(spark, folder):
     def open_model():
         return lambda texts: [len({c for c in t.lower() if "a" <= c <= "z"}) for t in texts]
 
-    docs = documents(spark, folder).select("doc_id", "text")
+    docs = texts(spark, folder).select("doc_id", "text")
     return extend.apply_model(docs, "text", "n_letters", "int", open_model).select("doc_id", "n_letters")
 
 
 # Whole runs
 
 
-def _preparation(spark, folder, mapping, lang, **options):
-    docs = documents(spark, folder)
+def _preparation(spark, folder, mapping, lang, unique_id=True, **options):
+    docs = texts(spark, folder)
     return prep.Preparation(
         mapping=mapping,
         lang=lang,
@@ -350,7 +355,7 @@ def _preparation(spark, folder, mapping, lang, **options):
         acronyms=lexicons.acronyms(spark),
         contractions=lexicons.contractions(spark),
         surface_stopwords=lexicons.default_stopwords(spark),
-        unique_id=True,
+        unique_id=unique_id,
         **options,
     )
 
@@ -360,12 +365,12 @@ def prepare_titled(spark, folder):
     plan = _preparation(
         spark, folder, TITLED_MAPPING, "en", lexicon=written(corpus_lexicon(spark, folder), "lexicon")
     )
-    return prep.prepare(documents(spark, folder), plan)
+    return prep.prepare(texts(spark, folder), plan)
 
 
 def prepare_fields(spark, folder):
-    """Two text columns of conversations, each with phrases of its own."""
-    plan = _preparation(spark, folder, FieldMapping("turn_id", ("text", "role")), "es")
+    """Two text columns of conversations, each with phrases of its own. Ids repeat."""
+    plan = _preparation(spark, folder, FieldMapping("conv_id", ("text", "role")), "es", unique_id=False)
     return prep.prepare(turns(spark, folder), plan)
 
 

@@ -96,6 +96,9 @@ def prepare(df: DataFrame, plan: Preparation) -> DataFrame:
     times. Each text column gets its own phrases.
     """
     corpus, key, texts = shape_corpus(df, plan)
+    if plan.lexicon is not None and not isinstance(plan.language_by, str):
+        # Looking up lemmas reads the corpus twice; language is to be worked out once.
+        corpus = written(corpus, "corpus")
     names = derived_names(texts, "lemmas")
     tokens = [f"_tokens{i}" for i in range(len(texts))]
     for text, token_col in zip(texts, tokens):
@@ -173,12 +176,12 @@ def run(
 
     paths = []
     if preprocess:
-        df = prepare(read_table(spark, source_path, source_type), plan)
+        df = prepare(read_table(spark, source_path, source_type, spread=True), plan)
         paths.append(save_parquet(df, destination_path, inputs=[source_path]))
     if encode is not None:
         earlier = reuse_result(spark, destination_path)
         if earlier is None:
-            shaped, _, texts = shape_corpus(read_table(spark, source_path, source_type), plan)
+            shaped, _, texts = shape_corpus(read_table(spark, source_path, source_type, spread=True), plan)
             df = shaped.select(plan.mapping.id, *texts)
         else:
             df, texts = earlier

@@ -12,6 +12,7 @@ Users bring their own tables of these shapes. The defaults below are short.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,7 +134,13 @@ DEFAULT_STOPWORDS = {
 
 
 def default_stopwords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(stopword_rows(), "lang string, word string")
+    return local_table(spark, stopword_rows(), "lang", "word")
+
+
+def local_table(spark: SparkSession, rows: list[tuple[str, ...]], *names: str) -> DataFrame:
+    """A short table of strings that is part of the plan and needs no job to be read."""
+    columns = zip(*rows) if rows else [[] for _ in names]
+    return spark.createDataFrame(pa.table({n: pa.array(list(c), pa.string()) for n, c in zip(names, columns)}))
 
 
 def stopword_rows() -> list[tuple[str, str]]:
@@ -163,7 +170,7 @@ def stopword_lines(spark: SparkSession, folder: str, lang: str, skip_lines: int
 
 def acronyms(spark: SparkSession, lang: str | None = None) -> DataFrame:
     """The default acronyms, of one language or of all."""
-    table = spark.createDataFrame(acronym_rows(), "lang string, acronym string, expansion string")
+    table = local_table(spark, acronym_rows(), "lang", "acronym", "expansion")
     return table if lang is None else table.where(F.col("lang") == lang)
 
 
@@ -173,7 +180,7 @@ def acronym_rows() -> list[tuple[str, str, str]]:
 
 def contractions(spark: SparkSession) -> DataFrame:
     """The default contractions: common English ones."""
-    return spark.createDataFrame(contraction_rows(), "lang string, contraction string, expansion string")
+    return local_table(spark, contraction_rows(), "lang", "contraction", "expansion")
 
 
 def contraction_rows() -> list[tuple[str, str, str]]:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class FieldMapping:
@@ -58,6 +61,12 @@ KNOWN_SOURCES = {
 }
 
 
+def read_mappings(spark: SparkSession, path: str) -> dict[str, FieldMapping]:
+    """Mappings from a json file ``{source: {"id": …, "raw_text": …, "title": …}}``."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    return {name: FieldMapping.from_dict(roles) for name, roles in json.loads(text).items()}
+
+
 def find_mapping(source: str, mappings: Mapping[str, FieldMapping | Mapping] = KNOWN_SOURCES) -> FieldMapping:
     """The mapping of a named source; an unknown name is an error."""
     if source not in mappings:

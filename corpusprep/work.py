@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def explode_each(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
+    """One row per array element: ``keep`` columns, ``pos`` from 0, and the element.
+
+    The outer form with a filter behind it, because for the plain form Spark puts
+    a filter on the array's size below, and works out the array twice.
+    """
+    long = df.select(*keep, F.posexplode_outer(array).alias("pos", name))
+    return long.where("pos IS NOT NULL")
+
+
 def regroup(long: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Long form (key, pos, value) back to one array per key, in ``pos`` order."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", value)))
