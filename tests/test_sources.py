@@ -1,0 +1,131 @@
+import json
+
+import pytest
+
+from corpusprep.sources import lexicons, mapping, tables
+from corpusprep.sources.mapping import FieldMapping
+
+
+@pytest.fixture
+def frame(spark):
+    rows = [(1, 'a "quoted", text\nwith a break', "T1"), (2, None, "T2"), (3, "ünï", None)]
+    return spark.createDataFrame(rows, "id bigint, text string, title string")
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_parquet_file_folder_and_list(spark, frame, tmp_path):
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    frame.write.parquet(one)
+    frame.write.parquet(two)
+    assert tables.read_table(spark, one).count() == 3
+    assert tables.read_table(spark, [one, two]).count() == 6
+    assert tables.read_table(spark, one, spread=True).count() == 3
+
+
+def test_large_tables_are_not_spread(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    frame.coalesce(1).write.parquet(path)
+    assert "REPARTITION" in explain(tables.read_table(spark, path, spread=True))
+    monkeypatch.setattr(tables, "SPREAD_BYTES_PER_CORE", 0)
+    assert "REPARTITION" not in explain(tables.read_table(spark, path, spread=True))
+
+
+def explain(df):
+    from tests.conftest import plan_text
+
+    return plan_text(df)
+
+
+def test_csv_keeps_breaks_and_quotes_and_reads_missing_words_as_null(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,text\n1,"a ""b"", c\nd"\n2,NA\n3,nan\n4,\n5,null\n6,Nantes\n7,"x, y"\n')
+    df = tables.read_table(spark, str(tmp_path / "t.csv"), "csv")
+    assert dict(df.dtypes)["id"] == "int"
+    assert rows(df.fillna("-")) == [
+        (1, 'a "b", c\nd'), (2, "-"), (3, "-"), (4, "-"), (5, "-"), (6, "Nantes"), (7, "x, y"),
+    ]
+
+
+def test_unknown_format_is_an_error(spark):
+    with pytest.raises(ValueError, match="unsupported source type 'xlsx'"):
+        tables.read_table(spark, "x.xlsx", "xlsx")
+
+
+def test_mapping_by_name(spark, tmp_path):
+    assert mapping.find_mapping("scopus") == FieldMapping("id", "description", "title")
+    with pytest.raises(ValueError, match="unknown source 'nowhere'"):
+        mapping.find_mapping("nowhere")
+    own = {"mine": {"id": "i", "raw_text": ["a", "b"], "title": "", "//": "a remark"}}
+    assert mapping.find_mapping("mine", own) == FieldMapping("i", ("a", "b"), "")
+    (tmp_path / "m.json").write_text(json.dumps(own))
+    assert mapping.read_mappings(spark, str(tmp_path / "m.json")) == {"mine": FieldMapping("i", ("a", "b"), "")}
+
+
+def test_saving_replaces_a_file_or_a_folder(spark, frame, tmp_path):
+    target = tmp_path / "out.parquet"
+    target.write_text("an old file")
+    tables.save_parquet(frame, str(target))
+    tables.save_parquet(frame.limit(1), str(target))
+    assert spark.read.parquet(str(target)).count() == 1
+    assert spark.read.parquet(str(target)).columns == ["id", "text", "title"]
+
+
+@pytest.mark.parametrize("source", ["/d/in", "/d/in/part", "/d", "file:/d/in", "/d/in/"])
+def test_saving_over_the_input_is_refused(frame, source):
+    with pytest.raises(ValueError, match="overlaps"):
+        tables.save_parquet(frame, "/d/in", inputs=[source])
+
+
+@pytest.mark.parametrize(
+    "path,expected",
+    [
+        ("/d/x.parquet", "/d/x_embeddings.parquet"),
+        ("/d/x", "/d/x_embeddings"),
+        ("/d/x/", "/d/x_embeddings"),
+        ("/a.parquet.d/x.parquet", "/a.parquet.d/x_embeddings.parquet"),
+    ],
+)
+def test_path_for_embeddings(path, expected):
+    assert tables.embeddings_path(path) == expected
+
+
+def test_earlier_results_are_found_by_their_columns(spark, frame, tmp_path):
+    path = str(tmp_path / "r")
+    assert tables.reuse_result(spark, path) is None
+    frame.write.parquet(path)
+    assert tables.reuse_result(spark, path) is None
+    result = frame.selectExpr("id", "text a_raw_text", "title b_raw_text", "text a_lemmas")
+    result.write.mode("overwrite").parquet(path)
+    df, texts = tables.reuse_result(spark, path)
+    assert df.count() == 3 and texts == ["a_raw_text", "b_raw_text"]
+
+
+def test_input_parts(spark, frame, tmp_path):
+    frame.repartition(3, "id").write.parquet(str(tmp_path / "p"))
+    n = len([f for f in (tmp_path / "p").iterdir() if f.name.endswith("parquet")])
+    assert tables.input_parts(spark.read.parquet(str(tmp_path / "p"))).first()["n_parts"] in (n, n - 1)
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_stopword_files(spark, tmp_path, newline):
+    (tmp_path / "en").mkdir()
+    (tmp_path / "en" / "a.txt").write_bytes(newline.join(["one", "two", "three", "four", "straight ", "in case"]).encode())
+    (tmp_path / "en" / "b.txt").write_bytes(newline.join(["x", "y", "z", "four", ""]).encode())
+    (tmp_path / "en" / "short.txt").write_bytes(newline.join(["only", "two"]).encode())
+    (tmp_path / "en" / "readme.md").write_text("not a list")
+    read = lambda skip: {r["word"] for r in lexicons.read_stopwords(spark, str(tmp_path), "en", skip).collect()}
+    assert read(3) == {"four", "straight ", "in case"}
+    assert read(0) == {"one", "two", "three", "four", "straight ", "in case", "x", "y", "z", "only"}
+    assert lexicons.stopword_lines(spark, str(tmp_path), "en", 3).count() == 4
+
+
+def test_default_dictionaries(spark):
+    assert {r["lang"] for r in lexicons.acronyms(spark).collect()} == {"en", "es"}
+    assert lexicons.acronyms(spark, "en").count() == 59
+    assert lexicons.acronyms(spark, "es").count() == 35
+    # A language without acronyms gets none, not those of another language.
+    assert lexicons.acronyms(spark, "de").count() == 0
+    found = {r["contraction"]: r["expansion"] for r in lexicons.contractions(spark).collect()}
+    assert found["you're"] == "you are" and found["can't"] == "cannot" and found["i'm"] == "I am"
