@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import letter_trigrams, words
-from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, written
+from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, unkeyed, written
 
 # Fixed value: label of a text whose language cannot be told.
 OTHER = "Other"
@@ -75,6 +75,7 @@ def predict_language(
 
     Equal scores go to the first language in alphabetical order.
     """
+    given = key
     docs, key = keyed(docs, key)
     grams = explode_each(docs, [key], letter_trigrams(F.col(text_col)), "gram")
     found = grams.join(broadcast_if_small(model.weights), "gram", "left")
@@ -84,7 +85,8 @@ def predict_language(
     )
     scores = [F.col(f"_s{i}") + F.col("_n") * model.unknown[i] for i in indices]
     labels = sums.select(key, _best(scores, model.languages).alias(out))
-    return docs.drop(out).join(labels, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))
+    labelled = docs.drop(out).join(labels, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))
+    return unkeyed(labelled, given)
 
 
 def _best(scores: list[Column], names: list[str]) -> Column:
@@ -137,11 +139,13 @@ def _vote_result(votes: list[Column], names: list[str]) -> Column:
 
 
 def _vote_by_join(docs: DataFrame, text_col: str, listed: DataFrame, out: str, key: str | None) -> DataFrame:
+    given = key
     docs, key = keyed(docs, key)
     spoken = explode_each(docs, [key], words(F.lower(text_col)), "word")
     votes = spoken.join(broadcast_if_small(listed), "word").groupBy(key, "lang").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), "lang"))["lang"].alias(out))
-    return docs.drop(out).join(best, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))
+    labelled = docs.drop(out).join(best, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))
+    return unkeyed(labelled, given)
 
 
 def keep_language(docs: DataFrame, lang: str, label: str = "pred_lang") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import alpha_words
-from corpusprep.work import LITERAL_ENTRIES, attach, broadcast_if_small, explode_each, keyed, regroup, small_rows
+from corpusprep.work import LITERAL_ENTRIES, attach, broadcast_if_small, explode_each, keyed, regroup, small_rows, unkeyed
 
 # Parts of speech that are kept.
 CONTENT_POS = ("VERB", "NOUN", "ADJ", "PROPN")
@@ -40,10 +40,11 @@ def drop_stopwords(
     fold = F.lower if lower else (lambda token: token)
     words = _words_by_language(stopwords, literal_entries)
     if words is None:
+        given = key
         docs, key = keyed(docs, key)
         long = explode_each(docs, [key, lang.alias("lang")], F.col(tokens), "token")
         kept = _anti(long.withColumn("word", fold(F.col("token"))), stopwords)
-        return attach(docs, regroup(kept, key, "token", tokens), key, tokens)
+        return unkeyed(attach(docs, regroup(kept, key, "token", tokens), key, tokens), given)
     branches = None
     for code, listed in words.items():
         kept = F.filter(tokens, _not_in(listed, fold))
@@ -115,6 +116,7 @@ def content_lemmas(
             )
         return docs
 
+    given = key
     docs, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
     if keep_pos is not None:
         long = keep_parts_of_speech(long, keep_pos, keep_unlisted)
@@ -122,7 +124,7 @@ def content_lemmas(
         if table is not None:
             long = _drop_long(long.withColumn("word", word), table, literal_entries)
     kept = long.select(key, "pos", F.lower("lemma").alias("lemma"))
-    return attach(docs, regroup(kept, key, "lemma", tokens), key, tokens)
+    return unkeyed(attach(docs, regroup(kept, key, "lemma", tokens), key, tokens), given)
 
 
 def keep_parts_of_speech(long: DataFrame, keep_pos=CONTENT_POS, keep_unlisted: bool = True) -> DataFrame:

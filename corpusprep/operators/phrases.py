@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import join_tokens, next_pairs
-from corpusprep.work import broadcast_if_small, explode_each, keyed, written
+from corpusprep.work import broadcast_if_small, explode_each, keyed, unkeyed, written
 
 # Phrase settings and the sign between merged words.
 MIN_COUNT = 2
@@ -100,6 +100,7 @@ def merge_phrases(
     Merging goes from left to right and a merged pair is not extended, so of
     three tokens that form two overlapping phrases the first two are merged.
     """
+    given = key
     docs, key = keyed(docs, key)
     pairs = explode_each(docs, [key], next_pairs(F.col(tokens)), "pair")
     pairs = pairs.select(key, "pos", "pair.*").toDF(key, "pos", "w", "nx")
@@ -109,7 +110,7 @@ def merge_phrases(
     joined = docs.join(found, key, "left")
     plain = join_tokens(F.col(tokens))
     merged = F.when(F.col("_hits").isNull(), plain).otherwise(_merge(F.col(tokens), F.col("_hits")))
-    return joined.withColumn(out, merged).drop("_hits")
+    return unkeyed(joined.withColumn(out, merged).drop("_hits"), given)
 
 
 def _merge(tokens: Column, hits: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import runs
-from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows
+from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, unkeyed
 
 _APOSTROPHES = "'’"
 
@@ -104,6 +104,7 @@ def _lookup(words: dict[str, str], match, render) -> Callable[[Column], Column]:
 
 
 def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) -> DataFrame:
+    given = key
     docs, key = keyed(docs, key)
     table = table.groupBy("lang", "word").agg(F.min("expansion").alias("found"))
     pieces = explode_each(docs, [key, lang.alias("lang")], runs(F.col(text_col), inner), "run")
@@ -114,4 +115,4 @@ def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) ->
     parts = F.array_sort(F.collect_list(F.struct("pos", "run")))
     texts = looked_up.groupBy(key).agg(F.array_join(F.transform(parts, lambda e: e["run"]), "").alias("_new"))
     joined = docs.join(texts, key, "left")
-    return joined.withColumn(text_col, F.coalesce("_new", text_col)).drop("_new")
+    return unkeyed(joined.withColumn(text_col, F.coalesce("_new", text_col)).drop("_new"), given)

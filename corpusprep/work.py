@@ -65,6 +65,11 @@ def keyed(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
     return written(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed"), ROW_KEY
 
 
+def unkeyed(df: DataFrame, given: str | None) -> DataFrame:
+    """``df`` without the row number that ``keyed`` added when no key was given."""
+    return df if given is not None else df.drop(ROW_KEY)
+
+
 def small_rows(df: DataFrame, limit: int = LITERAL_ENTRIES) -> list | None:
     """The rows of ``df`` when there are at most ``limit``, otherwise None."""
     rows = df.limit(limit + 1).collect()

@@ -1,0 +1,97 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpusprep.functions.vectors import parse_vector, vector_list_text, vector_text
+from corpusprep.operators import embed
+from corpusprep.operators.extend import apply_model
+
+
+def by_hand(text, dims, max_tokens=None):
+    tokens = text.lower().split()[:max_tokens]
+    vector = [0.0] * dims
+    for token in tokens:
+        digest = hashlib.md5(token.encode()).hexdigest()
+        vector[int(digest[:8], 16) % dims] += 1 if digest[8] < "8" else -1
+    norm = math.sqrt(sum(x * x for x in vector))
+    return [x / norm if norm else x for x in vector]
+
+
+@pytest.mark.parametrize("max_tokens", [None, 3])
+def test_hashed_vectors(spark, max_tokens):
+    texts = ["one two three two Ünï", "", "a " * 50, "ONE two"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    out = embed.embed_hash(df, "t", 16, key="id", max_tokens=max_tokens).orderBy("id").collect()
+    for row, text in zip(out, texts):
+        assert row["embeddings"] == pytest.approx(by_hand(text, 16, max_tokens))
+
+
+def test_equal_ids_keep_their_own_vectors(spark):
+    df = spark.createDataFrame([(1, "one"), (1, "two"), (1, None)], "id bigint, t string")
+    out = embed.embed_hash(df, "t", 8).select("embeddings").collect()
+    expected = [by_hand("one", 8), by_hand("two", 8), [0.0] * 8]
+    assert sorted(r[0] for r in out) == sorted(expected)
+
+
+def test_word_vectors_share_entries_when_the_model_would_be_too_large(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    full = embed.train_word_vectors(docs, "text", dims=4, min_count=5, partitions=2)
+    assert full.buckets is None
+    small = embed.train_word_vectors(docs, "text", dims=4, min_count=1, partitions=2, model_cells=400)
+    assert small.buckets == 100
+    assert small.model.getVectors().count() == 100
+    coded = small.encode(docs, "text")
+    assert coded.columns == ["doc_id", "text", "embeddings"]
+    assert coded.where(F.size("embeddings") == 4).count() == docs.count()
+
+
+def test_text_forms(spark):
+    df = spark.createDataFrame([([0.5, -1e-5, 1e-9, 12345.0, -1e-12],)], "v array<float>")
+    spaced, listed = df.select(vector_text(F.col("v")), vector_list_text(F.col("v"), 2)).first()
+    assert spaced == "0.50000000 -0.00001000 0.00000000 12345.00000000 0.00000000"
+    assert listed == "[0.50, 0.00, 0.00, 12345.00, 0.00]"
+    back = df.select(parse_vector(vector_list_text(F.col("v"), 5)).alias("x")).first()["x"]
+    assert back == pytest.approx([0.5, -1e-5, 0, 12345.0, 0])
+
+
+def test_attached_vectors_join_on_the_id_alone(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, note string")
+    vectors = spark.createDataFrame([(1, [1.0], "x"), (1, [2.0], "y"), (4, [3.0], "z")], "id int, embeddings array<double>, note string")
+    out = embed.attach_embeddings(docs, vectors).collect()
+    assert sorted(tuple(r) for r in out) == [(1, "a", [1.0]), (1, "a", [2.0])]
+
+
+def test_unprocessed(spark):
+    docs, done = spark.createDataFrame([(1,), (2,), (None,)], "id int"), spark.createDataFrame([(2,), (2,)], "id int")
+    assert {r["id"] for r in embed.unprocessed(docs, done, "id").collect()} == {1, None}
+
+
+def test_user_model_is_opened_once_per_task_and_called_in_batches(spark, tmp_path):
+    opened = str(tmp_path / "opened")
+
+    def open_model():
+        import uuid
+        from pathlib import Path
+
+        Path(opened).mkdir(exist_ok=True)
+        (Path(opened) / uuid.uuid4().hex).touch()
+
+        def model(texts):
+            assert len(texts) <= 7
+            return [np.float32([len(t), len(texts)]) for t in texts]
+
+        return model
+
+    df = spark.range(0, 50, 1, 2).select("id", F.repeat(F.lit("x"), F.col("id").cast("int")).alias("t"))
+    out = apply_model(df, "t", "v", "array<float>", open_model, batch_size=7).collect()
+    assert sorted(r["v"][0] for r in out) == list(range(50))
+    assert len(list((tmp_path / "opened").iterdir())) == 2
+
+
+def test_user_model_replaces_a_column_of_the_same_name(spark):
+    df = spark.createDataFrame([(1, "ab")], "id int, t string")
+    out = apply_model(df, "t", "t", "string", lambda: lambda texts: [t.upper() for t in texts])
+    assert out.columns == ["id", "t"] and out.first()["t"] == "AB"
