@@ -76,7 +76,9 @@ def lookup_lemmas(
     reading = F.min(F.struct("lemma", "pos")).alias("reading")
     table = lexicon.groupBy("lang", F.lower("form").alias("folded")).agg(reading)
     table = table.select("lang", "folded", "reading.lemma", F.col("reading.pos").alias("upos"))
-    found = long.withColumn("folded", F.lower("form")).join(broadcast_if_small(table), ["lang", "folded"], "left")
+    found = long.withColumn("folded", F.lower("form")).join(
+        broadcast_if_small(table, measured=lexicon.select("lang", "form", "lemma", "pos")), ["lang", "folded"], "left"
+    )
     found = found.select(key, "lang", "pos", "form", F.coalesce("lemma", "form").alias("lemma"), "upos")
     return docs, found, key
 
@@ -143,8 +145,8 @@ def _drop_long(long: DataFrame, stopwords: DataFrame, literal_entries: int) -> D
 
 
 def _anti(long: DataFrame, stopwords: DataFrame) -> DataFrame:
-    listed = stopwords.select("lang", "word").distinct()
-    return long.join(broadcast_if_small(listed), ["lang", "word"], "left_anti")
+    listed = stopwords.select("lang", "word")
+    return long.join(broadcast_if_small(listed.distinct(), measured=listed), ["lang", "word"], "left_anti")
 
 
 def _words_by_language(stopwords: DataFrame, limit: int) -> dict[str, list[str]] | None:

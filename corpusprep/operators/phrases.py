@@ -54,27 +54,24 @@ def vocabulary(follows: DataFrame) -> DataFrame:
 
 
 def score_phrases(
-    follows: DataFrame, vocab: DataFrame, min_count: int = MIN_COUNT, threshold: float = THRESHOLD
+    pairs: DataFrame, tokens: DataFrame, size: int, min_count: int = MIN_COUNT, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Pairs that are phrases: (w, nx, n, n_w, n_nx, score).
 
-    ``score = (n - min_count) / (n_w * n_nx) * V`` with V the vocabulary size;
-    a phrase scores above the threshold. ``vocab`` is best a written table, since
-    it is read four times.
+    ``pairs`` (w, nx, n) and ``tokens`` (token, n) hold dictionary counts and
+    ``size`` is the number of dictionary entries V. The score is
+    ``(n - min_count) / (n_w * n_nx) * V``; a phrase scores above the threshold.
     """
-    entries = vocab.select("key", "n")
     if threshold >= 0:
         # Rarer pairs cannot score above zero, and most pairs are rare.
-        entries = entries.where(F.col("n") > min_count)
-    pairs = bigram_counts(follows).select("w", "nx", F.concat_ws(DELIMITER, "w", "nx").alias("key"))
-    tokens = vocab.where("is_token")
-    size = vocab.agg(F.count(F.lit(1)).cast("double")).scalar()
+        pairs = pairs.where(F.col("n") > min_count)
     scored = (
-        pairs.join(entries, "key")
-        .join(tokens.select(F.col("key").alias("w"), F.col("n").alias("n_w")), "w")
-        .join(tokens.select(F.col("key").alias("nx"), F.col("n").alias("n_nx")), "nx")
+        pairs.join(tokens.select(F.col("token").alias("w"), F.col("n").alias("n_w")), "w")
+        .join(tokens.select(F.col("token").alias("nx"), F.col("n").alias("n_nx")), "nx")
         # Doubles, because the product of two large counts does not fit a bigint.
-        .withColumn("score", (F.col("n") - min_count) / (F.col("n_w").cast("double") * F.col("n_nx")) * size)
+        .withColumn(
+            "score", (F.col("n") - min_count) / (F.col("n_w").cast("double") * F.col("n_nx")) * F.lit(float(size))
+        )
     )
     return scored.where(F.col("score") > threshold).select("w", "nx", "n", "n_w", "n_nx", "score")
 
@@ -88,8 +85,17 @@ def learn_phrases(
     corpus is to be scanned once.
     """
     follows = written(follow_counts(docs, tokens), "follow_counts")
-    vocab = written(vocabulary(follows), "vocabulary")
-    return written(score_phrases(follows, vocab, min_count, threshold), "phrases")
+    counts = written(unigram_counts(follows), "unigram_counts")
+    pairs = bigram_counts(follows)
+    if counts.where(F.contains("token", F.lit(DELIMITER))).isEmpty():
+        # No token can read like a pair, so every count is its dictionary entry.
+        size = counts.count() + pairs.count()
+    else:
+        vocab = written(vocabulary(follows), "vocabulary")
+        pairs = pairs.select("w", "nx", F.concat_ws(DELIMITER, "w", "nx").alias("key")).join(vocab, "key")
+        counts = vocab.where("is_token").withColumnRenamed("key", "token")
+        size = vocab.count()
+    return written(score_phrases(pairs, counts, size, min_count, threshold), "phrases")
 
 
 def merge_phrases(

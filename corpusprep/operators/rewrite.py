@@ -106,10 +106,10 @@ def _lookup(words: dict[str, str], match, render) -> Callable[[Column], Column]:
 def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) -> DataFrame:
     given = key
     docs, key = keyed(docs, key)
-    table = table.groupBy("lang", "word").agg(F.min("expansion").alias("found"))
+    single = table.groupBy("lang", "word").agg(F.min("expansion").alias("found"))
     pieces = explode_each(docs, [key, lang.alias("lang")], runs(F.col(text_col), inner), "run")
     pieces = pieces.withColumn("word", match(F.col("run")))
-    looked_up = pieces.join(broadcast_if_small(table), ["lang", "word"], "left").select(
+    looked_up = pieces.join(broadcast_if_small(single, measured=table), ["lang", "word"], "left").select(
         key, "pos", F.when(F.col("found").isNull(), F.col("run")).otherwise(render(F.col("run"), F.col("found"))).alias("run")
     )
     parts = F.array_sort(F.collect_list(F.struct("pos", "run")))

@@ -38,7 +38,21 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/corpusprep/{uuid.uuid4().hex}/{name}"
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/corpusprep/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the tables this application has written to its work folder.
+
+    DataFrames that still read them can no longer be used, so call it when all
+    results are saved.
+    """
+    own = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -76,19 +90,22 @@ def small_rows(df: DataFrame, limit: int = LITERAL_ENTRIES) -> list | None:
     return rows if len(rows) <= limit else None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, measured: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Mark ``df`` for broadcast only when its measured size is within the bound.
 
     Beyond the bound the join is left to a shuffle, where adaptive execution
-    splits skewed keys. Pass a written or source table: it is read once to be
-    measured.
+    splits skewed keys. The table is read once to be measured; when it is derived,
+    ``measured`` names the table behind it that is at least as large.
     """
+    measured = df if measured is None else measured
     widths = [
         F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8)
-        for f in df.schema.fields
+        for f in measured.schema.fields
     ]
     per_row = sum(widths[1:], widths[0]) + F.lit(16)
-    size = df.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
+    size = measured.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
     return F.broadcast(df) if size <= max_bytes else df
 
 

@@ -60,7 +60,7 @@ def test_large_models_are_not_broadcast(spark, data, monkeypatch):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     model = language.train_language_model(docs, "text", "lang")
     usual = language.predict_language(docs, "text", model, key="doc_id").select("doc_id", "pred_lang")
-    monkeypatch.setattr(language, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(language, "broadcast_if_small", lambda df, *_, **__: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffled = language.predict_language(docs, "text", model, key="doc_id").select("doc_id", "pred_lang")

@@ -56,7 +56,7 @@ def test_join_without_broadcast_gives_the_same(spark, monkeypatch):
     docs = [[rng.choice("abcd") for _ in range(rng.randrange(40))] for _ in range(100)]
     pairs = {("a", "b"), ("c", "c"), ("b", "a")}
     usual = merged(spark, docs, pairs)
-    monkeypatch.setattr(ph, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(ph, "broadcast_if_small", lambda df, *_, **__: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert merged(spark, docs, pairs) == usual
@@ -78,10 +78,11 @@ def brute_scores(docs, min_count, threshold):
     return found
 
 
+@pytest.mark.parametrize("odd_token", ["a_b", "ab"])
 @pytest.mark.parametrize("min_count,threshold", [(2, 0.5), (1, 1.0), (2, -1.0)])
-def test_scores_against_brute_force(spark, min_count, threshold):
+def test_scores_against_brute_force(spark, min_count, threshold, odd_token):
     rng = random.Random(7)
-    docs = [[rng.choice(["a", "b", "c", "d", "a_b", "e"]) for _ in range(rng.randrange(30))] for _ in range(60)]
+    docs = [[rng.choice(["a", "b", "c", "d", odd_token, "e"]) for _ in range(rng.randrange(30))] for _ in range(60)]
     docs += [["new", "york", "is"]] * 5
     learned = ph.learn_phrases(frame(spark, docs), "tokens", min_count, threshold).collect()
     expected = brute_scores(docs, min_count, threshold)
@@ -108,7 +109,7 @@ def test_a_token_that_looks_like_a_pair_shares_its_entry(spark):
 def test_scores_of_very_large_counts(spark):
     """Products of counts go beyond a bigint."""
     follows = spark.createDataFrame([("a", "b", 4 * 10**12), ("b", None, 4 * 10**12)], "w string, nx string, n bigint")
-    scored = ph.score_phrases(follows, ph.vocabulary(follows), 2, 0.0).collect()
+    scored = ph.score_phrases(ph.bigram_counts(follows), ph.unigram_counts(follows), 3, 2, 0.0).collect()
     assert scored[0]["score"] == pytest.approx(3 / (4 * 10**12))
 
 

@@ -1,6 +1,7 @@
 """What the physical plans look like, since that decides how they scale."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import corpusprep.work as work
@@ -71,6 +72,15 @@ def test_work_dir_follows_the_session(spark, tmp_path):
         assert work.work_dir(spark).startswith("file:")
 
 
+def test_work_of_this_application_is_cleared(spark):
+    path = work.new_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    assert spark.sparkContext.applicationId in path
+    work.clear_work(spark)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
 def test_row_keys_are_unique_and_stable(spark):
     df, key = work.keyed(spark.range(1000).repartition(7), None)
     first = sorted(df.collect())
