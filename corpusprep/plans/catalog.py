@@ -254,7 +254,7 @@ def phrase_scores(spark, folder):
 
 def phrase_merge(spark, folder):
     """Flagship: phrases of the whole corpus, merged into every document."""
-    docs = written(_filtered(spark, folder).select("doc_id", "tokens"), "tokens")
+    docs = written(_filtered(spark, folder).select("doc_id", "tokens"), "tokens", spread=True)
     learned = phrases.learn_phrases(docs)
     return phrases.merge_phrases(docs, learned, key="doc_id").select("doc_id", "lemmas")
 

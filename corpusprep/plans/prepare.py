@@ -98,13 +98,13 @@ def prepare(df: DataFrame, plan: Preparation) -> DataFrame:
     corpus, key, texts = shape_corpus(df, plan)
     if plan.lexicon is not None and not isinstance(plan.language_by, str):
         # Looking up lemmas reads the corpus twice; language is to be worked out once.
-        corpus = written(corpus, "corpus")
+        corpus = written(corpus, "corpus", spread=True)
     names = derived_names(texts, "lemmas")
     tokens = [f"_tokens{i}" for i in range(len(texts))]
     for text, token_col in zip(texts, tokens):
         corpus = add_tokens(corpus, plan, key, text, token_col)
     if plan.ngrams:
-        corpus = written(corpus, "tokens")
+        corpus = written(corpus, "tokens", spread=True)
     for text, token_col, name in zip(texts, tokens, names):
         if plan.ngrams:
             phrases = plan.phrases.get(text)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.work import spread_small
+
 # Cell contents that a csv reader takes as missing.
 CSV_NULL_WORDS = (
     "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -14,9 +16,6 @@ CSV_NULL_WORDS = (
 
 FORMATS = ("parquet", "csv")
 
-# A table with fewer bytes per core than this is dealt out over all cores.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
-
 
 def read_table(
     spark: SparkSession,
@@ -33,11 +32,11 @@ def read_table(
     inference reads them one more time, and switch ``multi_line`` off when no
     field holds a line break, since only then can one file be split over tasks.
 
-    A row group is read by one task. ``spread`` deals a table out evenly when it
-    is too small to give every core work; larger tables are not shuffled.
+    ``spread`` deals a table out evenly when it is too small to give every core
+    work, see ``spread_small``.
     """
     if spread:
-        return _spread(read_table(spark, path, source_type, schema, multi_line), path)
+        return spread_small(read_table(spark, path, source_type, schema, multi_line), path)
     if source_type == "parquet":
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(*([path] if isinstance(path, str) else path))
@@ -50,19 +49,6 @@ def read_table(
     raise ValueError(f"unsupported source type {source_type!r}; supported: {', '.join(FORMATS)}")
 
 
-def _spread(df: DataFrame, path: str | list[str]) -> DataFrame:
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = sum(_size(spark, p) for p in ([path] if isinstance(path, str) else path))
-    return df.repartition(cores) if size < cores * SPREAD_BYTES_PER_CORE else df
-
-
-def _size(spark: SparkSession, path: str) -> int:
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(pattern) or [])
-
-
 def _null_words(df: DataFrame) -> DataFrame:
     return df.select(
         *[

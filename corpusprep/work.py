@@ -14,6 +14,9 @@ LITERAL_ENTRIES = 10_000
 # Raw bytes of a table that may be broadcast (its hash table is a few times larger).
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# A table with fewer bytes per core than this may be dealt out over all cores.
+SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
+
 ROW_KEY = "_row"
 
 
@@ -55,16 +58,37 @@ def clear_work(spark: SparkSession) -> None:
     own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Cuts the lineage: later steps neither recompute ``df`` nor depend on the
-    executors that produced it.
+    executors that produced it. ``spread`` is for tables of texts, see
+    ``spread_small``.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    return spread_small(table, path) if spread else table
+
+
+def spread_small(df: DataFrame, path: str | list[str]) -> DataFrame:
+    """Deal out ``df``, read from ``path``, when its few files leave cores without work.
+
+    A row group is read by one task, however hard that task then works on each
+    text. Only small tables are shuffled for this; the bound is in bytes per core.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = files = 0
+    for one in [path] if isinstance(path, str) else path:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(one)
+        system = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(pattern) or []:
+            summary = system.getContentSummary(found.getPath())
+            size += summary.getLength()
+            files += summary.getFileCount()
+    return df.repartition(cores) if files < cores and size < cores * SPREAD_BYTES_PER_CORE else df
 
 
 def keyed(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
@@ -76,7 +100,7 @@ def keyed(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
     """
     if key is not None:
         return df, key
-    return written(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed"), ROW_KEY
+    return written(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed", spread=True), ROW_KEY
 
 
 def unkeyed(df: DataFrame, given: str | None) -> DataFrame:

@@ -35,9 +35,7 @@ def test_scans_read_only_the_columns_they_need(spark, data, name, columns):
 
 
 def test_row_wise_queries_do_not_shuffle(spark, data, monkeypatch):
-    from corpusprep.sources import tables
-
-    monkeypatch.setattr(tables, "SPREAD_BYTES_PER_CORE", 0)
+    monkeypatch.setattr(work, "SPREAD_BYTES_PER_CORE", 0)
     for name in ("tokens_alpha", "lemmas_column", "acronym_expand", "contraction_expand", "lang_vote", "truncate_tokens"):
         text = plan_text(QUERIES[name](spark, data))
         assert "Exchange" not in text, name

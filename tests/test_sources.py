@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from corpusprep import work
 from corpusprep.sources import lexicons, mapping, tables
 from corpusprep.sources.mapping import FieldMapping
 
@@ -29,7 +30,7 @@ def test_large_tables_are_not_spread(spark, frame, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     frame.coalesce(1).write.parquet(path)
     assert "REPARTITION" in explain(tables.read_table(spark, path, spread=True))
-    monkeypatch.setattr(tables, "SPREAD_BYTES_PER_CORE", 0)
+    monkeypatch.setattr(work, "SPREAD_BYTES_PER_CORE", 0)
     assert "REPARTITION" not in explain(tables.read_table(spark, path, spread=True))
 
 
