@@ -24,7 +24,7 @@ from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, k
 OTHER = "Other"
 
 _MILLION = 1_000_000
-_MAX_LANGUAGES = 200
+_MAX_LANGUAGES = 1000
 
 
 @dataclass(frozen=True)

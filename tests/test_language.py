@@ -40,8 +40,8 @@ def test_counts_use_the_whole_text(spark):
 
 
 def test_too_many_labels_are_refused(spark):
-    df = spark.range(300).select(F.col("id").cast("string").alias("lang"), F.lit("abc").alias("t"))
-    with pytest.raises(ValueError, match="more than 200"):
+    df = spark.range(1100).select(F.col("id").cast("string").alias("lang"), F.lit("abc").alias("t"))
+    with pytest.raises(ValueError, match="more than 1000"):
         language.train_language_model(df, "t", "lang")
 
 
