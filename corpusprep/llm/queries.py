@@ -4,8 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe, quality_rules, simhash
+from corpusprep.llm import bpe, decontaminate, licences, quality_rules, simhash, warc
 from corpusprep.llm.common import table
+from corpusprep.work import new_path
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality_rules.*")
 
 
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archive(table(spark, sf_dir, "pages"), new_path(spark, "archive"))
+    back = warc.read_archive(spark, path)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
+    items = F.col("overlap.items")
+    return found.select(
+        "doc_id",
+        "overlap.n_words",
+        "overlap.n_hit",
+        F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array(items), ","), 256).alias("items_sha256"),
+        (F.col("overlap.n_hit") > 0).alias("contaminated"),
+    )
+
+
 BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -36,6 +57,72 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_quality_rules, op7_byte_bpe)}
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_simhash_near_dedup,
+        op3_quality_rules,
+        op4_warc_archive,
+        op6_decontamination,
+        op7_byte_bpe,
+        op8_licence_scan,
+    )
+}
+
+
+def _canonical_line_sql(line: str) -> str:
+    plain = f"trim(regexp_replace(lower({line}), '{licences.NOT_WORD}', ' ', 'g'))"
+    changed = plain
+    for pattern, spelling in licences.SPELLINGS:
+        changed = f"regexp_replace({changed}, '{pattern}', '{spelling.replace('$', chr(92))}', 'g')"
+    return (
+        f"CASE WHEN regexp_matches(lower({line}), '{licences.COPYRIGHT_LINE}') THEN NULL "
+        f"WHEN regexp_matches({plain}, '{licences.MAY_CHANGE}') THEN {changed} ELSE {plain} END"
+    )
+
+
+def _known_sql() -> str:
+    quoted = [(licence, text.replace("'", "''")) for licence, text in licences.TEXTS.items()]
+    quoted += [(i, form.format(name)) for i, names in licences.NAMES.items() for name in names for form in licences.NOTICES]
+    return ", ".join(f"('{licence}', '{text}')" for licence, text in quoted)
+
+
+def _lines_sql(text: str) -> str:
+    lines = f"list_transform(string_split({text}, chr(10)), lambda l: {_canonical_line_sql('l')})"
+    return f"list_filter({lines}, lambda l: l IS NOT NULL AND l <> '')"
+
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_archive": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+        ), m AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS last FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+        FROM m""",
+    "op8_licence_scan": f"""
+        WITH known AS (
+            SELECT sha256(array_to_string({_lines_sql("text")}, ' ')) AS digest, min(licence) AS licence
+            FROM (VALUES {_known_sql()}) AS k(licence, text) GROUP BY 1
+        ), forms AS (
+            SELECT row_number() OVER () AS row, doc_id, {_lines_sql("text")} AS lines FROM documents
+        ), whole AS (
+            SELECT *, CASE WHEN array_to_string(lines, ' ') <> '' THEN sha256(array_to_string(lines, ' ')) END AS text_digest
+            FROM forms
+        ), by_line AS (
+            SELECT row, licence FROM (SELECT row, sha256(unnest(lines)) AS digest FROM forms) JOIN known USING (digest)
+        ), by_text AS (SELECT row, licence FROM whole JOIN known ON text_digest = digest
+        ), counted AS (SELECT row, count(*) AS n FROM by_line GROUP BY row
+        ), named AS (
+            SELECT row, string_agg(licence, ',' ORDER BY licence) AS licences
+            FROM (SELECT * FROM by_line UNION SELECT * FROM by_text) GROUP BY row
+        )
+        SELECT doc_id, text_digest, by_text.licence AS licence, coalesce(n, 0) AS n_licence_lines,
+               coalesce(licences, '') AS licences
+        FROM whole LEFT JOIN by_text USING (row) LEFT JOIN counted USING (row) LEFT JOIN named USING (row)""",
+}
