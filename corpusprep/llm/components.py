@@ -67,4 +67,5 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     else:
         raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)

@@ -4,11 +4,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe, decontaminate, licences, quality_rules, simhash, warc
+from corpusprep.llm import bpe, decontaminate, licences, line_dedup, quality_rules, simhash, warc
 from corpusprep.llm.common import table
 from corpusprep.work import new_path
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_copies(docs, counts=True).select("doc_id", "n_lines", "n_copies", "text")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -64,6 +69,7 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_simhash_near_dedup,
         op3_quality_rules,
         op4_warc_archive,
