@@ -124,15 +124,22 @@ def broadcast_if_small(
     ``measured`` names the table behind it that is at least as large.
     """
     measured = df if measured is None else measured
-    widths = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(8)
-        for f in measured.schema.fields
-    ]
+    widths = [_width(f) for f in measured.schema.fields]
     per_row = sum(widths[1:], widths[0]) + F.lit(16)
     size = measured.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
     return F.broadcast(df) if size <= max_bytes else df
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of a value, at least; nested values count as their JSON text."""
+    value = F.col("`" + field.name.replace("`", "``") + "`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(F.struct(value))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(8)
+    return F.coalesce(F.octet_length(value), F.lit(0))
+
+
 def explode_each(df: DataFrame, keep: list, array: Column, name: str) -> DataFrame:
     """One row per array element: ``keep`` columns, ``pos`` from 0, and the element.
 
