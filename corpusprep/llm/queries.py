@@ -4,7 +4,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusprep.llm import bpe, decontaminate, licences, line_dedup, quality_rules, simhash, warc
+from corpusprep.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    language_id,
+    licences,
+    line_dedup,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    warc,
+)
 from corpusprep.llm.common import table
 from corpusprep.work import new_path
 
@@ -32,6 +43,11 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.train(table(spark, sf_dir, "documents"))
+    return language_id.identify(table(spark, sf_dir, "pages"), model)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_overlaps(docs, table(spark, sf_dir, "benchmark"))
@@ -66,6 +82,23 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    scores = quality_classifier.score_documents(docs, trees)
+    return scores.select(
+        "doc_id",
+        quality_classifier.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars", "n_shared")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -73,9 +106,12 @@ QUERIES = {
         op2_simhash_near_dedup,
         op3_quality_rules,
         op4_warc_archive,
+        op5_language_id,
         op6_decontamination,
         op7_byte_bpe,
         op8_licence_scan,
+        op9_quality_classifier,
+        op10_html_extraction,
     )
 }
 
