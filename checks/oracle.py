@@ -6,6 +6,7 @@ merged with window functions, for instance, and lookups are joins.
 
 from __future__ import annotations
 
+from corpusprep.plans.catalog import COMPOUND_ACRONYMS
 from corpusprep.sources import lexicons
 
 WORD = r"[\p{L}\p{M}\p{N}_]+"
@@ -101,9 +102,12 @@ def language(table: str, key: str) -> str:
     )
 
 
-def expand(name: str, table: str, key: str, dictionary: str, keep: str, inner: str = "", text: str = "text") -> str:
-    """CTE (key, keep, text): whole-word replacement."""
+def expand(
+    name: str, table: str, key: str, dictionary: str, keep: str, inner: str = "", text: str = "text", whole: str = ""
+) -> str:
+    """CTE (key, keep, text): whole-word replacement. ``whole``: a pattern of entries that are not one run."""
     run = f"{RUN}(?:[{inner}]{RUN})*" if inner else RUN
+    run = f"{whole}|{run}" if whole else run
     run = run.replace("'", "''")
     shown = "found"
     if inner:
@@ -162,7 +166,14 @@ def build() -> dict[str, str]:
         tokens("tok", "(SELECT doc_id, lang, lower(text) AS text FROM documents)", "doc_id"),
         select=joined("(SELECT doc_id, text AS raw_text FROM documents)", "tok", "doc_id", "form", "lemmas", "raw_text"),
     )
-    sql["input_parts"] = "SELECT 1::BIGINT AS n_parts WHERE EXISTS (SELECT 1 FROM documents)"
+    sql["input_parts"] = "SELECT 7::BIGINT AS n_parts"
+    sql["stopword_load"] = f"""SELECT word, count(*) AS n_given, true AS listed FROM
+      (SELECT unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM documents)
+      WHERE length(word) <= 4 GROUP BY word"""
+    sql["resume_parts"] = "SELECT doc_id, length(text) AS n_chars, 2::INTEGER AS n_taken FROM documents"
+    sql["embed_word2vec"] = f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM documents),
+      v AS (SELECT word FROM w GROUP BY 1 HAVING count(*) >= 2)
+      SELECT doc_id, 16::INTEGER AS n_dims, doc_id IN (SELECT doc_id FROM w JOIN v USING (word)) AS has_vector FROM documents"""
     sql["apply_mapping"] = "SELECT doc_id, text AS raw_text FROM documents"
     sql["title_concat"] = "SELECT doc_id, source || ' ' || text AS raw_text FROM documents"
     sql["multi_field"] = _with(
@@ -198,12 +209,19 @@ def build() -> dict[str, str]:
       FROM documents d LEFT JOIN won w ON w.doc_id = d.doc_id AND r = 1""",
     )
 
-    acronym_text = "replace(replace(text, ' nd ', ' DNA '), ' os ', ' OMS ')"
+    acronym_text = """replace(replace(replace(replace(text, ' nd ', ' DNA '), ' os ', ' OMS '), ' of ', ' R&D '), ' the ',
+      ' Covid-19 ')"""
+    compounds = _values(COMPOUND_ACRONYMS)
     sql["acronym_expand"] = _with(
         ACRONYMS,
+        f"acx AS (SELECT * FROM acr UNION ALL SELECT * FROM {compounds} t(lang, word, found))",
+        # The other languages have no such entries, and their pieces are looked up one by one.
         f"src AS (SELECT doc_id, lang, {acronym_text} AS text FROM documents)",
-        expand("ex", "src", "doc_id", "acr", "lang"),
-        select="SELECT doc_id, lang, text FROM ex",
+        "src_en AS (SELECT * FROM src WHERE lang = 'en')",
+        "src_other AS (SELECT * FROM src WHERE lang <> 'en')",
+        expand("ex", "src_en", "doc_id", "acx", "lang", whole="(?i:R&D|COVID-19)"),
+        expand("eo", "src_other", "doc_id", "acx", "lang"),
+        select="SELECT doc_id, lang, text FROM ex UNION ALL SELECT doc_id, lang, text FROM eo",
     )
     contraction_text = "replace(replace(replace(text, ' is ', ' isn''t '), ' it ', ' ''it’s'' '), ' he ', ' He''ll ')"
     sql["contraction_expand"] = _with(
@@ -302,9 +320,16 @@ def build() -> dict[str, str]:
         tokens("tok", "deu", "doc_id"),
         filtered("fil", "tok"),
         f"j AS ({joined('deu', 'fil', 'doc_id', 'w', 'lemmas')})",
-        hashed("deu", "doc_id", 384),
+        hashed("deu", "doc_id"),
         select="SELECT doc_id, length(lemmas)::INTEGER AS n_lemma_chars, dim, val FROM j JOIN cells USING (doc_id)",
     )
+    sql["prepare_csv"] = _with(
+        STOP,
+        "deu AS (SELECT doc_id, lang, replace(text, chr(10), ' ') AS text FROM documents WHERE lang = 'de' AND text <> 'nan')",
+        tokens("tok", "deu", "doc_id"),
+        filtered("fil", "tok"),
+        select=joined("deu", "fil", "doc_id", "w", "lemmas"),
+    )
     return sql
 
 

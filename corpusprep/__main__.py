@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from corpusprep.operators.embed import MAX_TOKENS
+from corpusprep.operators.extend import model_encoder, named_model
 from corpusprep.operators.language import train_language_model
 from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, mapping, tables
@@ -30,7 +30,10 @@ def arguments(argv=None) -> argparse.Namespace:
     parser.add_argument("--no_preproc", action="store_true")
     parser.add_argument("--do_embeddings", action="store_true")
     parser.add_argument("--embeddings_dims", type=int, default=64)
-    parser.add_argument("--max_sequence_length", type=int, default=MAX_TOKENS)
+    parser.add_argument("--encoder", help="module:function that opens a model (texts -> lists of numbers); hashed words otherwise")
+    parser.add_argument("--max_sequence_length", type=int, help="tokens that the encoder reads; whole texts otherwise")
+    parser.add_argument("--csv_schema", help="columns and types of a csv source, as in 'id bigint, text string'")
+    parser.add_argument("--csv_one_line_rows", action="store_true", help="no csv field has a line break; files can be split")
     parser.add_argument("--unique_id", action="store_true", help="no id occurs twice; saves one write")
     return parser.parse_args(argv)
 
@@ -59,10 +62,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         ngrams=not args.no_ngrams,
         unique_id=args.unique_id,
     )
-    encode = prep.hash_encoder(args.embeddings_dims, args.max_sequence_length) if args.do_embeddings else None
+    encode = None
+    if args.do_embeddings and args.encoder:
+        encode = model_encoder(named_model(args.encoder))
+    elif args.do_embeddings:
+        encode = prep.hash_encoder(args.embeddings_dims, args.max_sequence_length)
     return prep.run(
         spark, args.source_path, args.destination_path, plan, args.source_type, not args.no_preproc, encode,
-        max_words=args.max_sequence_length, as_text=True,
+        max_words=args.max_sequence_length, as_text=True, schema=args.csv_schema, multi_line=not args.csv_one_line_rows,
     )
 
 

@@ -20,18 +20,25 @@ def alpha_words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?<![{_WORD}])(\p{{L}}++)(?![{_WORD}])"), F.lit(1))
 
 
-def is_alpha(token: Column) -> Column:
-    return token.rlike(r"^\p{L}+$")
+def run_pattern(inner: str = "") -> str:
+    word = r"[\p{L}\p{N}_]+"
+    return f"{word}(?:[{inner}]{word})*" if inner else word
 
 
-def runs(text: Column, inner: str = "") -> Column:
+def runs(text: Column, inner: str = "", compounds: list[str] | tuple[str, ...] = (), any_case: bool = True) -> Column:
     """Split text into word runs and the stretches between them; nothing is lost.
 
     ``inner`` lists characters that may stand inside a word, such as apostrophes.
+    ``compounds`` are entries with other characters inside, such as ``R&D``; where
+    one stands as a whole word it is one piece, the longest first.
     """
-    word = r"[\p{L}\p{N}_]+"
-    whole = f"{word}(?:[{inner}]{word})*" if inner else word
-    return F.regexp_extract_all(text, F.lit(rf"({whole}|[^\p{{L}}\p{{N}}_]+)"), F.lit(1))
+    other = r"[^\p{L}\p{N}_]"
+    if not compounds:
+        return F.regexp_extract_all(text, F.lit(rf"({run_pattern(inner)}|{other}+)"), F.lit(1))
+    listed = "|".join(rf"\Q{c}\E" for c in sorted(compounds, key=lambda c: (-len(c), c)))
+    entry = rf"(?<![\p{{L}}\p{{N}}_])(?{'iu' if any_case else ''}:{listed})(?![\p{{L}}\p{{N}}_])"
+    pattern = rf"({entry}|{run_pattern(inner)}|(?:(?!{entry}){other})+)"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
 def word_count(text: Column) -> Column:

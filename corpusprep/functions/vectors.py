@@ -6,19 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _numbers(vector: Column, digits: int) -> Column:
-    # A decimal prints in plain notation, without an exponent or a negative zero.
-    kind = f"decimal({18 + digits},{digits})"
-    return F.transform(vector, lambda x: x.cast("double").cast(kind).cast("string"))
+def _numbers(vector: Column, digits: int | None) -> Column:
+    def as_text(x: Column) -> Column:
+        number = x.cast("string")
+        if digits is not None:
+            # A decimal prints in plain notation, without an exponent or a negative zero. NaN and the infinities stay.
+            number = F.coalesce(x.cast("double").try_cast(f"decimal({18 + digits},{digits})").cast("string"), number)
+        return F.coalesce(number, F.lit("NaN"))
 
+    return F.transform(vector, as_text)
 
-def vector_text(vector: Column, digits: int = 8) -> Column:
-    """Numbers separated by one space."""
+
+def vector_text(vector: Column, digits: int | None = None) -> Column:
+    """Numbers separated by one space: as many as the vector has, a missing one as NaN.
+
+    Every number reads back as the same number; with ``digits`` they are rounded instead.
+    """
     return F.array_join(_numbers(vector, digits), " ")
 
 
-def vector_list_text(vector: Column, digits: int = 8) -> Column:
-    """Numbers as ``[a, b, c]``."""
+def vector_list_text(vector: Column, digits: int | None = None) -> Column:
+    """Numbers as ``[a, b, c]``, otherwise as ``vector_text``."""
     return F.concat(F.lit("["), F.array_join(_numbers(vector, digits), ", "), F.lit("]"))
 
 

@@ -115,10 +115,11 @@ def vote_language(
     ``Other``. Cheap and untrained, but it can only choose among languages that
     have a list.
     """
-    listed = stopwords.select("lang", F.lower("word").alias("word"))
+    listed = stopwords.select("lang", F.lower("word").alias("word")).dropna()
+    columns = [c for c in docs.columns if c != out] + [out]
     rows = small_rows(listed, literal_entries)
     if rows is None:
-        return _vote_by_join(docs, text_col, listed.distinct(), out, key)
+        return _vote_by_join(docs, text_col, listed.distinct(), out, key).select(columns)
     by_lang: dict[str, list[str]] = {}
     for row in sorted(set(rows)):
         by_lang.setdefault(row["lang"], []).append(row["word"])
@@ -126,7 +127,7 @@ def vote_language(
     voted = docs.withColumn("_words", words(F.lower(text_col)))
     votes = [F.size(F.filter("_words", _is_in(listed))) for listed in by_lang.values()]
     names = list(by_lang)
-    return voted.withColumn(out, _vote_result(votes, names)).drop("_words")
+    return voted.withColumn(out, _vote_result(votes, names)).select(columns)
 
 
 def _is_in(listed: list[str]):

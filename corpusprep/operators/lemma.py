@@ -38,6 +38,7 @@ def drop_stopwords(
     without it the comparison is case-sensitive, as is done for lemmas.
     """
     fold = F.lower if lower else (lambda token: token)
+    stopwords = stopwords.select("lang", "word").dropna()
     words = _words_by_language(stopwords, literal_entries)
     if words is None:
         given = key
@@ -74,6 +75,7 @@ def lookup_lemmas(
     docs, key = keyed(docs, key)
     long = explode_each(docs, [key, lang.alias("lang")], F.col(tokens), "form")
     reading = F.min(F.struct("lemma", "pos")).alias("reading")
+    lexicon = lexicon.dropna(subset=["lang", "form"])
     table = lexicon.groupBy("lang", F.lower("form").alias("folded")).agg(reading)
     table = table.select("lang", "folded", "reading.lemma", F.col("reading.pos").alias("upos"))
     found = long.withColumn("folded", F.lower("form")).join(
@@ -135,12 +137,13 @@ def keep_parts_of_speech(long: DataFrame, keep_pos=CONTENT_POS, keep_unlisted: b
 
 
 def _drop_long(long: DataFrame, stopwords: DataFrame, literal_entries: int) -> DataFrame:
+    stopwords = stopwords.select("lang", "word").dropna()
     words = _words_by_language(stopwords, literal_entries)
     if words is None:
         return _anti(long, stopwords)
     stop = F.lit(False)
     for code, listed in words.items():
-        stop = stop | ((F.col("lang") == code) & F.col("word").isin(listed))
+        stop = stop | F.coalesce((F.col("lang") == code) & F.col("word").isin(listed), F.lit(False))
     return long.where(~stop)
 
 

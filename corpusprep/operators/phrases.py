@@ -23,9 +23,6 @@ MIN_COUNT = 2
 THRESHOLD = 20.0
 DELIMITER = "_"
 
-# Separators while merging: a phrase boundary, and any other token boundary.
-_JOINED, _APART = "\u0001", "\u0002"
-
 
 def follow_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(w, nx, n): how often token ``w`` is followed by ``nx``; null at a document's end."""
@@ -120,16 +117,28 @@ def merge_phrases(
 
 
 def _merge(tokens: Column, hits: Column) -> Column:
-    """Merge at ``hits``, the sorted positions of tokens that begin a phrase."""
-    starts = F.concat(F.array(F.lit(0)), F.transform(hits, lambda p: p + 1))
-    ends = F.concat(hits, F.array(F.size(tokens) - 1))
+    """Merge at ``hits``, the sorted positions of tokens that begin a phrase.
+
+    A hit right behind a merged one is its second word, so it is passed over.
+    """
+    none = F.array().cast("array<int>")
+    begins = F.aggregate(
+        hits,
+        F.struct(F.lit(-2).alias("last"), none.alias("kept")),
+        lambda state, hit: F.when(hit == state["last"] + 1, state).otherwise(
+            F.struct(hit.alias("last"), F.concat(state["kept"], F.array(hit)).alias("kept"))
+        ),
+        lambda state: state["kept"],
+    )
+    ends = F.concat(F.array(F.lit(0)), F.transform(begins, lambda p: p + 2))
     stretches = F.zip_with(
-        starts, ends, lambda s, e: F.array_join(F.slice(tokens, s + 1, e - s + 1), _APART)
+        ends,
+        F.concat(begins, F.array(F.size(tokens))),
+        lambda start, stop: F.concat(
+            F.slice(tokens, start + 1, stop - start),
+            F.when(
+                stop < F.size(tokens), F.array(F.concat_ws(DELIMITER, F.get(tokens, stop), F.get(tokens, stop + 1)))
+            ).otherwise(F.array().cast("array<string>")),
+        ),
     )
-    marked = F.array_join(stretches, _JOINED)
-    # Matches do not overlap and come from the left, which is the order of merging:
-    # the boundary after a merged pair is consumed and becomes an ordinary one.
-    token = f"([^{_JOINED}{_APART}]+)"
-    pattern = f"{token}{_JOINED}{token}[{_JOINED}{_APART}]?"
-    merged = F.regexp_replace(marked, pattern, f"$1{DELIMITER}$2{_APART}")
-    return F.rtrim(F.translate(merged, _APART, " "))
+    return join_tokens(F.flatten(stretches))

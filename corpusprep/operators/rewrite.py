@@ -2,7 +2,9 @@
 
 A text is split once into words and the stretches between them, each word is
 looked up, and the pieces are put together again. A dictionary of checked size
-is held in the expression, so no row moves. A larger one is joined.
+is held in the expression, so no row moves. A larger one is joined. Entries that
+are not one word run, such as ``COVID-19``, are kept whole by the split; there may
+be 10,000 of them.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusprep.functions.text import runs
+from corpusprep.functions.text import run_pattern, runs
 from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, unkeyed
 
 _APOSTROPHES = "'’"
@@ -32,10 +34,11 @@ def expand_acronyms(
 
     Each row uses the acronyms of its own language ``lang``; a language without
     any is left unchanged. Upper and lower case are alike unless ``case_sensitive``.
+    Entries may hold any characters; of those that fit at one place the longest counts.
     """
     match = (lambda run: run) if case_sensitive else F.lower
     table = acronyms.select("lang", match(F.col("acronym")).alias("word"), "expansion")
-    return _replace(docs, text_col, table, lang, "", match, lambda run, found: found, key, literal_entries)
+    return _replace(docs, text_col, table, lang, "", match, lambda run, found: found, key, literal_entries, case_sensitive)
 
 
 def expand_contractions(
@@ -75,23 +78,45 @@ def _replace(
     render: Callable[[Column, Column], Column],
     key: str | None,
     literal_entries: int,
+    case_sensitive: bool = False,
 ) -> DataFrame:
+    table = table.dropna()
+    compounds = _compounds(table, inner)
+
+    def split(text: Column, code: str) -> Column:
+        return runs(text, inner, compounds.get(code, ()), not case_sensitive)
+
     entries = small_rows(table, literal_entries)
+    text = F.col(text_col)
     if entries is None:
-        return _replace_by_join(docs, text_col, table, lang, inner, match, render, key)
+        pieces = runs(text, inner)
+        for code in compounds:
+            pieces = F.when(lang == code, split(text, code)).otherwise(pieces)
+        return _replace_by_join(docs, text_col, table, lang, pieces, match, render, key)
 
     # A word that is listed twice has the first of its expansions in sort order.
     by_lang: dict[str, dict[str, str]] = {}
     for row in sorted(entries):
         by_lang.setdefault(row["lang"], {}).setdefault(row["word"], row["expansion"])
-    text = F.col(text_col)
     branches = None
     for code, words in by_lang.items():
-        replaced = F.array_join(F.transform(runs(text, inner), _lookup(words, match, render)), "")
+        replaced = F.array_join(F.transform(split(text, code), _lookup(words, match, render)), "")
         branches = F.when(lang == code, replaced) if branches is None else branches.when(lang == code, replaced)
     return docs if branches is None else docs.withColumn(text_col, branches.otherwise(text))
 
 
+def _compounds(table: DataFrame, inner: str) -> dict[str, list[str]]:
+    """The words of each language that a split into runs would take apart."""
+    rows = small_rows(table.where(~F.col("word").rlike(f"^{run_pattern(inner)}$")).select("lang", "word").distinct())
+    if rows is None:
+        raise ValueError(f"more than {LITERAL_ENTRIES} entries are not one word")
+    found: dict[str, list[str]] = {}
+    for code, word in sorted(rows):
+        if word:
+            found.setdefault(code, []).append(word)
+    return found
+
+
 def _lookup(words: dict[str, str], match, render) -> Callable[[Column], Column]:
     expansions = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
 
@@ -103,11 +128,11 @@ def _lookup(words: dict[str, str], match, render) -> Callable[[Column], Column]:
     return replace
 
 
-def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) -> DataFrame:
-    given = key
+def _replace_by_join(docs, text_col, table, lang, pieces, match, render, key) -> DataFrame:
+    given, columns = key, docs.columns
     docs, key = keyed(docs, key)
     single = table.groupBy("lang", "word").agg(F.min("expansion").alias("found"))
-    pieces = explode_each(docs, [key, lang.alias("lang")], runs(F.col(text_col), inner), "run")
+    pieces = explode_each(docs, [key, lang.alias("lang")], pieces, "run")
     pieces = pieces.withColumn("word", match(F.col("run")))
     looked_up = pieces.join(broadcast_if_small(single, measured=table), ["lang", "word"], "left").select(
         key, "pos", F.when(F.col("found").isNull(), F.col("run")).otherwise(render(F.col("run"), F.col("found"))).alias("run")
@@ -115,4 +140,4 @@ def _replace_by_join(docs, text_col, table, lang, inner, match, render, key) ->
     parts = F.array_sort(F.collect_list(F.struct("pos", "run")))
     texts = looked_up.groupBy(key).agg(F.array_join(F.transform(parts, lambda e: e["run"]), "").alias("_new"))
     joined = docs.join(texts, key, "left")
-    return unkeyed(joined.withColumn(text_col, F.coalesce("_new", text_col)).drop("_new"), given)
+    return unkeyed(joined.withColumn(text_col, F.coalesce("_new", text_col)).drop("_new"), given).select(columns)

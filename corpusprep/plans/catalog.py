@@ -15,7 +15,7 @@ from corpusprep.operators import embed, extend, language, lemma, phrases, qualit
 from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, tables
 from corpusprep.sources.mapping import FieldMapping
-from corpusprep.streaming.incremental import process_new_files, read_processed
+from corpusprep.streaming.incremental import process_missing_parts, process_new_files, read_processed
 from corpusprep.work import explode_each, new_path, written
 
 DIMS = 64
@@ -61,7 +61,43 @@ def saved_result(spark, folder):
 
 
 def input_parts(spark, folder):
-    return tables.input_parts(documents(spark, folder))
+    """Documents are written as seven files, one of them without rows, and the files counted."""
+    path = new_path(spark, "parts.parquet")
+    kept = documents(spark, folder).select("doc_id", F.pmod("doc_id", F.lit(6)).alias("part"))
+    for part in range(7):
+        kept.where(F.col("part") == part).coalesce(1).write.mode("append").parquet(path)
+    return tables.input_parts(spark.read.parquet(path))
+
+
+def stopword_load(spark, folder):
+    """Lists made of the documents' words: both kinds of line ends, repeats, a header; read back, distinct and given."""
+    path = new_path(spark, "lists")
+    words = texts(spark, folder).select("doc_id", F.explode(tx.words(F.lower("text"))).alias("word"))
+    ends = {"\n": "doc_id % 2 = 0", "\r\n": "doc_id % 2 = 1"}
+    for end, which in ends.items():
+        rows = words.where(which).where("length(word) <= 4").select("word")
+        rows.write.option("lineSep", end).mode("append").text(f"{path}/en")
+    given = lexicons.stopword_lines(spark, path, "en").groupBy("word").agg(F.count(F.lit(1)).alias("n_given"))
+    distinct = lexicons.read_stopwords(spark, path, "en").withColumn("listed", F.lit(True))
+    return given.join(distinct.drop("lang"), "word").select("word", "n_given", "listed")
+
+
+def resume_parts(spark, folder):
+    """Four part files, two of them done before: the rest is processed, and all results are read together."""
+    base = new_path(spark, "resume")
+    docs = documents(spark, folder).select("doc_id", F.col("text").alias("raw_text"))
+    for part in range(4):
+        path = f"{base}/in/documents_part_{part}.parquet"
+        docs.where(F.pmod("doc_id", F.lit(4)) == part).write.parquet(path)
+
+    def step(df):
+        return df.select("doc_id", F.length("raw_text").cast("bigint").alias("n_chars"))
+
+    for part in (0, 2):
+        step(spark.read.parquet(f"{base}/in/documents_part_{part}.parquet")).write.parquet(f"{base}/out/documents_part_{part}.parquet")
+    taken = process_missing_parts(spark, f"{base}/in", f"{base}/out", step)
+    done = spark.read.option("recursiveFileLookup", True).parquet(f"{base}/out")
+    return done.withColumn("n_taken", F.lit(len(taken)))
 
 
 # Projections and filters
@@ -145,13 +181,21 @@ def lang_vote(spark, folder):
 
 # Text
 
+# Acronyms that are not one word.
+COMPOUND_ACRONYMS = [
+    ("en", "R&D", "research and development"),
+    ("en", "COVID-19", "coronavirus disease"),
+    ("en", "COVID", "coronavirus"),
+]
+
 
 def acronym_expand(spark, folder):
     """Acronyms of the row's language; some words are turned into acronyms first."""
-    docs = texts(spark, folder).select(
-        "doc_id", "lang", F.regexp_replace(F.regexp_replace("text", " nd ", " DNA "), " os ", " OMS ").alias("text")
-    )
-    return rewrite.expand_acronyms(docs, "text", lexicons.acronyms(spark), F.col("lang"))
+    text = F.regexp_replace(F.regexp_replace("text", " nd ", " DNA "), " os ", " OMS ")
+    text = F.regexp_replace(F.regexp_replace(text, " of ", " R&D "), " the ", " Covid-19 ")
+    docs = texts(spark, folder).select("doc_id", "lang", text.alias("text"))
+    table = lexicons.acronyms(spark).unionByName(lexicons.local_table(spark, COMPOUND_ACRONYMS, "lang", "acronym", "expansion"))
+    return rewrite.expand_acronyms(docs, "text", table, F.col("lang"))
 
 
 def contraction_expand(spark, folder):
@@ -291,9 +335,10 @@ def embed_hash(spark, folder):
 
 def embed_word2vec(spark, folder):
     docs = texts(spark, folder).select("doc_id", "text")
-    vectors = embed.train_word_vectors(docs, "text", dims=16)
+    vectors = embed.train_word_vectors(docs, "text", dims=16, min_count=2)
     coded = vectors.encode(docs, "text")
-    return coded.select("doc_id", F.size("embeddings").alias("n_dims"), vector_text(F.col("embeddings"), 4).alias("vector"))
+    zero = F.forall("embeddings", lambda x: x == 0)
+    return coded.select("doc_id", F.size("embeddings").alias("n_dims"), (~zero).alias("has_vector"))
 
 
 def embedding_join(spark, folder):
@@ -318,7 +363,7 @@ def unprocessed_docs(spark, folder):
 
 
 def incremental_embed(spark, folder):
-    """Documents arrive in two files; each run of the stream takes only what is new."""
+    """Documents arrive in three steps; each run of the stream takes only what is new, however old its files are."""
     base = new_path(spark, "incremental")
     docs = documents(spark, folder).select("doc_id", F.col("text").alias("raw_text"), "lang")
     step = prep.hash_encoder(DIMS, None, "doc_id")
@@ -326,13 +371,25 @@ def incremental_embed(spark, folder):
     def take(batch):
         return step(batch, "raw_text", "embeddings")
 
-    for n, arrived in enumerate((docs.where("lang = 'en'"), docs.where("lang <> 'en'"))):
+    steps = (docs.where("lang = 'en'"), docs.where("lang IN ('fr', 'de')"), docs.where("lang NOT IN ('en', 'fr', 'de')"))
+    for n, arrived in enumerate(steps):
         arrived.write.mode("append").parquet(f"{base}/in")
+        if n == 1:
+            _make_older(spark, f"{base}/in", days=30)
         process_new_files(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", take, docs.schema)
     cells = read_processed(spark, f"{base}/out").select("doc_id", F.posexplode("embeddings").alias("dim", "val"))
     return cells.where("val <> 0").select("doc_id", "dim", F.round("val", 6).alias("val"))
 
 
+def _make_older(spark, path: str, days: int) -> None:
+    """Set back the times of all files in a folder, as copies that keep their times have them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.listStatus(folder):
+        if found.isFile():
+            system.setTimes(found.getPath(), found.getModificationTime() - days * 86_400_000, -1)
+
+
 def user_model(spark, folder):
     """A user's function over batches of texts: here, the number of distinct letters."""
 
@@ -374,6 +431,27 @@ def prepare_fields(spark, folder):
     return prep.prepare(turns(spark, folder), plan)
 
 
+def prepare_csv(spark, folder):
+    """A run over csv files whose rows are one line each, with a schema: nothing is inferred, and files can be split."""
+    docs = documents(spark, folder)
+    source = new_path(spark, "documents_csv")
+    flat = docs.select("doc_id", F.regexp_replace("text", r"\n", " ").alias("text"), "lang")
+    flat.write.csv(source, header=True, quote='"', escape='"')
+    plan = prep.Preparation(
+        mapping=DOCUMENT_MAPPING,
+        lang="de",
+        language_by="lang",
+        surface_stopwords=lexicons.default_stopwords(spark),
+        ngrams=False,
+        unique_id=True,
+    )
+    target = new_path(spark, "german.parquet")
+    (path,) = prep.run(
+        spark, source, target, plan, "csv", schema="doc_id bigint, text string, lang string", multi_line=False
+    )
+    return tables.read_table(spark, path).select("doc_id", "lemmas")
+
+
 def prepare_embedded(spark, folder):
     """A saved run without phrases, taken up again for embeddings in text form."""
     plan = prep.Preparation(
@@ -387,7 +465,7 @@ def prepare_embedded(spark, folder):
     target = new_path(spark, "german.parquet")
     source = f"{folder}/documents.parquet"
     prep.run(spark, source, target, plan)
-    encode = prep.hash_encoder(DIMS, embed.MAX_TOKENS, "doc_id")
+    encode = prep.hash_encoder(DIMS, None, "doc_id")
     (path,) = prep.run(spark, source, target, plan, preprocess=False, encode=encode)
     cells = tables.read_table(spark, path).select("doc_id", "lemmas", F.posexplode("embeddings").alias("dim", "val"))
     return cells.where("val <> 0").select("doc_id", F.length("lemmas").alias("n_lemma_chars"), "dim", F.round("val", 6).alias("val"))
@@ -396,7 +474,7 @@ def prepare_embedded(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_parquet, csv_round_trip, saved_result, input_parts,
+        scan_parquet, csv_round_trip, saved_result, input_parts, stopword_load, resume_parts,
         apply_mapping, title_concat, multi_field, null_fill, drop_unusable,
         lang_model_counts, lang_predict_nb, lang_predict_turns, lang_filter, lang_vote,
         acronym_expand, contraction_expand, tokens_alpha, stopword_filter,
@@ -405,6 +483,6 @@ QUERIES = {
         max_length, overlength_report, duplicate_ids,
         truncate_tokens, embed_hash, embed_word2vec, embedding_join, embedding_text,
         unprocessed_docs, incremental_embed, user_model,
-        prepare_titled, prepare_fields, prepare_embedded,
+        prepare_titled, prepare_fields, prepare_embedded, prepare_csv,
     )
 }

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions.text import join_tokens
 from corpusprep.functions.vectors import vector_text
-from corpusprep.operators.embed import MAX_TOKENS, embed_hash
+from corpusprep.operators.embed import embed_hash
 from corpusprep.operators.language import LanguageModel, keep_language, predict_language, vote_language
 from corpusprep.operators.lemma import CONTENT_POS, content_lemmas, tokenise
 from corpusprep.operators.phrases import MIN_COUNT, THRESHOLD, learn_phrases, merge_phrases
@@ -20,7 +20,7 @@ from corpusprep.operators.rewrite import expand_acronyms, expand_contractions
 from corpusprep.operators.shape import apply_mapping, check_columns, corpus_text_columns, derived_names
 from corpusprep.operators.shape import drop_unusable, null_fill
 from corpusprep.sources.mapping import FieldMapping
-from corpusprep.sources.tables import embeddings_path, path_exists, read_table, reuse_result, save_parquet
+from corpusprep.sources.tables import embeddings_path, path_exists, read_table, refuse_overlap, reuse_result, save_parquet
 from corpusprep.work import keyed, written
 
 LANGUAGES = ("en", "es", "de")
@@ -120,7 +120,7 @@ Encoder = Callable[[DataFrame, str, str], DataFrame]
 """(df, text column, output column) → df with an array of numbers in the output column."""
 
 
-def hash_encoder(dims: int = 64, max_tokens: int | None = MAX_TOKENS, key: str | None = None) -> Encoder:
+def hash_encoder(dims: int = 64, max_tokens: int | None = None, key: str | None = None) -> Encoder:
     return lambda df, text, out: embed_hash(df, text, dims, out, key, max_tokens)
 
 
@@ -161,9 +161,13 @@ def run(
     encode: Encoder | None = None,
     max_words: int | None = None,
     as_text: bool = False,
+    schema=None,
+    multi_line: bool = True,
 ) -> list[str]:
     """Read, prepare, optionally embed, and write; returns the paths written.
 
+    ``schema`` and ``multi_line`` are for csv sources, see ``read_table``.
+
     With ``preprocess=False`` an earlier result at ``destination_path`` is taken
     up if it has lemmas, and the source is read otherwise.
     """
@@ -173,15 +177,20 @@ def run(
         raise ValueError(f"language {plan.lang!r} is not supported; supported: {', '.join(LANGUAGES)}")
     if not path_exists(spark, source_path):
         raise ValueError(f"source path {source_path} does not exist")
+    refuse_overlap(spark, destination_path, [source_path])
+    refuse_overlap(spark, embeddings_path(destination_path), [source_path])
+
+    def source() -> DataFrame:
+        return read_table(spark, source_path, source_type, schema, multi_line, spread=True)
 
     paths = []
     if preprocess:
-        df = prepare(read_table(spark, source_path, source_type, spread=True), plan)
+        df = prepare(source(), plan)
         paths.append(save_parquet(df, destination_path, inputs=[source_path]))
     if encode is not None:
         earlier = reuse_result(spark, destination_path)
         if earlier is None:
-            shaped, _, texts = shape_corpus(read_table(spark, source_path, source_type, spread=True), plan)
+            shaped, _, texts = shape_corpus(source(), plan)
             df = shaped.select(plan.mapping.id, *texts)
         else:
             df, texts = earlier

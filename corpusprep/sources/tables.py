@@ -70,19 +70,33 @@ def save_parquet(df: DataFrame, path: str, inputs: list[str] | tuple[str, ...] =
     ``inputs`` are the paths ``df`` is read from. Equal or nested paths are
     refused: overwriting removes the old files before the lazy read gets to them.
     """
-    target = _parts(path)
+    refuse_overlap(df.sparkSession, path, inputs)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def refuse_overlap(spark: SparkSession, path: str, inputs: list[str] | tuple[str, ...]) -> None:
+    """Raise an error when ``path`` is, holds or lies in one of ``inputs``, however the paths are written."""
+    target = _parts(spark, path)
     for source in inputs:
-        other = _parts(source)
+        other = _parts(spark, source)
         shorter = min(len(target), len(other))
         if target[:shorter] == other[:shorter]:
             raise ValueError(f"{path} overlaps the input {source}")
-    df.write.mode("overwrite").parquet(path)
-    return path
 
 
-def _parts(path: str) -> list[str]:
-    plain = path.removeprefix("file:")
-    return [p for p in plain.split("/") if p not in ("", ".")]
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """The steps of a path: the file system first, relative paths completed, ``..`` resolved."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = given.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = given.makeQualified(system.getUri(), system.getWorkingDirectory()).toUri().normalize()
+    steps: list[str] = []
+    for step in uri.getPath().split("/"):
+        if step == "..":
+            steps = steps[:-1]
+        elif step not in ("", "."):
+            steps.append(step)
+    return [f"{uri.getScheme()}://{uri.getAuthority() or ''}", *steps]
 
 
 def embeddings_path(path: str) -> str:
@@ -117,5 +131,5 @@ def reuse_result(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]
 
 
 def input_parts(df: DataFrame) -> DataFrame:
-    """Number of files that a file-based table consists of and that hold rows."""
-    return df.select(F.input_file_name().alias("part")).agg(F.countDistinct("part").alias("n_parts"))
+    """Number of files that a file-based table consists of, from its file list; no row is read."""
+    return df.sparkSession.range(1).select(F.lit(len(set(df.inputFiles()))).cast("bigint").alias("n_parts"))

@@ -2,7 +2,13 @@
 
 The checkpoint remembers which files were taken. Each micro-batch is written to
 a folder of its own with overwrite, so a batch that is repeated after a failure
-replaces its half-written output.
+replaces its half-written output. Files count as new by their path: how old they
+are does not matter. The list of files taken stays in the checkpoint, a line for
+each, which is the price of never leaving one out.
+
+The checkpoint and the output belong together. A checkpoint that knows nothing is
+refused when the target has batches already, as it would begin again and write
+over them.
 
 Operators that work within a row also run directly on a stream. Those that
 regroup by document run here, on each micro-batch, with models that were trained
@@ -11,15 +17,17 @@ before.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import part_number
-from corpusprep.sources.tables import path_exists
+from corpusprep.sources.tables import path_exists, refuse_overlap
 
 _BATCH = "batch"
+_ANY_AGE = "36500d"
 
 
 def process_new_files(
@@ -35,12 +43,21 @@ def process_new_files(
 
     ``step`` gets a batch DataFrame and returns what is to be written.
     """
-    reader = spark.readStream.schema(schema or spark.read.parquet(source).schema)
+    refuse_overlap(spark, target, [source])
+    refuse_overlap(spark, checkpoint, [source])
+    if path_exists(spark, target) and not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+        raise ValueError(f"{target} has batches that {checkpoint} does not know; give their checkpoint or a new target")
+    reader = spark.readStream.schema(schema or spark.read.parquet(source).schema).option("maxFileAge", _ANY_AGE)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
+    rows: dict[int, int] = {}
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        step(batch).write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
+        taken = Observation()
+        seen = batch.observe(taken, F.count(F.lit(1)).alias("rows"))
+        step(seen).write.mode("overwrite").parquet(f"{target}/{_BATCH}={batch_id}")
+        rows[batch_id] = taken.get["rows"]
 
     query = (
         reader.parquet(source)
@@ -50,7 +67,33 @@ def process_new_files(
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return sum(rows.values())
+
+
+def process_missing_parts(
+    spark: SparkSession, source: str, target: str, step: Callable[[DataFrame], DataFrame]
+) -> list[str]:
+    """Apply ``step`` to each part ``…_part_<n>.parquet`` of ``source`` whose number ``target`` does not have.
+
+    A part is written under its own name; it counts as done when its writing has
+    been completed, and is written again otherwise. Returns the names taken.
+    """
+    refuse_overlap(spark, target, [source])
+    there = _part_names(spark, source)
+    done = {n for n, name in _part_names(spark, target).items() if path_exists(spark, f"{target}/{name}/_SUCCESS")}
+    taken = [name for n, name in sorted(there.items()) if n not in done]
+    for name in taken:
+        step(spark.read.parquet(f"{source}/{name}")).write.mode("overwrite").parquet(f"{target}/{name}")
+    return taken
+
+
+def _part_names(spark: SparkSession, folder: str) -> dict[int, str]:
+    """Number and name of each part in a folder; a part is a file or a folder of files."""
+    if not path_exists(spark, folder):
+        return {}
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return {int(m.group(1)): n for n in sorted(names) if (m := re.search(r"part_(\d+)\.parquet$", n))}
 
 
 def read_processed(spark: SparkSession, target: str) -> DataFrame | None:

@@ -157,6 +157,11 @@ def regroup(long: DataFrame, key: str, value: str, out: str) -> DataFrame:
 
 
 def attach(docs: DataFrame, grouped: DataFrame, key: str, out: str) -> DataFrame:
-    """Left-join regrouped arrays to their documents; documents without any get ``[]``."""
+    """Left-join regrouped arrays to their documents, in the place of ``out``.
+
+    Documents without any element get ``[]``, and those whose array was null keep null.
+    """
     empty = F.array().cast("array<string>")
-    return docs.drop(out).join(grouped, key, "left").withColumn(out, F.coalesce(out, empty))
+    new = grouped.withColumnRenamed(out, "_regrouped")
+    value = F.when(F.col(out).isNotNull(), F.coalesce("_regrouped", empty))
+    return docs.join(new, key, "left").withColumn(out, value).select(docs.columns)

@@ -36,21 +36,49 @@ def test_equal_ids_keep_their_own_vectors(spark):
     assert sorted(r[0] for r in out) == sorted(expected)
 
 
-def test_word_vectors_share_entries_when_the_model_would_be_too_large(spark, data):
+def test_word_vectors_share_entries_only_when_asked(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
-    full = embed.train_word_vectors(docs, "text", dims=4, min_count=5, partitions=2)
-    assert full.buckets is None
-    small = embed.train_word_vectors(docs, "text", dims=4, min_count=1, partitions=2, model_cells=400)
-    assert small.buckets == 100
+    with pytest.raises(ValueError, match="do not fit"):
+        embed.train_word_vectors(docs, "text", dims=4, partitions=2, model_cells=400)
+    small = embed.train_word_vectors(docs, "text", dims=4, partitions=2, buckets=100)
     assert small.model.getVectors().count() == 100
     coded = small.encode(docs, "text")
     assert coded.columns == ["doc_id", "text", "embeddings"]
     assert coded.where(F.size("embeddings") == 4).count() == docs.count()
 
 
+def test_document_vectors_are_means_of_word_vectors(spark):
+    docs = spark.createDataFrame([(1, "one two two"), (2, "three"), (3, ""), (4, "one three")], "id int, t string")
+    words = embed.train_word_vectors(docs, "t", dims=3, partitions=1)
+    of = {r["word"]: np.array(r["vector"].toArray()) for r in words.model.getVectors().collect()}
+    assert set(of) == {"one", "two", "three"}
+    for row in words.encode(docs, "t").collect():
+        tokens = row["t"].split()
+        mean = sum((of[w] for w in tokens), np.zeros(3)) / max(1, len(tokens))
+        assert row["embeddings"] == pytest.approx(mean.tolist())
+
+
+def test_numbers_as_text_read_back_as_they_were(spark):
+    numbers = [1.0, float("nan"), 1e-7, 1.23456789e-7, float("inf"), float("-inf"), -0.0, 0.1, 3.4e38]
+    df = spark.createDataFrame([(numbers, numbers, [1.0, None])], "d array<double>, f array<float>, n array<double>")
+    row = df.select(
+        *[parse_vector(form(F.col(c))).alias(f"{c}{i}") for c in "df" for i, form in enumerate((vector_text, vector_list_text))],
+        parse_vector(vector_text(F.col("n"))).alias("n"),
+        parse_vector(vector_text(F.col("d"), 3)).alias("rounded"),
+    ).first()
+    for c in "df":
+        for i in range(2):
+            got = np.array(row[f"{c}{i}"])
+            want = np.array(numbers, np.float32 if c == "f" else np.float64)
+            assert len(got) == len(want)
+            assert np.array_equal(got.astype(want.dtype), want, equal_nan=True)
+    assert row["n"][0] == 1.0 and math.isnan(row["n"][1])
+    assert len(row["rounded"]) == len(numbers)
+
+
 def test_text_forms(spark):
     df = spark.createDataFrame([([0.5, -1e-5, 1e-9, 12345.0, -1e-12],)], "v array<float>")
-    spaced, listed = df.select(vector_text(F.col("v")), vector_list_text(F.col("v"), 2)).first()
+    spaced, listed = df.select(vector_text(F.col("v"), 8), vector_list_text(F.col("v"), 2)).first()
     assert spaced == "0.50000000 -0.00001000 0.00000000 12345.00000000 0.00000000"
     assert listed == "[0.50, 0.00, 0.00, 12345.00, 0.00]"
     back = df.select(parse_vector(vector_list_text(F.col("v"), 5)).alias("x")).first()["x"]
@@ -60,7 +88,9 @@ def test_text_forms(spark):
 def test_attached_vectors_join_on_the_id_alone(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, note string")
     vectors = spark.createDataFrame([(1, [1.0], "x"), (1, [2.0], "y"), (4, [3.0], "z")], "id int, embeddings array<double>, note string")
-    out = embed.attach_embeddings(docs, vectors).collect()
+    with pytest.raises(ValueError, match="several vectors"):
+        embed.attach_embeddings(docs, vectors)
+    out = embed.attach_embeddings(docs, vectors, on_repeat="keep").collect()
     assert sorted(tuple(r) for r in out) == [(1, "a", [1.0]), (1, "a", [2.0])]
 
 

@@ -1,3 +1,8 @@
+import os
+import shutil
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
@@ -5,7 +10,7 @@ from corpusprep.operators import phrases as ph
 from corpusprep.operators.embed import embed_hash
 from corpusprep.operators.rewrite import expand_acronyms
 from corpusprep.sources import lexicons
-from corpusprep.streaming.incremental import finished_parts, process_new_files, read_processed
+from corpusprep.streaming.incremental import finished_parts, process_missing_parts, process_new_files, read_processed
 
 
 def step(batch):
@@ -28,6 +33,52 @@ def test_second_run_takes_only_new_files(spark, tmp_path):
     assert out.where(F.size("embeddings") == 8).count() == 3
 
 
+def test_files_with_old_times_are_taken_too(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.createDataFrame([(1, "one")], "id bigint, raw_text string").coalesce(1).write.parquet(source)
+    assert process_new_files(spark, source, target, checkpoint, step) == 1
+    spark.createDataFrame([(2, "two")], "id bigint, raw_text string").coalesce(1).write.parquet(str(tmp_path / "late"))
+    for file in (tmp_path / "late").glob("part-*"):
+        old = time.time() - 90 * 86_400
+        shutil.copy(file, source)
+        os.utime(f"{source}/{file.name}", (old, old))
+    assert process_new_files(spark, source, target, checkpoint, step) == 1
+    assert {r["id"] for r in read_processed(spark, target).collect()} == {1, 2}
+
+
+def test_rows_are_counted_when_more_batches_ran_than_progress_is_kept(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.range(0, 8, 1, 8).select("id", F.lit("text").alias("raw_text")).write.parquet(source)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        assert process_new_files(spark, source, target, checkpoint, step, max_files_per_batch=1) == 8
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_a_new_checkpoint_never_writes_over_earlier_output(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(1, "one")], "id bigint, raw_text string").write.parquet(source)
+    process_new_files(spark, source, target, str(tmp_path / "check"), step)
+    with pytest.raises(ValueError, match="does not know"):
+        process_new_files(spark, source, target, str(tmp_path / "other"), step)
+    assert read_processed(spark, target).count() == 1
+    with pytest.raises(ValueError, match="overlaps"):
+        process_new_files(spark, source, f"{source}/out", str(tmp_path / "third"), step)
+
+
+def test_parts_that_are_missing_are_processed(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "id int")
+    for n in (1, 2, 10):
+        df.withColumn("n", F.lit(n)).write.parquet(str(tmp_path / "in" / f"x_part_{n}.parquet"))
+    half = tmp_path / "out" / "x_part_2.parquet"
+    half.mkdir(parents=True)  # begun and not completed
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    df.write.parquet(f"{target}/x_part_10.parquet")
+    assert process_missing_parts(spark, source, target, lambda d: d) == ["x_part_1.parquet", "x_part_2.parquet"]
+    assert process_missing_parts(spark, source, target, lambda d: d) == []
+
+
 def test_files_can_be_taken_a_few_at_a_time(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     df = spark.range(0, 40, 1, 4).select("id", F.lit("text").alias("raw_text"))

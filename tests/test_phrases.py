@@ -126,3 +126,12 @@ def test_counting_shuffles_partial_counts_only(spark):
     text = plan_text(ph.follow_counts(frame(spark, [["a"]])))
     assert "partial_count" in text
     assert "SinglePartition" not in text and "Window" not in text
+
+
+def test_any_token_may_stand_beside_a_phrase(spark):
+    tokens = ["", "a\u0001", "b", "c", "", "\u0002", "b", "c", "b", "c"]
+    docs = spark.createDataFrame([(1, tokens), (2, [""]), (3, []), (4, None)], "id int, tokens array<string>")
+    table = spark.createDataFrame([("b", "c"), ("c", "b")], "w string, nx string")
+    out = {r["id"]: r["lemmas"] for r in ph.merge_phrases(docs, table, key="id").collect()}
+    assert out[1] == " ".join(["", "a\u0001", "b_c", "", "\u0002", "b_c", "b_c"])
+    assert (out[2], out[3]) == ("", "")
