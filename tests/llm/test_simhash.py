@@ -1,0 +1,88 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from corpusprep.llm import simhash
+from corpusprep.llm.components import components as connected
+from corpusprep.llm.queries import QUERIES
+from tests.llm.frames import LONG, components, no_documents, odd_documents
+
+
+def plain_fingerprint(text, shingle=3):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ")
+    words = [w for w in words if w]
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "one TWO", "Éa b C d e f", "a b c\x1cd e", "x " * 500, LONG[:5000]])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text, 3) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_links_are_all_pairs_within_the_distance(spark, max_bits):
+    rng = np.random.default_rng(max_bits)
+    base = rng.integers(-(2**63), 2**63 - 1, 40)
+    near = [int(x) for x in base]
+    for x in base:
+        for k in range(7):
+            y = int(x) & (1 << 64) - 1
+            for b in rng.choice(64, rng.integers(0, 6), replace=False):
+                y ^= 1 << int(b)
+            near.append(y - (1 << 64) if y >> 63 else y)
+    fps = sorted(set(near))
+    got = simhash.links(spark.createDataFrame([(x,) for x in fps], "fp bigint"), max_bits).collect()
+    u = np.array(fps, np.int64).view(np.uint64)
+    close = np.bitwise_count(u[:, None] ^ u[None, :]) <= max_bits
+    assert {(r["u"], r["v"]) for r in got} == {(fps[i], fps[j]) for i, j in zip(*np.nonzero(close)) if i < j}
+    assert len(got) == len({(r["u"], r["v"]) for r in got})
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (2000, 2001), (2001, 2000), (None, 3)]
+    edges += [(3000 + i, 3000 + (i * 7) % 50) for i in range(50)]
+    df = spark.createDataFrame(edges, "u bigint, v bigint").repartition(7)
+    got = {r["node"]: r["root"] for r in connected(df).collect()}
+    real = [e for e in edges if None not in e and e[0] != e[1]]
+    assert got == components({n for e in real for n in e}, real)
+    assert connected(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    rows = simhash.near_duplicates(docs).collect()
+    given = docs.select("doc_id", "text").collect()
+    assert sorted(r["fingerprint"] for r in rows) == sorted(f"{plain_fingerprint(r['text']):016x}" for r in given)
+    by = {}
+    for r in rows:
+        by.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert by[2] == {1} and by[4] == by[5] == by[3] == {3}  # texts without words are copies of each other
+    assert by[None] <= {None, 1} and None in by[None]
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(str(i) for i in ids if i not in (7, None)) == ["1", "3", "6"]
+    assert simhash.near_duplicates(no_documents(spark)).count() == 0
+    assert simhash.drop_near_duplicates(no_documents(spark)).count() == 0
+
+
+def test_of_equal_rows_one_stays(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (9, "something else again")], "doc_id bigint, text string")
+    kept = simhash.drop_near_duplicates(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 9]
+
+
+def test_query(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
+    copy = spark.read.parquet(f"{data}/documents.parquet").where(F.col("doc_id") < 0)
+    assert copy.count() == 0
+    rows = {r["doc_id"]: r for r in QUERIES["op2_simhash_near_dedup"](spark, data).collect()}
+    fps = {r["doc_id"]: plain_fingerprint(r["text"]) for r in docs}
+    links = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 3]
+    assert {i: r["component_id"] for i, r in rows.items()} == components(fps, links)
+    assert {i: r["fingerprint"] for i, r in rows.items()} == {i: f"{f:016x}" for i, f in fps.items()}
