@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from corpusprep.llm.common import col, fresh, strings
 from corpusprep.llm.fm_index import FMIndex
-from corpusprep.work import keyed, unkeyed
+from corpusprep.work import written
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
@@ -198,14 +198,21 @@ def find_overlaps(
     max_block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct column ``out`` (``RESULT``)."""
-    context = docs.sparkSession.sparkContext
-    sent = [
-        context.broadcast(Phrases(items, window))
-        for items in benchmark_blocks(benchmark, item_col, item_text_col, max_block_bytes)
-    ]
+    return _with_findings(docs, _sent(benchmark, item_col, item_text_col, window, max_block_bytes), text_col, out)
+
+
+def _sent(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_bytes: int) -> list:
+    """A broadcast for each block of the benchmark."""
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(Phrases(items, window)) for items in benchmark_blocks(benchmark, item_col, text_col, max_bytes)]
+
+
+def _with_findings(docs: DataFrame, sent: list, text_col: str, out: str) -> DataFrame:
     if len(sent) == 1:
         return docs.withColumn(out, _search_column(col(text_col), sent[0]))
-    numbered, key = keyed(docs.drop(out) if out in docs.columns else docs, None)
+    docs = docs.drop(out)
+    key = fresh("row", docs)
+    numbered = written(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
     parts = [
         numbered.select(key, _search_column(col(text_col), phrases).alias("one")).where(
             (F.size("one.spans") > 0) | F.lit(i == 0)
@@ -217,8 +224,7 @@ def find_overlaps(
         union = union.unionAll(part)
     many = fresh("findings", numbered)
     found = union.groupBy(key).agg(F.collect_list("one").alias(many))  # as many as there are blocks
-    joined = numbered.join(found, key).withColumn(out, _joined(col(text_col), F.col(many))).drop(many)
-    return unkeyed(joined, None)
+    return numbered.join(found, key).withColumn(out, _joined(col(text_col), F.col(many))).drop(many, key)
 
 
 def cut(text: str, spans: list) -> str:
@@ -229,10 +235,24 @@ def cut(text: str, spans: list) -> str:
     return "".join(kept) + text[end:]
 
 
-def _clean_column(text: Column, found: Column) -> Column:
+def _clean_column(text: Column, found: Column, sent: list) -> Column:
+    """The text without the spans found, and without what their removal has brought together."""
+
     @F.pandas_udf("string")
     def apply(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None else cut(t, list(s)) for t, s in zip(strings(texts), spans)], dtype=object)
+        out = strings(texts)
+        changed = [k for k, s in enumerate(spans) if s is not None and len(s)]
+        for k in changed:
+            out[k] = cut(out[k], list(spans.iloc[k]))
+        while changed:
+            again = set()
+            for phrases in sent:
+                for k, (_, hit, _) in zip(changed, phrases.value.search([out[k] for k in changed])):
+                    if len(hit):
+                        out[k] = cut(out[k], merged_spans(out[k], hit))
+                        again.add(k)
+            changed = sorted(again)
+        return pd.Series(out, dtype=object)
 
     return apply(text, found)
 
@@ -247,7 +267,11 @@ def remove_overlaps(
     out: str = "overlap",
     max_block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """As ``find_overlaps``, with the spans cut out of the text. No document goes."""
-    found = find_overlaps(docs, benchmark, text_col, item_col, item_text_col, window, out, max_block_bytes)
-    clean = F.when(F.size(f"{out}.spans") > 0, _clean_column(col(text_col), F.col(f"{out}.spans")))
+    """As ``find_overlaps``, with the spans cut out of the text. No document goes.
+
+    Where cutting brings words together that make a window, they are cut too, until the text has none.
+    """
+    sent = _sent(benchmark, item_col, item_text_col, window, max_block_bytes)
+    found = _with_findings(docs, sent, text_col, out)
+    clean = F.when(F.size(f"{out}.spans") > 0, _clean_column(col(text_col), F.col(f"{out}.spans"), sent))
     return found.withColumn(text_col, F.coalesce(clean, col(text_col)))

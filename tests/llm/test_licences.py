@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusprep.llm import licences
+from tests.llm.frames import no_documents, odd_documents
+
+MIT = licences.TEXTS["MIT"]
+
+
+def plain_form(text):
+    lines = []
+    for line in text.split("\n"):
+        if re.search(r"^[\W_]*(copyright|\(c\)|©)", line.lower()):
+            continue
+        form = re.sub(r"[\W_]+", " ", line.lower()).strip()
+        for pattern, spelling in licences.SPELLINGS:
+            form = re.sub(pattern, lambda m: re.sub(r"\$(\d)", lambda g: m[int(g[1])] or "", spelling), form)
+        if form:
+            lines.append(form)
+    return " ".join(lines)
+
+
+VARIANTS = [
+    MIT,
+    "Copyright (c) 2020 Somebody\n\n" + MIT.upper(),
+    "(C) 1999\n" + MIT.replace(",", " ").replace('"', "'"),
+    MIT.replace("sublicense", "sub-licence").replace("NONINFRINGEMENT", "NON-INFRINGEMENT").replace("COPYRIGHT HOLDERS", "copyright owners"),
+    "\r\n".join(MIT.split("\n")),
+]
+
+
+@pytest.mark.parametrize("text", VARIANTS)
+def test_variants_are_the_same_licence(spark, text):
+    row = licences.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert (row["licence"], row["licences"]) == ("MIT", "MIT")
+    assert row["text_digest"] == hashlib.sha256(plain_form(text).encode()).hexdigest()
+
+
+def test_notices_in_lines(spark):
+    docs = [
+        (1, "Some text.\nReleased under the MIT license\nLICENSED UNDER THE APACHE LICENCE -- VERSION 2.0.\nmore"),
+        (2, "Licensed under the MIT Licence and more words"),
+        (3, MIT[:-20]),
+    ]
+    rows = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert (rows[1]["licences"], rows[1]["n_licence_lines"], rows[1]["licence"]) == ("Apache-2.0,MIT", 2, None)
+    assert (rows[2]["licences"], rows[2]["n_licence_lines"]) == ("", 0)
+    assert rows[3]["licence"] is None
+
+
+def test_names_agree():
+    assert len({plain_form(f.format(n)) for names in licences.NAMES.values() for n in names for f in licences.NOTICES}) > 200
+    assert set(licences.TEXTS) <= set(licences.NAMES)
+
+
+def test_own_table_of_known_texts(spark):
+    known = spark.createDataFrame([("B", "My Own Terms"), ("A", "my own, terms!"), ("C", None), ("D", "...")], "licence string, text string")
+    docs = spark.createDataFrame([(1, "MY OWN terms"), (2, "...")], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r["licence"] for r in licences.scan(docs, known).collect()}
+    assert rows == {1: "A", 2: None}
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    rows = licences.scan(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(r["licences"] == "" and r["n_licence_lines"] == 0 for r in rows)
+    digests = {}
+    for r in rows:
+        digests.setdefault(r["doc_id"], []).append(r["text_digest"])
+    assert digests[3] == digests[4] == digests[5] == [None]
+    assert len(digests[2]) == 2 and digests[2][0] == digests[2][1] == digests[1][0]
+    assert len(set(digests[7])) == 2
+    assert licences.scan(no_documents(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark, data):
+    plan = licences.scan(spark.read.parquet(f"{data}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+    assert F.col("x") is not None
