@@ -7,12 +7,15 @@ the first by id, text hash and place in the text. Equal lines are one node of th
 1. The tasks that read the documents sketch each line: every shingle falls into one of ``BANDS * ROWS`` bins and the least
    hash of a bin counts; what finds no shingle is filled by further rounds, so short lines work too. Two lines agree in a
    bin with the probability of their similarity. The sketches are cut into bands.
-2. A band key is kept when two different lines have it. Its smallest line is the leader: every other line with the key is
-   verified against the leader, which is one candidate per line and band, however many lines share the key.
-3. Links found so are followed. Then, for keys whose lines are not yet all in one component, pairs from different
-   components are verified too; so no link between lines that share a key is lost, and a large group of copies, which is
-   one component by then, does not give all its pairs.
-
+2. A band key is kept when two different lines have it. Its leader is the line that meets most lines over all of its keys
+   (in a group of copies that is the text which the others were made from): every other line with the key is verified
+   against the leader, which is one candidate per line and band, however many lines share the key.
+3. Links found so are followed. Then the lines of keys that are not yet all in one component are compared with each other
+   too, where their components differ; so no link between lines that share a key is lost. They are compared inside the
+   tasks, in blocks of ``BLOCK_LINES`` lines against blocks, and only links come out. A large group of copies is one
+   component by then and not compared at all.
+
+Verification is exact: a bound from bit patterns of the shingles rules out most pairs, and the sets decide the others.
 With 4 rows and 11 bands, lines of similarity 0.8 share a key with a probability of 0.997.
 
 Only hashes are grouped and joined; texts are fetched for candidate lines alone. Minima are worked out in the tasks
@@ -31,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.llm.common import WHITESPACE, col, fresh, strings, text_hash
@@ -44,8 +47,15 @@ ROWS, BANDS = 4, 11
 BINS = ROWS * BANDS
 
 #: Lines of a sketching step, and lines that a task remembers so as to sketch equal ones once. Results do not depend on them.
-STEP_LINES = 4_000
+STEP_LINES = 600
 REMEMBERED_LINES = 200_000
+#: Lines and shingles that a verifying task remembers. Results do not depend on them.
+REMEMBERED_OUTLINES = 50_000
+REMEMBERED_SHINGLES = 400_000
+#: Bits of a line's outline, see ``outlines``.
+OUTLINE_BITS = 8_192
+#: Lines of a block, in the comparison of lines that share a key.
+BLOCK_LINES = 512
 
 _BLANK = WHITESPACE.decode()
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD)]
@@ -127,7 +137,7 @@ def _sketch_lines(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seen.add(h)
                     fresh_lines.append(line)
                 rows.append((id_, hash_, pos, _signed(h), _signed(digest(data, 43)), new))
-                if len(fresh_lines) == STEP_LINES or len(rows) == 4 * STEP_LINES:
+                if len(fresh_lines) == STEP_LINES or len(rows) == 8 * STEP_LINES:
                     yield _as_batch(rows, fresh_lines)
                     rows, fresh_lines = [], []
         if rows:
@@ -151,34 +161,141 @@ def _as_batch(rows: list[tuple], lines: list[str]) -> pa.RecordBatch:
     )
 
 
-def similar(a: str, b: str, least: float = SIMILARITY, width: int = SHINGLE) -> bool:
-    """Whether the shingle sets of two lines have a Jaccard similarity of at least ``least``."""
-    if min(len(a), len(b)) < width:  # a short line is its own shingle
-        return a == b
-    x, y = _shingles(a, width), _shingles(b, width)
+def outlines(lines: list[str], width: int = SHINGLE) -> list[tuple[int, int]]:
+    """For each line how many different shingles it has, and the bits at which their hashes stand."""
+    hashes, counts = shingle_hashes(lines, width)
+    places = (hashes >> np.uint64(40)) % np.uint64(OUTLINE_BITS)
+    found, start = [], 0
+    for n in counts.tolist():
+        bits = np.zeros(OUTLINE_BITS, bool)
+        bits[places[start : start + n]] = True
+        different = len(np.unique(hashes[start : start + n]))
+        found.append((different, int.from_bytes(np.packbits(bits).tobytes(), "big")))
+        start += n
+    return found
+
+
+def may_be_similar(x: tuple[int, int], y: tuple[int, int], least: float = SIMILARITY) -> bool:
+    """Whether outlines leave it open that two lines are similar: a bit that only one of them has stands for a shingle
+    that only it has, so the lines share no more than what is left."""
+    (n, a), (m, b) = x, y
+    most = min(n - (a & ~b).bit_count(), m - (b & ~a).bit_count())
+    return most >= least * (n + m - most)
+
+
+def _shingles(line: str, width: int = SHINGLE) -> frozenset[str]:
+    """The shingles of a line; one that is shorter is its own."""
+    return frozenset(line[i : i + width] for i in range(max(1, len(line) - width + 1)))
+
+
+def similar(x: frozenset[str], y: frozenset[str], least: float = SIMILARITY) -> bool:
+    """Whether two sets have a Jaccard similarity of at least ``least``."""
     if min(len(x), len(y)) < least * max(len(x), len(y)):
         return False
     both = len(x & y)
     return both >= least * (len(x) + len(y) - both)
 
 
-def _shingles(line: str, width: int) -> set[str]:
-    return {line[i : i + width] for i in range(len(line) - width + 1)}
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs (u, v) whose texts are similar."""
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drawn: dict[int, tuple[int, int]] = {}
+        known: dict[int, frozenset[str]] = {}
+        size = 0
+
+        def shingles(key: int, line: str) -> frozenset[str]:
+            nonlocal size
+            found = known.get(key)
+            if found is None:
+                if size > REMEMBERED_SHINGLES:
+                    known.clear()
+                    size = 0
+                found = known[key] = _shingles(line)
+                size += len(found)
+            return found
+
         for frame in frames:
-            a, b = strings(frame["a"]), strings(frame["b"])
-            yield frame.loc[[similar(x, y, least) for x, y in zip(a, b)], ["u", "v"]]
+            first, second = frame["u"].tolist(), frame["v"].tolist()
+            texts = dict(zip(first, strings(frame["a"]))) | dict(zip(second, strings(frame["b"])))
+            if len(drawn) > REMEMBERED_OUTLINES:
+                drawn.clear()
+            new = [key for key in texts if key not in drawn]
+            for start in range(0, len(new), STEP_LINES):
+                part = new[start : start + STEP_LINES]
+                drawn.update(zip(part, outlines([texts[key] for key in part])))
+            rows = [
+                may_be_similar(drawn[u], drawn[v], least)
+                and similar(shingles(u, texts[u]), shingles(v, texts[v]), least)
+                for u, v in zip(first, second)
+            ]
+            yield frame.loc[rows, ["u", "v"]]
 
     with_first = pairs.join(texts.select(F.col("line").alias("u"), F.col("text").alias("a")), "u")
     with_both = with_first.join(texts.select(F.col("line").alias("v"), F.col("text").alias("b")), "v")
     return with_both.select("u", "v", "a", "b").mapInPandas(apply, "u bigint, v bigint")
 
 
+def _compared(dealt: DataFrame, least: float) -> DataFrame:
+    """Links (u, v) between lines of different roots that meet in a pair (i, j) of blocks of a key."""
+
+    def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []  # the rows of the pair that is being read
+        for frame in frames:
+            links: list[tuple[int, int]] = []
+            for row in frame.itertuples(index=False, name=None):
+                if held and held[0][:3] != row[:3]:
+                    links += _links_in(held, least)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(links, columns=["u", "v"], dtype="int64")
+        if held:
+            yield pd.DataFrame(_links_in(held, least), columns=["u", "v"], dtype="int64")
+
+    ordered = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "line")
+    return ordered.mapInPandas(apply, "u bigint, v bigint")
+
+
+def _links_in(rows: list[tuple], least: float) -> list[tuple[int, int]]:
+    """The links among the lines of one block, or between two; lines that are connected already need none."""
+    _, i, j, *_ = rows[0]
+    lines, texts = [r[4] for r in rows], [r[6] for r in rows]
+    drawn = outlines(texts)
+    sizes = np.array([n for n, _ in drawn])
+    bits = np.array([np.frombuffer(b.to_bytes(OUTLINE_BITS // 8, "big"), np.uint64) for _, b in drawn])
+    second = np.array([i == j or r[3] == j for r in rows])
+    parent = {r[5]: r[5] for r in rows}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    roots = np.array([r[5] for r in rows])
+    sets: dict[int, frozenset[str]] = {}
+    links = []
+    for a in range(len(rows)):
+        if i != j and second[a]:
+            continue
+        at = np.flatnonzero(second & (roots != roots[a]))
+        at = at[at > a] if i == j else at
+        if not len(at):
+            continue
+        only_a = np.bitwise_count(bits[a] & ~bits[at]).sum(axis=1, dtype=np.int64)
+        only_b = np.bitwise_count(bits[at] & ~bits[a]).sum(axis=1, dtype=np.int64)
+        most = np.minimum(sizes[a] - only_a, sizes[at] - only_b)
+        for b in at[most >= least * (sizes[a] + sizes[at] - most)].tolist():
+            x, y = root(rows[a][5]), root(rows[b][5])
+            if x != y:
+                for k in (a, b):
+                    if k not in sets:
+                        sets[k] = _shingles(texts[k])
+                if similar(sets[a], sets[b], least):
+                    links.append((lines[a], lines[b]))
+                    parent[max(x, y)] = min(x, y)
+    return links
+
+
 def _texts_of(wanted: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """(line, text) for the line hashes in ``wanted`` (line, each once)."""
     lines = docs.select(F.explode(F.split(col(text_col), "\n")).alias("text"))
@@ -191,10 +308,16 @@ def line_links(sketched: DataFrame, docs: DataFrame, text_col: str, similarity:
     """(node, root) for lines that are similar to others, from ``sketched`` (line, keys)."""
     entries = sketched.where(F.size("keys") > 0).select("line", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.min("line").alias("lead"), F.max("line").alias("last"))
-    shared = written(shared.where("lead < last").select("key", "lead"), "shared_keys")
-    members = written(entries.join(broadcast_if_small(shared), "key"), "members")
-
-    leading = members.where("line <> lead").select(F.col("lead").alias("u"), F.col("line").alias("v"))
+    shared = written(shared.where("lead < last").select("key"), "shared_keys")
+    members = written(entries.join(broadcast_if_small(shared), "key").distinct(), "members")
+
+    sizes = written(members.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+    met = members.join(broadcast_if_small(sizes), "key").groupBy("line").agg(F.sum("n").alias("met"))
+    ranked = members.join(broadcast_if_small(written(met, "met")), "line")
+    leads = ranked.groupBy("key").agg(F.max(F.struct("met", "line"))["line"].alias("lead"))
+    leads = broadcast_if_small(written(leads, "leads"))
+    leading = members.join(leads, "key").where("line <> lead")
+    leading = leading.select(F.least("lead", "line").alias("u"), F.greatest("lead", "line").alias("v"))
     leading = written(leading.distinct(), "leading")
     nodes = members.select("line").distinct()
     texts = _texts_of(written(nodes, "nodes"), docs, text_col)
@@ -203,13 +326,15 @@ def line_links(sketched: DataFrame, docs: DataFrame, text_col: str, similarity:
 
     placed = members.select("key", "line").join(broadcast_if_small(roots), F.col("line") == F.col("node"), "left")
     placed = written(placed.select("key", "line", F.coalesce("root", "line").alias("root")), "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    open_keys = broadcast_if_small(written(open_keys.select("key"), "open_keys"))
-    rest = written(placed.join(open_keys, "key").distinct(), "rest")
-    other = rest.select("key", F.col("line").alias("v"), F.col("root").alias("other"))
-    pairs = rest.withColumnRenamed("line", "u").join(other, "key").where("u < v AND root <> other")
-    pairs = pairs.select("u", "v").distinct().join(leading, ["u", "v"], "left_anti")
-    more = written(_verified(written(pairs, "pairs"), texts, similarity), "more_links")
+    open_keys = placed.groupBy("key").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK_LINES).cast("int").alias("blocks")
+    )
+    open_keys = broadcast_if_small(written(open_keys.where("lo < hi").select("key", "blocks"), "open_keys"))
+    rest = placed.join(open_keys, "key").join(texts, "line")
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "line", "root", "text")
+    more = written(_compared(dealt, similarity).distinct(), "more_links")
     if more.limit(1).count() == 0:
         return roots
     stars = roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
@@ -246,12 +371,25 @@ def drop_copies(
     gone = gone.select(F.col("id").alias(id_), F.col("text_hash").alias(hash_), F.col("copies").alias(places))
     same = col(id_col).cast("bigint").eqNullSafe(F.col(id_)) & (text_hash(col(text_col)) == F.col(hash_))
     joined = docs.join(gone, same, "left")
-    lines = F.split(col(text_col), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(places))
-    text = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
     out = joined
     if counts:
-        full = F.filter(lines, lambda line: F.trim(F.translate(line, "\t\x0b\x0c\r", "    ")) != "")
-        out = out.withColumn("n_lines", F.coalesce(F.size(full), F.lit(0)).cast("bigint"))
-        out = out.withColumn("n_copies", F.coalesce(F.size(places), F.lit(0)).cast("bigint"))
-    return out.withColumn(text_col, F.when(F.col(places).isNull(), col(text_col)).otherwise(text)).drop(id_, hash_, places)
+        full = F.regexp_count(col(text_col), F.lit(f"[^{_BLANK}][^\n]*"))
+        out = out.withColumn("n_lines", F.coalesce(full, F.lit(0)).cast("bigint"))
+        out = out.withColumn("n_copies", F.greatest(F.size(places), F.lit(0)).cast("bigint"))
+    return out.withColumn(text_col, _without(col(text_col), F.col(places))).drop(id_, hash_, places)
+
+
+def _without(text: Column, places: Column) -> Column:
+    """The text without the lines at ``places``; null places take nothing out."""
+
+    @F.pandas_udf("string")
+    def apply(texts: pd.Series, gone: pd.Series) -> pd.Series:
+        out = []
+        for value, drop in zip(strings(texts), gone):
+            if value is not None and drop is not None:
+                drop = set(drop.tolist())
+                value = "\n".join(line for i, line in enumerate(value.split("\n")) if i not in drop)
+            out.append(value)
+        return pd.Series(out, dtype=object)
+
+    return apply(text, places)

@@ -54,8 +54,10 @@ def test_against_all_pairs(spark, seed):
     assert got == dict(without_copied_lines(docs))
 
 
-def test_members_of_other_groups_with_a_shared_key_are_compared(spark, monkeypatch):
+@pytest.mark.parametrize("block", [3, 512])
+def test_members_of_other_groups_with_a_shared_key_are_compared(spark, monkeypatch, block):
     """With one key for all lines, everything hangs on the two rounds of verification."""
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block)
     monkeypatch.setattr(line_dedup, "band_keys", lambda rows: np.ones((len(rows), line_dedup.BANDS), np.int64))
     docs = variants(25, 3)
     schema = "id bigint, text_hash bigint, pos int, line bigint, tail bigint, keys array<bigint>"
@@ -103,3 +105,18 @@ def test_query(spark, data):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     got = {r["doc_id"]: r["text"] for r in QUERIES["op1_line_dedup"](spark, data).collect()}
     assert got == dict(without_copied_lines(docs))
+
+
+def test_outlines_never_rule_out_similar_lines():
+    draw = random.Random(4)
+    ruled_out = 0
+    for _ in range(300):
+        a = "".join(draw.choice("abcd ") for _ in range(draw.randint(7, 400)))
+        b = "".join(draw.choice("abcd ") if draw.random() < draw.choice([0, 0.01, 0.1]) else c for c in a)
+        x, y = line_dedup._shingles(a), line_dedup._shingles(b)
+        outlines = line_dedup.outlines([a, b])
+        assert [n for n, _ in outlines] == [len(x), len(y)]
+        possible = line_dedup.may_be_similar(*outlines)
+        assert possible or not line_dedup.similar(x, y)
+        ruled_out += not possible
+    assert ruled_out > 50
