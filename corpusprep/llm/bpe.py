@@ -23,6 +23,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -37,13 +38,16 @@ from corpusprep.llm.common import batches, col, fresh, strings
 LEAF_BYTES = 6
 #: Encoded pieces and short runs that a worker keeps for the next time they come, up to these lengths. Results do not
 #: depend on it.
-REMEMBERED_PIECES = 800_000
-REMEMBERED_CHARACTERS = 48
-REMEMBERED_RUNS = 400_000
-RUN_BYTES = 16
+REMEMBERED_PIECES = 150_000
+REMEMBERED_CHARACTERS = 32
+REMEMBERED_RUNS = 100_000
+RUN_BYTES = 12
 #: Longer runs are merged with a heap.
 HEAP_BYTES = 96
 
+#: Texts of which the results are handed on together.
+ROWS_AT_ONCE = 250
+
 _NONE = 1 << 62
 
 #: Up to this character both libraries agree on what letters and numbers are.
@@ -76,6 +80,7 @@ class Vocabulary:
         self.pattern = regex.compile(pattern)
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # pieces of the time before ``known`` was full
         self.runs: dict[bytes, list[int]] = {}
 
     @classmethod
@@ -170,7 +175,7 @@ class Vocabulary:
         data = piece.encode()
         rank = self.ranks.get(data)
         ids = [rank] if rank is not None else self.reduced(data)
-        return np.array(ids, "<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids)
 
     def pieces(self, text: str) -> list[str]:
         """The matches of the pattern, with letters and numbers as the tokenizer library has them.
@@ -191,10 +196,11 @@ class Vocabulary:
         for piece in self.pieces(text):
             ids = known.get(piece)
             if ids is None:
-                ids = self.encode_piece(piece)
+                ids = self.older.get(piece) or self.encode_piece(piece)
                 if len(piece) <= REMEMBERED_CHARACTERS:
                     if len(known) >= REMEMBERED_PIECES:
-                        known.clear()
+                        self.older, self.known = known, {}
+                        known = self.known
                     known[piece] = ids
             out.append(ids)
         return b"".join(out)
@@ -234,19 +240,32 @@ def encoded(text: Column, file: str, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = vocabulary_in_task(file, pattern)
-        for batch in texts:
+        for batch in batches(texts, ROWS_AT_ONCE):
             yield pd.Series([vocabulary.encode(t or "") for t in strings(batch)], dtype=object)
 
     return encode.asNondeterministic()(text)  # so that no later step repeats the call
 
 
+def coded(text: Column, file: str, pattern: str) -> Column:
+    """The packed tokens of a text and the bytes that they decode to, from one Python worker: (token_ids, decoded)."""
+
+    @F.pandas_udf("token_ids binary, decoded binary")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocabulary = vocabulary_in_task(file, pattern)
+        for batch in batches(texts, ROWS_AT_ONCE):
+            ids = [vocabulary.encode(t or "") for t in strings(batch)]
+            yield pd.DataFrame({"token_ids": ids, "decoded": [vocabulary.decode(x) for x in ids]}, dtype=object)
+
+    return both.asNondeterministic()(text)
+
+
 def decoded(ids: Column, file: str, pattern: str) -> Column:
     """The bytes of packed tokens; null stays null."""
 
     @F.pandas_udf("binary")
     def decode(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = vocabulary_in_task(file, pattern)
-        for batch in batches(packed):
+        for batch in batches(packed, ROWS_AT_ONCE):
             yield pd.Series([None if p is None else vocabulary.decode(p) for p in batch.tolist()], dtype=object)
 
     return decode.asNondeterministic()(ids)
@@ -267,6 +286,14 @@ def decode_documents(docs: DataFrame, vocabulary_path: str, pattern: str, ids_co
 
 def round_trip(docs: DataFrame, vocabulary_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``token_ids``, ``n_tokens``, ``decoded``, and ``exact``: whether decoding gives the text back."""
-    out = decode_documents(encode_documents(docs, vocabulary_path, pattern, text_col), vocabulary_path, pattern)
-    exact = fresh("exact", docs) if text_col == "exact" else "exact"
-    return out.withColumn(exact, F.col("decoded") == F.encode(F.coalesce(col(text_col), F.lit("")), "UTF-8"))
+    file = ship(docs.sparkSession, vocabulary_path)
+    both = fresh("coded", docs)
+    out = docs.withColumn(both, coded(col(text_col), file, pattern))
+    exact = F.col(f"{both}.decoded") == F.encode(F.coalesce(col(text_col), F.lit("")), "UTF-8")
+    return (
+        out.withColumn("exact", exact)
+        .withColumn("token_ids", F.col(f"{both}.token_ids"))
+        .withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("bigint"))
+        .withColumn("decoded", F.col(f"{both}.decoded"))
+        .drop(both)
+    )

@@ -67,9 +67,7 @@ BPE_RANKS = "byte_bpe_50k.tiktoken"
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = public_tokenizers.path(BPE_RANKS)
-    tokens = bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
-    both = bpe.decode_documents(tokens.drop("text"), path, public_tokenizers.PATTERN)
+    both = bpe.round_trip(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
     return both.select(
         "doc_id",
         "n_tokens",
