@@ -54,10 +54,10 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if before[0] == 0:
             break
-        both = written(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
+        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.distinct(), "large")
+        large = written(large, "large")
         least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(moved.union(least.select("u", F.col("m").alias("v"))).distinct(), "small")
