@@ -13,7 +13,8 @@ go through written tables; nothing is gathered by the driver.
 
 Defined results: a null or empty text, or one of white space, has the fingerprint 0 and is linked like any other.
 ``component_id`` is the smallest id that can be reached; ids that are null are in no minimum, and the component has a
-null id if all of its ids are. Rows that repeat an id each get a row. Texts of any length are read whole. Only the two
+null id if all of its ids are. The component's first row is the one with the smallest id, ids that are null behind all
+others, and of those with the smallest hash of the text. Rows that repeat an id each get a row. Texts of any length are read whole. Only the two
 columns named are read, so other columns do not matter; an empty table gives an empty result.
 """
 
@@ -115,46 +116,52 @@ def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``fp`` (signed number), ``fingerprint`` (16 hexadecimal digits),
-    ``component_id``, and ``text_hash``, which tells apart rows that share an id."""
+    ``component_id``, ``text_hash``, which tells apart rows that share an id, and ``component_hash``, the ``text_hash`` of
+    the component's first row."""
     own = docs.select(
         col(id_col).alias("id"),
         text_hash(col(text_col)).alias("text_hash"),
         fingerprints(col(text_col), shingle).alias("fp"),
     )
     own = written(own, "fingerprints")
-    prints = written(own.groupBy("fp").agg(F.min("id").alias("least")), "prints")
+    row = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash")
+    prints = written(own.groupBy("fp").agg(F.min(row).alias("least")), "prints")
     roots = components(written(links(prints, max_bits), "links"))
     rooted = prints.join(roots, prints.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     rooted = written(rooted, "rooted")
-    groups = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "groups")
-    labels = written(rooted.join(groups, "root").select("fp", "component_id"), "labels")
+    groups = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = [F.col("first.id").alias("component_id"), F.col("first.text_hash").alias("component_hash")]
+    groups = written(groups.select("root", *named), "groups")
+    labels = written(rooted.join(groups, "root").select("fp", "component_id", "component_hash"), "labels")
     return own.join(labels, "fp").select(
         F.col("id").alias(id_col),
         "fp",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
         "text_hash",
+        "component_hash",
     )
 
 
 def drop_near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with the columns they had.
+    """The first row of each group, with the columns it had.
 
-    Of rows that are equal in id and text one stays. A row without an id stays if its group has no id at all.
+    Of rows that are equal in id and text one stays; a null text equals an empty one. Rows that share an id but not a group
+    do not touch each other. A row without an id can stay only if its group has no id at all.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    found = written(found.select(col(id_col).alias("id"), "text_hash", "component_id"), "near_duplicates")
-    losers = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "text_hash").distinct()
+    first = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
+    found = written(found.select(col(id_col).alias("id"), "text_hash", "component_id", "component_hash"), "near_duplicates")
+    losers = found.where(~first).select("id", "text_hash").distinct()
     losers = broadcast_if_small(written(losers, "losers"))
     hash_col = fresh("text_hash", docs)
     hashed = docs.withColumn(hash_col, text_hash(col(text_col)))
     same = hashed[f"`{id_col}`"].eqNullSafe(losers["id"]) & (hashed[hash_col] == losers["text_hash"])
     kept = hashed.join(losers, same, "left_anti")
-    stay = found.where(F.col("id").eqNullSafe(F.col("component_id")))
-    if stay.groupBy("id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([id_col])
+    if found.where(first).groupBy("id", "text_hash").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col, hash_col])
     return kept.drop(hash_col)

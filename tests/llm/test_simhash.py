@@ -77,6 +77,27 @@ def test_of_equal_rows_one_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 9]
 
 
+def test_an_id_in_two_groups_keeps_both_rows(spark):
+    docs = odd_documents(spark)
+    given = docs.select("doc_id", "text").collect()
+    fps = sorted({plain_fingerprint(r["text"]) for r in given})
+    root = components(fps, [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3])
+    groups = {}
+    for r in given:
+        groups.setdefault(root[plain_fingerprint(r["text"])], []).append(r["doc_id"])
+    first = [min(ids, key=lambda i: (i is None, i or 0)) for ids in groups.values()]
+    kept = [r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, first)) and kept.count(7) == 2 and None in kept
+
+
+def test_rows_without_ids_and_unrelated_rows_of_one_id(spark):
+    rows = [(None, "red green blue pink"), (None, "red green blue pink"), (None, "one two three four"), (None, None), (None, "")]
+    rows += [(7, "the first of two texts"), (7, "nothing like that at all"), (8, "nothing like that at all"), (9, "a b c d"), (9, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [(r["doc_id"], r["text"] or "") for r in simhash.drop_near_duplicates(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, {(i, t or "") for i, t in rows if i != 8}))
+
+
 def test_query(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()
     copy = spark.read.parquet(f"{data}/documents.parquet").where(F.col("doc_id") < 0)
