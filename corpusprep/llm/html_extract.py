@@ -7,7 +7,10 @@ is a copy of it, and nothing is deleted.
 
 Markup goes first. Lines inside elements that by their name, role or class are menus, headers, footers, sidebars, notices,
 adverts, forms or comments are never text. Where the page says what its article is (``article``, else ``main``), the
-article is the text, and a line of it that the neighbour quotes stays; elsewhere differencing decides.
+article is the text, and a line of it that the neighbour quotes stays. Elsewhere differencing decides: on pages without
+an article, among the lines of several articles, and, where markup drops every line, among all lines, if the neighbour
+shares any. An article inside a dropped element counts only on pages that have no other, and only if that element is
+a form, a div or a paragraph not marked as holding other texts (comments, related, sidebar and the like), or was left open.
 
 The neighbours' lines are compared by hash, so only addresses and hashes move. Hosts are not groups: all pages are sorted
 by range partitioning into one order, which is cut into blocks of ``BLOCK`` pages that share their outermost pages; so a
@@ -57,6 +60,13 @@ NOT_TEXT_WORDS = frozenset(
     "topbar widget".split()
 )
 
+#: Marks of elements whose articles are not the page's own.
+OTHERS_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising comment comments disqus newsletter promo promoted promotion related "
+    "replies reply respond sidebar social sponsor sponsored widget".split()
+)
+OTHERS_ROLES = frozenset(("complementary", "navigation"))
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>|<[!?][^>]*>",
     re.S,
@@ -65,7 +75,8 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
-DROPPED, OPEN, MAIN, ARTICLE = range(4)
+#: SEVERAL: in one of several articles that stand side by side.
+DROPPED, OPEN, MAIN, ARTICLE, SEVERAL = range(5)
 
 
 def _is_boilerplate(name: str, attributes: str) -> bool:
@@ -85,14 +96,33 @@ def _is_boilerplate(name: str, attributes: str) -> bool:
     return False
 
 
+def _holds_others(name: str, attributes: str) -> bool:
+    """Whether articles inside this dropped element are not the page's own, even if the page has no other."""
+    if name == "aside":
+        return True
+    return any(
+        "".join(values).lower().strip() in OTHERS_ROLES
+        if key.lower() == "role"
+        else not OTHERS_WORDS.isdisjoint(_PARTS.split("".join(values).lower()))
+        for key, *values in _ATTRIBUTE.findall(attributes)
+    )
+
+
 def lines_of(page: str | None) -> tuple[list[str], list[int]]:
     """The text lines of a page (one per block with text, in page order) and what each is: dropped by its markup, inside
-    the article, inside the main element, or open."""
+    the article, inside the main element, inside one of several articles, or open."""
     page = page or ""
     lines: list[str] = []
     kinds: list[int] = []
     text: list[str] = []
-    stack: list[tuple[str, int]] = []  # open elements that matter, and the kind of what is in them
+    # Open elements that matter, and the kind of what is in them; negative in an article inside a dropped element.
+    stack: list[tuple[str, int]] = []
+    holders: list[tuple[int, bool]] = []  # places in the stack of what is dropped, and whether it holds other texts
+    needs: list[frozenset] = []  # for each line, the names that must have been left open for its negative kind to count
+    need: frozenset = frozenset()
+    numbers: list[int] = []  # for each line, the number of its article
+    article = 0
+    left_open: set[str] = set()
     kind = OPEN
 
     def flush() -> None:
@@ -101,6 +131,8 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             if line:
                 lines.append(line)
                 kinds.append(kind)
+                needs.append(need)
+                numbers.append(article)
             text.clear()
 
     at = 0
@@ -129,36 +161,55 @@ def lines_of(page: str | None) -> tuple[list[str], list[int]]:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
                     flush()
+                    left_open.update(n for n, _ in stack[depth + 1 :])
                     del stack[depth:]
                     break
         elif name not in VOID:
             if name in BLOCKS and stack and stack[-1][0] == "p":
                 stack.pop()
             within = stack[-1][1] if stack else OPEN
+            while holders and holders[-1][0] >= len(stack):
+                holders.pop()
             if name == "article" and within != DROPPED:
-                stack.append((name, ARTICLE))
+                if abs(within) != ARTICLE:
+                    article += 1
+                stack.append((name, ARTICLE if within > 0 else -ARTICLE))
             elif name == "main" and within == OPEN:
                 stack.append((name, MAIN))
-            elif name in ("article", "main") and any(n == "p" or n == "div" for n, k in stack if k == DROPPED):
-                del stack[next(i for i, (_, k) in enumerate(stack) if k == DROPPED) :]  # an element that was left open
-                stack.append((name, ARTICLE if name == "article" else MAIN))
+            elif name in ("article", "main") and within == DROPPED and _may_be_own(stack, holders):
+                if name == "article":
+                    article += 1
+                need = frozenset(stack[i][0] for i, _ in holders) - {"form", "div", "p"}
+                stack.append((name, -ARTICLE if name == "article" else -MAIN))
             elif name in HEADINGS and within == DROPPED and _title_in_article(stack):
-                stack.append((name, ARTICLE))
+                stack.append((name, next(k for _, k in reversed(stack) if k != DROPPED)))
             elif _is_boilerplate(name, attributes):
                 flush()
+                holders.append((len(stack), _holds_others(name, attributes)))
                 stack.append((name, DROPPED))
             elif name in BLOCKS and name not in ("p", "li", "dt", "dd", "tr", "tbody", "thead", "tfoot", "html"):
                 stack.append((name, within))
         kind = stack[-1][1] if stack else OPEN
     flush()
+    left_open.update(n for n, _ in stack)
+    own = any(k >= MAIN for k in kinds)
+    kinds = [k if k >= 0 else -k if not own and n <= left_open else DROPPED for k, n in zip(kinds, needs)]
+    if len({n for k, n in zip(kinds, numbers) if k == ARTICLE}) > 1:
+        kinds = [SEVERAL if k == ARTICLE else k for k in kinds]
     return lines, kinds
 
 
+def _may_be_own(stack: list[tuple[str, int]], holders: list[tuple[int, bool]]) -> bool:
+    """Whether an article that starts here inside dropped elements may be the page's own, if there is no other."""
+    return not any(others for _, others in holders) and all(DROPPED <= k <= MAIN for _, k in stack)
+
+
 def _title_in_article(stack: list[tuple[str, int]]) -> bool:
     """Whether the only thing that drops what comes is the header of an article, whose headings are text."""
-    dropped = [i for i, (_, k) in enumerate(stack) if k == DROPPED]
+    start = max((i + 1 for i, (_, k) in enumerate(stack) if k < 0), default=0)
+    dropped = [i for i, (_, k) in enumerate(stack) if k == DROPPED and i >= start]
     first = dropped[0]
-    return stack[first][0] == "header" and first > 0 and stack[first - 1][1] == ARTICLE and all(
+    return stack[first][0] == "header" and first > 0 and abs(stack[first - 1][1]) == ARTICLE and all(
         stack[i][0] in ("header", "div") for i in dropped
     )
 
@@ -335,10 +386,13 @@ def extract(
     same = col(id_col).cast("bigint").eqNullSafe(F.col(id_)) & (F.col(hash_here) == F.col(hash_))
     joined = read.join(shared, same, "left")
     kinds, lines = F.col(f"{page}.kinds"), F.col(f"{page}.lines")
-    best = F.greatest(F.coalesce(F.array_max(kinds), F.lit(DROPPED)), F.lit(OPEN))
+    best = F.coalesce(F.array_max(kinds), F.lit(DROPPED))
     numbers = F.filter(F.sequence(F.lit(0), F.size(lines)), lambda i: F.get(kinds, i) == best)
-    numbers = F.when(best >= MAIN, numbers).otherwise(
-        F.array_except(numbers, F.coalesce(F.col(places), F.array().cast("array<int>")))
+    none = F.array().cast("array<int>")
+    declared = best.isin(MAIN, ARTICLE)
+    unknown = (best == DROPPED) & F.col(places).isNull()
+    numbers = F.when(declared, numbers).when(unknown, none).otherwise(
+        F.array_except(numbers, F.coalesce(F.col(places), none))
     )
     text = F.array_join(F.transform(numbers, lambda i: F.get(lines, i)), "\n")
     out = joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint"))

@@ -50,6 +50,34 @@ def test_main_text(page):
     assert "\n".join(x for x, k in zip(lines, kinds) if k == best) == MAIN[page]
 
 
+OWN = {
+    "<article><p>text</article><div id='comments'><article class='comment'><p>me</article></div>": "text",
+    "<p>text</p><div id='comments'><article class='comment'><p>me</article></div>": "text",
+    "<article><p>text<div id=comments><article><p>me</article></div></article>": "text",
+    "<article><p>text</article><aside><div><article><p>teaser</article></div></aside>": "text",
+    "<aside><div><article><p>teaser</article></div></aside><article><p>text</article>": "text",
+    "<form><div>menu</div><article><header><h1>T</h1><p>by</header><p>text</article></form>": "T\ntext",
+    "<nav><p>menu<article><p>text</article>": "text",
+    "<nav><article><p>teaser</article></nav><p>text": "text",
+}
+
+
+@pytest.mark.parametrize("page", OWN)
+def test_articles_in_dropped_elements(page):
+    lines, kinds = hx.lines_of(page)
+    best = max([1, *kinds])
+    assert "\n".join(x for x, k in zip(lines, kinds) if k == best) == OWN[page]
+
+
+def test_differencing_where_markup_leaves_a_choice(spark):
+    several = "<article><p>own {0}</article><article><p>teaser</article>"
+    dropped = "<form><div>Menu</div><div>text {0}</div></form>"
+    rows = [(i, f"http://s/{i}", several.format(i)) for i in (1, 2)] + [(i, f"http://d/{i}", dropped.format(i)) for i in (3, 4)]
+    rows += [(5, "http://alone/", dropped.format(5))]
+    got = {r["page_id"]: r["text"] for r in hx.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "own 1", 2: "own 2", 3: "text 3", 4: "text 4", 5: ""}
+
+
 def page(*lines):
     return "<body>" + "".join(f"<div>{x}</div>" for x in lines)
 
