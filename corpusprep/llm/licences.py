@@ -5,6 +5,9 @@ become one, and what is neither letter nor digit becomes one space. The SHA-256
 digests of known licences and licence notices by a hash join. That is done for each whole text and for each line of it,
 since notices stand alone in a line.
 
+Known are the notices below for every licence in ``NAMES``, and the full texts in ``licence_texts.jsonl``. AGPL-3.0,
+CC-BY-4.0, CC-BY-NC-4.0 and CC-BY-ND-4.0 have no full text there: they are found by their notices only.
+
 Known texts are few; their table is broadcast after its size is checked. Each document's matches are counted in the task
 that read it, so one row per document is shuffled, without its text.
 
@@ -13,6 +16,9 @@ nothing. Texts of any length are read whole. Every row gets its own result, also
 two columns named are read, so other columns do not matter; an empty table gives an empty result.
 """
 
+import json
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +72,7 @@ NOTICES = (
     "SPDX-License-Identifier: {}",
     "License: {}",
 )
-#: Whole texts of short licences.
+#: Whole texts of short licences and of notices; full texts of others are in FULL_TEXTS.
 TEXTS = {
     "MIT": """MIT License
 
@@ -105,9 +111,18 @@ MPL was not distributed with this file, You can obtain one at https://mozilla.or
 }
 
 
+FULL_TEXTS = "licence_texts.jsonl"
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the data file; a licence has several when it is published in several forms."""
+    rows = map(json.loads, pkgutil.get_data(__package__, FULL_TEXTS).decode().rstrip("\n").split("\n"))
+    return [(row["licence"], row["text"]) for row in rows]
+
+
 def known_texts(spark: SparkSession) -> DataFrame:
     """(licence, text): the licences and notices that this package knows. Users may add rows of their own."""
-    rows = [(licence, text) for licence, text in TEXTS.items()]
+    rows = [*TEXTS.items(), *full_texts()]
     rows += [(licence, form.format(name)) for licence, names in NAMES.items() for name in names for form in NOTICES]
     return spark.createDataFrame(rows, "licence string, text string")
 

@@ -51,6 +51,16 @@ def test_notices_in_lines(spark):
     assert rows[3]["licence"] is None
 
 
+def test_full_texts(spark):
+    texts = licences.full_texts()
+    no_text = {"AGPL-3.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0"}
+    assert {licence for licence, _ in texts} == set(licences.NAMES) - no_text
+    docs = [(i, "Copyright (c) 2024 Somebody\n" + text.upper()) for i, (_, text) in enumerate(texts)]
+    rows = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert [rows[i]["licence"] for i in range(len(texts))] == [licence for licence, _ in texts]
+    assert rows[0]["text_digest"] == hashlib.sha256(plain_form(docs[0][1]).encode()).hexdigest()
+
+
 def test_names_agree():
     assert len({plain_form(f.format(n)) for names in licences.NAMES.values() for n in names for f in licences.NOTICES}) > 200
     assert set(licences.TEXTS) <= set(licences.NAMES)
