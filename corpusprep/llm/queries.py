@@ -13,6 +13,7 @@ from corpusprep.llm import (
     line_dedup,
     quality_classifier,
     quality_rules,
+    secrets,
     simhash,
     warc,
 )
@@ -97,6 +98,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars", "n_shared")
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -110,6 +115,7 @@ QUERIES = {
         op8_licence_scan,
         op9_quality_classifier,
         op10_html_extraction,
+        op13_secret_scan,
     )
 }
 
@@ -136,6 +142,21 @@ def _lines_sql(text: str) -> str:
     return f"list_filter({lines}, lambda l: l IS NOT NULL AND l <> '')"
 
 
+def _secret_matches_sql() -> str:
+    """row, kind, i, skip, size, value for each match, as one SELECT for each kind."""
+    patterns = (secrets.ASSIGN, secrets.ACCESS, secrets.HEX, secrets.OPAQUE)
+    each = []
+    for kind, pattern in enumerate(p.replace("'", "''") for p in patterns):
+        value = f"regexp_extract(match, '{pattern}', 2)" if kind == 0 else "match"
+        each.append(f"""
+            SELECT row, {kind} AS kind, i, length(skip) AS skip, length(match) AS size, {value} AS value FROM (
+                SELECT row, unnest(regexp_extract_all(body, '{pattern}')) AS match,
+                       unnest(string_split_regex(body, '{pattern}')[:-2]) AS skip,
+                       unnest(range(len(regexp_extract_all(body, '{pattern}')))) AS i
+                FROM texts WHERE regexp_matches(body, '{pattern}'))""")
+    return " UNION ALL ".join(each)
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_archive": """
         WITH p AS (
@@ -165,4 +186,41 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, text_digest, by_text.licence AS licence, coalesce(n, 0) AS n_licence_lines,
                coalesce(licences, '') AS licences
         FROM whole LEFT JOIN by_text USING (row) LEFT JOIN counted USING (row) LEFT JOIN named USING (row)""",
+    "op13_secret_scan": f"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS body
+            FROM documents
+        ), matches AS ({_secret_matches_sql()}), looked AS (
+            SELECT *, sum(skip + size) OVER (PARTITION BY row, kind ORDER BY i) AS "end",
+                   length(value) >= {secrets.LOOKS[0]} AND len(list_distinct(string_split(value, ''))) >= {secrets.LOOKS[1]}
+                   AND length(regexp_replace(value, '[^0-9]', '', 'g')) >= {secrets.LOOKS[2]}
+                   AND regexp_matches(value, '[A-Za-z]') AND NOT regexp_matches(value, '{secrets.PLACEHOLDER}') AS random
+            FROM matches
+        ), kept AS (
+            SELECT row, kind, "end" - size AS "start", "end", value, random FROM looked
+            WHERE CASE WHEN kind < {secrets.BASE} THEN length(value) >= {secrets.LEAST_VALUE} ELSE random END
+        ), spans AS (
+            SELECT * FROM kept k WHERE kind < {secrets.BASE} OR NOT EXISTS (
+                SELECT * FROM kept b WHERE b.row = k.row AND b.kind < {secrets.BASE}
+                AND b."start" < k."end" AND k."start" < b."end")
+        ), owners AS (
+            SELECT value, count(DISTINCT owner) AS n_owners FROM spans JOIN texts USING (row) GROUP BY value
+        ), judged AS (
+            SELECT row, kind, "start", n_owners > {secrets.MAX_OWNERS} AS copied,
+                   random AND n_owners <= {secrets.MAX_OWNERS} AS live,
+                   concat(string_split('{' '.join(secrets.KINDS)}', ' ')[kind + 1], ':', "start"::BIGINT, ':', "end"::BIGINT) AS span
+            FROM spans JOIN owners USING (value)
+        ), listed AS (
+            SELECT row, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+                   count(*) FILTER (WHERE kind = 2) AS n_hex, count(*) FILTER (WHERE kind = 3 AND live) AS n_opaque,
+                   count(*) FILTER (WHERE copied) AS n_copied,
+                   string_agg(span, ',' ORDER BY "start", kind) FILTER (WHERE kind < {secrets.BASE}) AS base,
+                   string_agg(span, ',' ORDER BY "start", kind) FILTER (WHERE kind < {secrets.BASE} OR live) AS spans,
+                   string_agg(span, ',' ORDER BY "start", kind) FILTER (WHERE live) AS live
+            FROM judged GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               coalesce(n_opaque, 0) AS n_opaque, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+               coalesce(live, '') AS live, coalesce(n_copied, 0) AS n_copied
+        FROM texts LEFT JOIN listed USING (row)""",
 }
