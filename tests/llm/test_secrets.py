@@ -110,4 +110,4 @@ def test_no_python_and_no_texts_in_shuffles(spark):
     docs = spark.createDataFrame([(1, f"token={KEY}", "s")], SCHEMA)
     rows, found = secrets.find(docs)
     for frame in (secrets._marked(docs, "doc_id", "text", "doc_id", "source"), found, secrets.scan(docs)):
-        assert not re.search("Python|Pandas|Arrow", plan_text(frame))
+        assert not re.search("EvalPython|InPandas|InArrow|BatchEval", plan_text(frame))
