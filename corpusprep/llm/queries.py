@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     html_extract,
     language_id,
@@ -98,6 +99,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", "n_chars", "n_shared")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.with_all(conversation_repair.repair(conversation_repair.damage(rows)), rows)
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source")
 
@@ -115,6 +121,7 @@ QUERIES = {
         op8_licence_scan,
         op9_quality_classifier,
         op10_html_extraction,
+        op11_conversation_repair,
         op13_secret_scan,
     )
 }
