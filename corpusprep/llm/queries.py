@@ -8,6 +8,7 @@ from corpusprep.llm import (
     bpe,
     conversation_repair,
     decontaminate,
+    hard_negatives,
     html_extract,
     language_id,
     licences,
@@ -104,6 +105,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.with_all(conversation_repair.repair(conversation_repair.damage(rows)), rows)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"), repo_col="doc_id", owner_col="source")
 
@@ -122,6 +130,7 @@ QUERIES = {
         op9_quality_classifier,
         op10_html_extraction,
         op11_conversation_repair,
+        op12_hard_negatives,
         op13_secret_scan,
     )
 }
@@ -193,6 +202,26 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, text_digest, by_text.licence AS licence, coalesce(n, 0) AS n_licence_lines,
                coalesce(licences, '') AS licences
         FROM whole LEFT JOIN by_text USING (row) LEFT JOIN counted USING (row) LEFT JOIN named USING (row)""",
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                   list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+        ), positive AS (
+            SELECT * FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, p.id AS positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INT AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+             AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+        QUALIFY rank <= 3""",
     "op13_secret_scan": f"""
         WITH texts AS (
             SELECT row_number() OVER () AS row, doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS body
