@@ -166,7 +166,8 @@ def build() -> dict[str, str]:
         tokens("tok", "(SELECT doc_id, lang, lower(text) AS text FROM documents)", "doc_id"),
         select=joined("(SELECT doc_id, text AS raw_text FROM documents)", "tok", "doc_id", "form", "lemmas", "raw_text"),
     )
-    sql["input_parts"] = "SELECT 7::BIGINT AS n_parts"
+    sql["input_parts"] = """SELECT doc_id % 6 AS part, count(*) AS n_rows FROM documents GROUP BY 1
+      UNION ALL SELECT 6, 0"""
     sql["stopword_load"] = f"""SELECT word, count(*) AS n_given, true AS listed FROM
       (SELECT unnest(regexp_extract_all(lower(text), '{WORD}')) AS word FROM documents)
       WHERE length(word) <= 4 GROUP BY word"""

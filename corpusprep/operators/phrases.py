@@ -119,17 +119,13 @@ def merge_phrases(
 def _merge(tokens: Column, hits: Column) -> Column:
     """Merge at ``hits``, the sorted positions of tokens that begin a phrase.
 
-    A hit right behind a merged one is its second word, so it is passed over.
+    A hit right behind a merged one is its second word, so of a run of hits every
+    second one is merged, from the first. Runs are found by their two ends, which
+    takes time in proportion to the hits.
     """
-    none = F.array().cast("array<int>")
-    begins = F.aggregate(
-        hits,
-        F.struct(F.lit(-2).alias("last"), none.alias("kept")),
-        lambda state, hit: F.when(hit == state["last"] + 1, state).otherwise(
-            F.struct(hit.alias("last"), F.concat(state["kept"], F.array(hit)).alias("kept"))
-        ),
-        lambda state: state["kept"],
-    )
+    firsts = F.filter(hits, lambda p, i: (i == 0) | (F.get(hits, i - 1) < p - 1))
+    lasts = F.filter(hits, lambda p, i: (i == F.size(hits) - 1) | (F.get(hits, i + 1) > p + 1))
+    begins = F.flatten(F.zip_with(firsts, lasts, lambda first, last: F.sequence(first, last, F.lit(2))))
     ends = F.concat(F.array(F.lit(0)), F.transform(begins, lambda p: p + 2))
     stretches = F.zip_with(
         ends,

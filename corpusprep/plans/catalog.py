@@ -61,12 +61,14 @@ def saved_result(spark, folder):
 
 
 def input_parts(spark, folder):
-    """Documents are written as seven files, one of them without rows, and the files counted."""
+    """Documents are written in six parts of several files each, and a seventh without rows; rows are counted by file."""
     path = new_path(spark, "parts.parquet")
     kept = documents(spark, folder).select("doc_id", F.pmod("doc_id", F.lit(6)).alias("part"))
-    for part in range(7):
-        kept.where(F.col("part") == part).coalesce(1).write.mode("append").parquet(path)
-    return tables.input_parts(spark.read.parquet(path))
+    kept.repartition("part", F.pmod(F.hash("doc_id"), F.lit(4))).write.partitionBy("part").parquet(path)
+    kept.where("false").select("doc_id").write.parquet(f"{path}/part=6")
+    parts = tables.input_parts(spark, path)
+    part = F.regexp_extract("file", r"part=(\d+)/", 1).cast("bigint")
+    return parts.groupBy(part.alias("part")).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def stopword_load(spark, folder):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,16 +67,49 @@ def _q(name: str) -> str:
 
 
 def save_parquet(df: DataFrame, path: str, inputs: list[str] | tuple[str, ...] = ()) -> str:
-    """Write ``df`` over whatever is at ``path``.
+    """Write ``df`` in the place of whatever is at ``path``.
 
-    ``inputs`` are the paths ``df`` is read from. Equal or nested paths are
-    refused: overwriting removes the old files before the lazy read gets to them.
+    The new result is written aside and put in place when it is complete, so an
+    earlier result stays readable until then, and is left as it was by a run that
+    fails. ``inputs`` are the paths ``df`` is read from. Equal or nested paths are
+    refused: replacing removes files that a lazy read may still need.
     """
-    refuse_overlap(df.sparkSession, path, inputs)
-    df.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    refuse_overlap(spark, path, inputs)
+    new, old = (_aside(spark, path, kind) for kind in ("new", "old"))
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(new.toString())
+        replaced = system.exists(target)
+        if target.getParent() is not None:
+            system.mkdirs(target.getParent())
+        if replaced:
+            _move(system, target, old)
+        try:
+            _move(system, new, target)
+        except OSError:
+            if replaced:
+                _move(system, old, target)
+            raise
+    finally:
+        system.delete(new, True)
+    if replaced:
+        system.delete(old, True)
     return path
 
 
+def _aside(spark: SparkSession, path: str, kind: str):
+    """A hidden neighbour of ``path``, on the same file system, with a name of its own."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}.{uuid.uuid4().hex}.{kind}")
+
+
+def _move(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source.toString()} could not be moved to {target.toString()}")
+
+
 def refuse_overlap(spark: SparkSession, path: str, inputs: list[str] | tuple[str, ...]) -> None:
     """Raise an error when ``path`` is, holds or lies in one of ``inputs``, however the paths are written."""
     target = _parts(spark, path)
@@ -130,6 +165,10 @@ def reuse_result(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]
     return df, raw_text_columns(df.columns)
 
 
-def input_parts(df: DataFrame) -> DataFrame:
-    """Number of files that a file-based table consists of, from its file list; no row is read."""
-    return df.sparkSession.range(1).select(F.lit(len(set(df.inputFiles()))).cast("bigint").alias("n_parts"))
+def input_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, n_rows) for each parquet file below ``path``, files without rows included. No column is read."""
+    options = {"recursiveFileLookup": True, "pathGlobFilter": "*.parquet"}
+    files = spark.read.format("binaryFile").options(**options).load(path).select(F.col("_metadata.file_path").alias("file"))
+    rows = spark.read.options(**options).parquet(path).select(F.col("_metadata.file_path").alias("file"))
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"))
+    return files.join(counts, "file", "left").select("file", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))

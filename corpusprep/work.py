@@ -91,16 +91,37 @@ def spread_small(df: DataFrame, path: str | list[str]) -> DataFrame:
     return df.repartition(cores) if files < cores and size < cores * SPREAD_BYTES_PER_CORE else df
 
 
+def staged(df: DataFrame, key: str, name: str, dealt: bool = False) -> DataFrame:
+    """Write ``df`` once, in buckets of ``key`` that are sorted by it, and read it back.
+
+    Later joins and groupings on the key find each row where it is: only the small
+    findings are shuffled to them, never the columns of the table. ``dealt`` says
+    that ``df`` is in such a stage's partitions already, so that the write does not
+    shuffle it once more. There are as many buckets as the session has shuffle
+    partitions, which is what the shuffled side of a join has.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"corpusprep_{uuid.uuid4().hex}"
+    rows = df if dealt else df.repartition(buckets, key)
+    writer = rows.write.format("parquet").bucketBy(buckets, key).sortBy(key)
+    writer.option("path", new_path(spark, name)).saveAsTable(table)
+    stage = spark.table(table)
+    # The plan holds files and buckets now; the name was only needed to get them into it.
+    spark.sql(f"DROP TABLE {table}")
+    return stage
+
+
 def keyed(df: DataFrame, key: str | None) -> tuple[DataFrame, str]:
     """``df`` with a column that identifies each row, and that column's name.
 
     A ``key`` given by the caller must be unique. Without one a row number is
-    assigned and the table is written, so that every later scan sees the same
+    assigned and the table is staged, so that every later scan sees the same
     numbers even after a stage is retried.
     """
     if key is not None:
         return df, key
-    return written(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed", spread=True), ROW_KEY
+    return staged(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), ROW_KEY, "keyed"), ROW_KEY
 
 
 def unkeyed(df: DataFrame, given: str | None) -> DataFrame:

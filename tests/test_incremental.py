@@ -122,3 +122,11 @@ def test_finished_parts_by_file_name(spark, tmp_path):
     for name in ("parquet_embeddings_part_3.parquet", "parquet_embeddings_part_10.parquet", "other.parquet"):
         df.to_parquet(tmp_path / name)
     assert sorted(r["part"] for r in finished_parts(spark, str(tmp_path)).collect()) == [3, 10]
+
+
+def test_a_step_that_is_folded_away_counts_its_rows_and_commits(spark, tmp_path):
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.range(5).select("id", F.lit("text").alias("raw_text")).coalesce(1).write.parquet(source)
+    assert process_new_files(spark, source, target, checkpoint, lambda batch: batch.where("false")) == 5
+    assert process_new_files(spark, source, target, checkpoint, lambda batch: batch.where("false")) == 0
+    assert read_processed(spark, target).count() == 0

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -135,3 +136,15 @@ def test_any_token_may_stand_beside_a_phrase(spark):
     out = {r["id"]: r["lemmas"] for r in ph.merge_phrases(docs, table, key="id").collect()}
     assert out[1] == " ".join(["", "a\u0001", "b_c", "", "\u0002", "b_c", "b_c"])
     assert (out[2], out[3]) == ("", "")
+
+
+def test_merging_takes_time_in_proportion_to_the_hits(spark):
+    """160,000 hits in one text, in runs and alone."""
+    tokens = ["a"] * 80_001 + ["x"] + ["a", "b"] * 80_000
+    docs = spark.createDataFrame([(0, tokens)], "id bigint, tokens array<string>")
+    pairs = {("a", "a"), ("a", "b")}
+    table = spark.createDataFrame(sorted(pairs), "w string, nx string")
+    began = time.perf_counter()
+    out = ph.merge_phrases(docs, table, key="id").first()["lemmas"]
+    assert time.perf_counter() - began < 20
+    assert out == one_by_one(tokens, pairs)

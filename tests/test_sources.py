@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusprep import work
 from corpusprep.sources import lexicons, mapping, tables
@@ -104,9 +105,40 @@ def test_earlier_results_are_found_by_their_columns(spark, frame, tmp_path):
 
 
 def test_input_parts(spark, frame, tmp_path):
-    frame.repartition(3, "id").write.parquet(str(tmp_path / "p"))
-    n = len([f for f in (tmp_path / "p").iterdir() if f.name.endswith("parquet")])
-    assert tables.input_parts(spark.read.parquet(str(tmp_path / "p"))).first()["n_parts"] in (n, n - 1)
+    frame.repartition(3).write.parquet(str(tmp_path / "p" / "k=1"))
+    frame.where("false").write.parquet(str(tmp_path / "p" / "k=2"))
+    files = list((tmp_path / "p").rglob("*.parquet"))
+    rows = tables.input_parts(spark, str(tmp_path / "p")).collect()
+    assert len(rows) == len(files) and sum(r["n_rows"] for r in rows) == frame.count()
+    assert min(r["n_rows"] for r in rows) == 0
+
+
+def test_a_run_that_fails_leaves_the_earlier_result(spark, frame, tmp_path):
+    target = str(tmp_path / "result.parquet")
+    tables.save_parquet(frame, target)
+    before = sorted(map(str, frame.collect()))
+    broken = frame.select(*frame.columns, F.raise_error(F.lit("broken")).cast("string").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        tables.save_parquet(broken, target)
+    assert sorted(map(str, spark.read.parquet(target).collect())) == before
+    assert [p.name for p in tmp_path.iterdir()] == ["result.parquet"]
+
+
+def test_the_earlier_result_comes_back_when_the_new_one_cannot_be_moved(spark, frame, tmp_path, monkeypatch):
+    target = str(tmp_path / "result.parquet")
+    tables.save_parquet(frame, target)
+    move = tables._move
+
+    def refuse_new(system, source, destination):
+        if source.getName().endswith(".new"):
+            raise OSError("no")
+        move(system, source, destination)
+
+    monkeypatch.setattr(tables, "_move", refuse_new)
+    with pytest.raises(OSError):
+        tables.save_parquet(frame.limit(1), target)
+    assert spark.read.parquet(target).count() == frame.count()
+    assert [p.name for p in tmp_path.iterdir()] == ["result.parquet"]
 
 
 @pytest.mark.parametrize("newline", ["\n", "\r\n"])
