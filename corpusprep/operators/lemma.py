@@ -121,14 +121,35 @@ def content_lemmas(
         return docs
 
     given = key
-    docs, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
+    docs, key = keyed(docs, key)
+    kept = lemma_arrays(
+        docs, tokens, lang, lexicon=lexicon, surface_stopwords=surface_stopwords, lemma_stopwords=lemma_stopwords,
+        keep_pos=keep_pos, keep_unlisted=keep_unlisted, key=key, literal_entries=literal_entries,
+    )
+    return unkeyed(attach(docs, kept, key, tokens), given)
+
+
+def lemma_arrays(
+    docs: DataFrame,
+    tokens: str,
+    lang: Column,
+    *,
+    lexicon: DataFrame,
+    surface_stopwords: DataFrame | None = None,
+    lemma_stopwords: DataFrame | None = None,
+    keep_pos: tuple[str, ...] | None = CONTENT_POS,
+    keep_unlisted: bool = True,
+    key: str,
+    literal_entries: int = LITERAL_ENTRIES,
+) -> DataFrame:
+    """(key, ``tokens``) as ``content_lemmas`` has them, for the documents that keep a token."""
+    _, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
     if keep_pos is not None:
         long = keep_parts_of_speech(long, keep_pos, keep_unlisted)
     for table, word in ((surface_stopwords, F.lower("form")), (lemma_stopwords, F.col("lemma"))):
         if table is not None:
             long = _drop_long(long.withColumn("word", word), table, literal_entries)
-    kept = long.select(key, "pos", F.lower("lemma").alias("lemma"))
-    return unkeyed(attach(docs, regroup(kept, key, "lemma", tokens), key, tokens), given)
+    return regroup(long.select(key, "pos", F.lower("lemma").alias("lemma")), key, "lemma", tokens)
 
 
 def keep_parts_of_speech(long: DataFrame, keep_pos=CONTENT_POS, keep_unlisted: bool = True) -> DataFrame:

@@ -94,6 +94,10 @@ def _replace(
             pieces = F.when(lang == code, split(text, code)).otherwise(pieces)
         return _replace_by_join(docs, text_col, table, lang, pieces, match, render, key)
 
+    # Texts without any of the marks that every entry has are left as they are.
+    marked = inner and all(set(inner) & set(row["word"]) for row in entries)
+    has_mark = text.rlike(f"[{inner}]") if marked else F.lit(True)
+
     # A word that is listed twice has the first of its expansions in sort order.
     by_lang: dict[str, dict[str, str]] = {}
     for row in sorted(entries):
@@ -101,7 +105,8 @@ def _replace(
     branches = None
     for code, words in by_lang.items():
         replaced = F.array_join(F.transform(split(text, code), _lookup(words, match, render)), "")
-        branches = F.when(lang == code, replaced) if branches is None else branches.when(lang == code, replaced)
+        fits = (lang == code) & has_mark
+        branches = F.when(fits, replaced) if branches is None else branches.when(fits, replaced)
     return docs if branches is None else docs.withColumn(text_col, branches.otherwise(text))
 
 

@@ -16,7 +16,7 @@ from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, tables
 from corpusprep.sources.mapping import FieldMapping
 from corpusprep.streaming.incremental import process_missing_parts, process_new_files, read_processed
-from corpusprep.work import explode_each, new_path, written
+from corpusprep.work import explode_each, new_path, staged, written
 
 DIMS = 64
 
@@ -34,6 +34,11 @@ def texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents", spread=True)
 
 
+def staged_texts(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Documents in buckets of their key, for steps that join or group by it."""
+    return staged(documents(spark, folder).select("doc_id", *columns), "doc_id", "documents")
+
+
 # Sources and sinks
 
 
@@ -155,7 +160,7 @@ def lang_model_counts(spark, folder):
 
 
 def lang_predict_nb(spark, folder):
-    docs = texts(spark, folder)
+    docs = staged_texts(spark, folder, "text", "lang")
     model = language.train_language_model(docs, "text", "lang")
     return language.predict_language(docs.select("doc_id", "text"), "text", model, key="doc_id").select(
         "doc_id", "pred_lang"
@@ -170,7 +175,7 @@ def lang_predict_turns(spark, folder):
 
 
 def lang_filter(spark, folder):
-    docs = texts(spark, folder)
+    docs = staged_texts(spark, folder, "text", "lang", "n_chars")
     model = language.train_language_model(docs, "text", "lang")
     labelled = language.predict_language(docs.select("doc_id", "text", "n_chars"), "text", model, key="doc_id")
     return language.keep_language(labelled, "es").select("doc_id", "text", "n_chars")
@@ -256,7 +261,7 @@ def lemma_lookup(spark, folder):
 
 def pos_filter(spark, folder):
     """Listed content words only, as lowercased lemmas per document."""
-    docs = lemma.tokenise(texts(spark, folder).select("doc_id", "lang", "text"), "text")
+    docs = lemma.tokenise(staged_texts(spark, folder, "lang", "text"), "text").drop("text")
     lexicon = written(corpus_lexicon(spark, folder), "lexicon")
     docs = lemma.content_lemmas(docs, "tokens", F.col("lang"), lexicon=lexicon, keep_unlisted=False, key="doc_id")
     return docs.select("doc_id", F.size("tokens").alias("n_lemmas"), tx.join_tokens(F.col("tokens")).alias("lemmas"))
@@ -300,7 +305,7 @@ def phrase_scores(spark, folder):
 
 def phrase_merge(spark, folder):
     """Flagship: phrases of the whole corpus, merged into every document."""
-    docs = written(_filtered(spark, folder).select("doc_id", "tokens"), "tokens", spread=True)
+    docs = staged(_filtered(spark, folder).select("doc_id", "tokens"), "doc_id", "tokens")
     learned = phrases.learn_phrases(docs)
     return phrases.merge_phrases(docs, learned, key="doc_id").select("doc_id", "lemmas")
 
@@ -330,7 +335,7 @@ def truncate_tokens(spark, folder):
 
 
 def embed_hash(spark, folder):
-    docs = embed.embed_hash(texts(spark, folder).select("doc_id", "text"), "text", DIMS, key="doc_id")
+    docs = embed.embed_hash(staged_texts(spark, folder, "text"), "text", DIMS, key="doc_id")
     cells = docs.select("doc_id", F.posexplode("embeddings").alias("dim", "val")).where("val <> 0")
     return cells.select("doc_id", "dim", F.round("val", 6).alias("val"))
 
@@ -371,7 +376,7 @@ def incremental_embed(spark, folder):
     step = prep.hash_encoder(DIMS, None, "doc_id")
 
     def take(batch):
-        return step(batch, "raw_text", "embeddings")
+        return step(staged(batch, "doc_id", "batch"), "raw_text", "embeddings")
 
     steps = (docs.where("lang = 'en'"), docs.where("lang IN ('fr', 'de')"), docs.where("lang NOT IN ('en', 'fr', 'de')"))
     for n, arrived in enumerate(steps):

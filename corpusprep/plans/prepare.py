@@ -13,7 +13,7 @@ from corpusprep.functions.text import join_tokens
 from corpusprep.functions.vectors import vector_text
 from corpusprep.operators.embed import embed_hash
 from corpusprep.operators.language import LanguageModel, keep_language, predict_language, vote_language
-from corpusprep.operators.lemma import CONTENT_POS, content_lemmas, tokenise
+from corpusprep.operators.lemma import CONTENT_POS, content_lemmas, lemma_arrays, tokenise
 from corpusprep.operators.phrases import MIN_COUNT, THRESHOLD, learn_phrases, merge_phrases
 from corpusprep.operators.quality import overlength_report
 from corpusprep.operators.rewrite import expand_acronyms, expand_contractions
@@ -21,7 +21,7 @@ from corpusprep.operators.shape import apply_mapping, check_columns, corpus_text
 from corpusprep.operators.shape import drop_unusable, null_fill
 from corpusprep.sources.mapping import FieldMapping
 from corpusprep.sources.tables import embeddings_path, path_exists, read_table, refuse_overlap, reuse_result, save_parquet
-from corpusprep.work import keyed, written
+from corpusprep.work import keyed, staged
 
 LANGUAGES = ("en", "es", "de")
 
@@ -32,8 +32,8 @@ class Preparation:
 
     ``language_by`` decides which rows are in ``lang``: the name of a column with
     stored labels, a trained ``LanguageModel``, or a stopword table for a vote.
-    Dictionaries left as None are not applied. Set ``unique_id`` when no id occurs
-    twice; otherwise rows are numbered, which costs one write of the used columns.
+    Dictionaries left as None are not applied. Set ``unique_id`` when no id is
+    missing or occurs twice; otherwise rows are numbered.
     """
 
     mapping: FieldMapping
@@ -53,6 +53,11 @@ class Preparation:
     phrases: dict[str, DataFrame] = field(default_factory=dict)
     """Phrase tables learned before, by text column; others are learned now."""
 
+    @property
+    def joins(self) -> bool:
+        """Whether steps after the language find tokens by the key of their row."""
+        return self.ngrams or self.lexicon is not None
+
 
 def shape_corpus(df: DataFrame, plan: Preparation) -> tuple[DataFrame, str, list[str]]:
     """Rows in the wanted language with id and text columns; the key; the text columns."""
@@ -62,58 +67,76 @@ def shape_corpus(df: DataFrame, plan: Preparation) -> tuple[DataFrame, str, list
     if stored is not None:
         df = df.where(F.col(stored) == plan.lang)
     df = null_fill(df.select(*mapping.used_columns))
-    df, key = keyed(df, mapping.id if plan.unique_id else None)
-    if isinstance(plan.language_by, LanguageModel):
-        df = predict_language(df, mapping.language_field, plan.language_by, "pred_lang", key)
-    elif stored is None:
-        df = vote_language(df, mapping.language_field, plan.language_by, "pred_lang", key)
+    if not plan.unique_id:
+        df, key = keyed(df, None)
+    else:
+        key = mapping.id
+        if stored is None or plan.joins:
+            df = staged(df, key, "source")
     if stored is None:
-        df = keep_language(df, plan.lang)
+        by = plan.language_by
+        label = predict_language if isinstance(by, LanguageModel) else vote_language
+        # Labels are worked out once; the rows stay in their stage and are found there by each later step.
+        labels = label(df.select(key, mapping.language_field), mapping.language_field, by, "pred_lang", key)
+        labels = staged(labels.select(key, "pred_lang"), key, "labels", dealt=True)
+        df = keep_language(df.join(labels, key), plan.lang)
     texts = corpus_text_columns(mapping)
     corpus = apply_mapping(df, mapping, keep=() if key == mapping.id else (key,))
     return drop_unusable(corpus, texts), key, texts
 
 
-def add_tokens(corpus: DataFrame, plan: Preparation, key: str, text_col: str, tokens: str) -> DataFrame:
-    """Rewrite, tokenise, lemmatise and filter one text column into ``tokens``."""
+def rewritten(corpus: DataFrame, plan: Preparation, key: str, text_col: str, tokens: str) -> DataFrame:
+    """Add ``tokens``, those of one text column after acronyms and contractions are written out."""
     lang = F.lit(plan.lang)
     df = corpus.withColumn("_text", F.col(text_col))
     if plan.acronyms is not None:
         df = expand_acronyms(df, "_text", plan.acronyms, lang, key=key)
     if plan.contractions is not None:
         df = expand_contractions(df, "_text", plan.contractions, lang, key=key)
-    df = tokenise(df, "_text", tokens).drop("_text")
-    return content_lemmas(
-        df, tokens, lang, lexicon=plan.lexicon, surface_stopwords=plan.surface_stopwords,
-        lemma_stopwords=plan.lemma_stopwords, keep_pos=plan.keep_pos, keep_unlisted=plan.keep_unlisted, key=key,
-    )
+    return tokenise(df, "_text", tokens).drop("_text")
+
+
+def add_tokens(corpus: DataFrame, plan: Preparation, key: str, text_col: str, tokens: str) -> DataFrame:
+    """Rewrite, tokenise, lemmatise and filter one text column into ``tokens``."""
+    return content_lemmas(rewritten(corpus, plan, key, text_col, tokens), tokens, F.lit(plan.lang), **_choices(plan), key=key)
+
+
+def token_table(corpus: DataFrame, plan: Preparation, key: str, text_col: str, tokens: str) -> DataFrame:
+    """(key, ``tokens``) of one text column; with a lexicon only documents that keep a token."""
+    df = rewritten(corpus.select(key, text_col), plan, key, text_col, tokens).select(key, tokens)
+    make = content_lemmas if plan.lexicon is None else lemma_arrays
+    return make(df, tokens, F.lit(plan.lang), **_choices(plan), key=key)
+
+
+def _choices(plan: Preparation) -> dict:
+    names = ("lexicon", "surface_stopwords", "lemma_stopwords", "keep_pos", "keep_unlisted")
+    return {name: getattr(plan, name) for name in names}
 
 
 def prepare(df: DataFrame, plan: Preparation) -> DataFrame:
     """Id, raw text column(s) and lemmas column(s).
 
-    Tokens are written once, since learning and merging phrases read them three
-    times. Each text column gets its own phrases.
+    Texts are moved once, when their rows are staged by key. Tokens are a table of
+    their own, staged by the same key, since learning and merging phrases read them
+    three times. Each text column gets its own phrases.
     """
     corpus, key, texts = shape_corpus(df, plan)
-    if plan.lexicon is not None and not isinstance(plan.language_by, str):
-        # Looking up lemmas reads the corpus twice; language is to be worked out once.
-        corpus = written(corpus, "corpus", spread=True)
-    names = derived_names(texts, "lemmas")
-    tokens = [f"_tokens{i}" for i in range(len(texts))]
-    for text, token_col in zip(texts, tokens):
-        corpus = add_tokens(corpus, plan, key, text, token_col)
-    if plan.ngrams:
-        corpus = written(corpus, "tokens", spread=True)
-    for text, token_col, name in zip(texts, tokens, names):
+    result = corpus
+    for text, name in zip(texts, derived_names(texts, "lemmas")):
+        if not plan.joins:
+            result = add_tokens(result, plan, key, text, name).withColumn(name, join_tokens(F.col(name)))
+            continue
+        tokens = token_table(corpus, plan, key, text, "_tokens")
         if plan.ngrams:
+            tokens = staged(tokens, key, "tokens", dealt=True)
             phrases = plan.phrases.get(text)
             if phrases is None:
-                phrases = learn_phrases(corpus, token_col, plan.min_count, plan.threshold)
-            corpus = merge_phrases(corpus, phrases, token_col, name, key)
+                phrases = learn_phrases(tokens, "_tokens", plan.min_count, plan.threshold)
+            lemmas = merge_phrases(tokens, phrases, "_tokens", name, key)
         else:
-            corpus = corpus.withColumn(name, join_tokens(F.col(token_col)))
-    return corpus.select(plan.mapping.id, *texts, *names)
+            lemmas = tokens.withColumn(name, join_tokens(F.col("_tokens")))
+        result = result.join(lemmas.select(key, name), key, "left").withColumn(name, F.coalesce(name, F.lit("")))
+    return result.select(plan.mapping.id, *texts, *derived_names(texts, "lemmas"))
 
 
 Encoder = Callable[[DataFrame, str, str], DataFrame]
