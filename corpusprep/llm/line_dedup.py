@@ -10,10 +10,10 @@ the first by id, text hash and place in the text. Equal lines are one node of th
 2. A band key is kept when two different lines have it. Its leader is the line that meets most lines over all of its keys
    (in a group of copies that is the text which the others were made from): every other line with the key is verified
    against the leader, which is one candidate per line and band, however many lines share the key.
-3. Links found so are followed. Then the lines of keys that are not yet all in one component are compared with each other
-   too, where their components differ; so no link between lines that share a key is lost. They are compared inside the
-   tasks, in blocks of ``BLOCK_LINES`` lines against blocks, and only links come out. A large group of copies is one
-   component by then and not compared at all.
+3. Links found so are followed. Then the other lines of a key are compared with each other too, where their components
+   differ; so no link between lines that share a key is lost. They are compared inside the tasks, in blocks of
+   ``BLOCK_LINES`` lines against blocks, and only links come out. A large group of copies is one component by then: its
+   lines are not compared with each other and not dealt out more than once for each block of lines outside of it.
 
 Verification is exact: a bound from bit patterns of the shingles rules out most pairs, and the sets decide the others.
 With 4 rows and 11 bands, lines of similarity 0.8 share a key with a probability of 0.997.
@@ -48,10 +48,11 @@ BINS = ROWS * BANDS
 
 #: Lines of a sketching step, and lines that a task remembers so as to sketch equal ones once. Results do not depend on them.
 STEP_LINES = 600
+STEP_CHARS = 500_000
 REMEMBERED_LINES = 200_000
 #: Lines and shingles that a verifying task remembers. Results do not depend on them.
-REMEMBERED_OUTLINES = 50_000
-REMEMBERED_SHINGLES = 400_000
+REMEMBERED_OUTLINES = 20_000
+REMEMBERED_SHINGLES = 200_000
 #: Bits of a line's outline, see ``outlines``.
 OUTLINE_BITS = 8_192
 #: Lines of a block, in the comparison of lines that share a key.
@@ -161,18 +162,33 @@ def _as_batch(rows: list[tuple], lines: list[str]) -> pa.RecordBatch:
     )
 
 
+def drawn_outlines(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """For each line how many different shingles it has, and a row of the bits at which their hashes stand."""
+    sizes, rows = [np.zeros(0, np.int64)], [np.zeros((0, OUTLINE_BITS // 64), np.uint64)]
+    start = 0
+    while start < len(lines):
+        stop, chars = start, 0
+        while stop < len(lines) and stop - start < STEP_LINES and (stop == start or chars + len(lines[stop]) <= STEP_CHARS):
+            chars += len(lines[stop])
+            stop += 1
+        hashes, counts = shingle_hashes(lines[start:stop], width)
+        owner = np.repeat(np.arange(stop - start), counts)
+        order = np.lexsort((hashes, owner))
+        hashes, owner = hashes[order], owner[order]
+        first = np.ones(len(hashes), bool)
+        first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        sizes.append(np.bincount(owner[first], minlength=stop - start))
+        bits = np.zeros((stop - start, OUTLINE_BITS), bool)
+        bits[owner, ((hashes >> np.uint64(40)) % np.uint64(OUTLINE_BITS)).astype(np.int64)] = True
+        rows.append(np.packbits(bits, axis=1).view(np.uint64))
+        start = stop
+    return np.concatenate(sizes), np.concatenate(rows)
+
+
 def outlines(lines: list[str], width: int = SHINGLE) -> list[tuple[int, int]]:
-    """For each line how many different shingles it has, and the bits at which their hashes stand."""
-    hashes, counts = shingle_hashes(lines, width)
-    places = (hashes >> np.uint64(40)) % np.uint64(OUTLINE_BITS)
-    found, start = [], 0
-    for n in counts.tolist():
-        bits = np.zeros(OUTLINE_BITS, bool)
-        bits[places[start : start + n]] = True
-        different = len(np.unique(hashes[start : start + n]))
-        found.append((different, int.from_bytes(np.packbits(bits).tobytes(), "big")))
-        start += n
-    return found
+    """``drawn_outlines`` as a size and a whole number for each line."""
+    sizes, rows = drawn_outlines(lines, width)
+    return [(n, int.from_bytes(row.tobytes(), "big")) for n, row in zip(sizes.tolist(), rows)]
 
 
 def may_be_similar(x: tuple[int, int], y: tuple[int, int], least: float = SIMILARITY) -> bool:
@@ -260,9 +276,7 @@ def _links_in(rows: list[tuple], least: float) -> list[tuple[int, int]]:
     """The links among the lines of one block, or between two; lines that are connected already need none."""
     _, i, j, *_ = rows[0]
     lines, texts = [r[4] for r in rows], [r[6] for r in rows]
-    drawn = outlines(texts)
-    sizes = np.array([n for n, _ in drawn])
-    bits = np.array([np.frombuffer(b.to_bytes(OUTLINE_BITS // 8, "big"), np.uint64) for _, b in drawn])
+    sizes, bits = drawn_outlines(texts)
     second = np.array([i == j or r[3] == j for r in rows])
     parent = {r[5]: r[5] for r in rows}
 
@@ -304,6 +318,34 @@ def _texts_of(wanted: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     return written(found.groupBy("line").agg(F.min("text").alias("text")), "texts")
 
 
+def deal_out(placed: DataFrame) -> DataFrame:
+    """(key, i, j, own, line, root): the lines of ``placed`` (key, line, root) in pairs of blocks that have to be compared.
+
+    The lines of the largest root under a key need no comparison among themselves. Their blocks are paired with those of
+    the other lines only, so a stray line among very many copies adds one row for each block of them.
+    """
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+    open_keys = written(open_keys.select("key"), "open_keys")
+    rest = written(placed.join(broadcast_if_small(open_keys), "key"), "open_lines")
+    by_root = rest.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", F.col("root")))
+    blocks = by_root.groupBy("key").agg(F.sum("n").alias("n"), largest.alias("largest"))
+    several = F.ceil((F.col("n") - F.col("largest.n")) / BLOCK_LINES).cast("int")
+    blocks = blocks.select(
+        "key",
+        F.col("largest.root").alias("bulk"),
+        several.alias("several"),
+        F.ceil(F.col("largest.n") / BLOCK_LINES).cast("int").alias("alike"),
+    )
+    rest = rest.join(broadcast_if_small(written(blocks, "blocks")), "key")
+    place = F.xxhash64("line")
+    in_bulk = F.col("root") == F.col("bulk")
+    own = F.when(in_bulk, F.col("several") + F.pmod(place, F.col("alike"))).otherwise(F.pmod(place, F.col("several")))
+    last = F.when(in_bulk, F.col("several")).otherwise(F.col("several") + F.col("alike")) - 1
+    rest = rest.withColumn("own", own.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "line", "root")
+
+
 def line_links(sketched: DataFrame, docs: DataFrame, text_col: str, similarity: float) -> DataFrame:
     """(node, root) for lines that are similar to others, from ``sketched`` (line, keys)."""
     entries = sketched.where(F.size("keys") > 0).select("line", F.explode("keys").alias("key"))
@@ -316,7 +358,8 @@ def line_links(sketched: DataFrame, docs: DataFrame, text_col: str, similarity:
     ranked = members.join(broadcast_if_small(written(met, "met")), "line")
     leads = ranked.groupBy("key").agg(F.max(F.struct("met", "line"))["line"].alias("lead"))
     leads = broadcast_if_small(written(leads, "leads"))
-    leading = members.join(leads, "key").where("line <> lead")
+    led = members.select("key", "line").join(leads, "key").where("line <> lead")
+    leading = led
     leading = leading.select(F.least("lead", "line").alias("u"), F.greatest("lead", "line").alias("v"))
     leading = written(leading.distinct(), "leading")
     nodes = members.select("line").distinct()
@@ -324,16 +367,11 @@ def line_links(sketched: DataFrame, docs: DataFrame, text_col: str, similarity:
     links = written(_verified(leading, texts, similarity), "links")
     roots = written(components(links), "roots")
 
-    placed = members.select("key", "line").join(broadcast_if_small(roots), F.col("line") == F.col("node"), "left")
+    # Leaders have been compared with all others of their key.
+    placed = led.select("key", "line").join(broadcast_if_small(roots), F.col("line") == F.col("node"), "left")
     placed = written(placed.select("key", "line", F.coalesce("root", "line").alias("root")), "placed")
-    open_keys = placed.groupBy("key").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK_LINES).cast("int").alias("blocks")
-    )
-    open_keys = broadcast_if_small(written(open_keys.where("lo < hi").select("key", "blocks"), "open_keys"))
-    rest = placed.join(open_keys, "key").join(texts, "line")
-    rest = rest.withColumn("own", F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = rest.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "line", "root", "text")
+    dealt = deal_out(placed).join(texts, "line")
+    dealt = dealt.select("key", "i", "j", "own", "line", "root", "text")
     more = written(_compared(dealt, similarity).distinct(), "more_links")
     if more.limit(1).count() == 0:
         return roots
@@ -359,7 +397,7 @@ def copies(
     groups = written(groups.where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"), "groups")
     joined = lines.select("root", "tail", "place").join(broadcast_if_small(groups), ["root", "tail"])
     gone = joined.where(~F.col("place").eqNullSafe(F.col("first"))).select("place.*").distinct()
-    return written(gone.groupBy("id", "text_hash").agg(F.collect_list("pos").alias("copies")), "copies")
+    return written(gone.groupBy("id", "text_hash").agg(F.sort_array(F.collect_list("pos")).alias("copies")), "copies")
 
 
 def drop_copies(
@@ -376,20 +414,15 @@ def drop_copies(
         full = F.regexp_count(col(text_col), F.lit(f"[^{_BLANK}][^\n]*"))
         out = out.withColumn("n_lines", F.coalesce(full, F.lit(0)).cast("bigint"))
         out = out.withColumn("n_copies", F.greatest(F.size(places), F.lit(0)).cast("bigint"))
-    return out.withColumn(text_col, _without(col(text_col), F.col(places))).drop(id_, hash_, places)
-
-
-def _without(text: Column, places: Column) -> Column:
-    """The text without the lines at ``places``; null places take nothing out."""
-
-    @F.pandas_udf("string")
-    def apply(texts: pd.Series, gone: pd.Series) -> pd.Series:
-        out = []
-        for value, drop in zip(strings(texts), gone):
-            if value is not None and drop is not None:
-                drop = set(drop.tolist())
-                value = "\n".join(line for i, line in enumerate(value.split("\n")) if i not in drop)
-            out.append(value)
-        return pd.Series(out, dtype=object)
-
-    return apply(text, places)
+    lines = fresh("lines", out)
+    split = F.when(F.col(places).isNotNull(), F.split(col(text_col), "\n"))
+    kept = F.coalesce(_without(F.col(lines), F.col(places)), col(text_col))
+    return out.withColumn(lines, split).withColumn(text_col, kept).drop(id_, hash_, places, lines)
+
+
+def _without(lines: Column, places: Column) -> Column:
+    """The text of ``lines`` without those at ``places``, which are sorted; null if either is."""
+    before = F.concat(F.array(F.lit(-1)), places)
+    behind = F.concat(places, F.array(F.size(lines)))
+    stretches = F.zip_with(before, behind, lambda last, following: F.slice(lines, last + 2, following - last - 1))
+    return F.array_join(F.flatten(stretches), "\n")

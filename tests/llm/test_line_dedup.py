@@ -120,3 +120,28 @@ def test_outlines_never_rule_out_similar_lines():
         assert possible or not line_dedup.similar(x, y)
         ruled_out += not possible
     assert ruled_out > 50
+
+
+def test_a_stray_line_among_copies_is_dealt_out_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 100)
+    rows = [(1, i, 0) for i in range(3_000)] + [(1, 9_000, 9_000)] + [(2, i, i % 7) for i in range(40)] + [(3, 1, 5), (3, 2, 5)]
+    dealt = line_dedup.deal_out(spark.createDataFrame(rows, "key bigint, line bigint, root bigint")).collect()
+    assert sum(r["key"] == 1 for r in dealt) <= 3_000 + 30 + 1
+    pairs = {}
+    for r in dealt:
+        pairs.setdefault((r["key"], r["i"], r["j"]), []).append((r["own"], r["line"], r["root"]))
+    met = set()
+    for (key, i, j), lines in pairs.items():
+        met |= {(key, *sorted((x[1], y[1]))) for x in lines for y in lines if x[2] != y[2] and {x[0], y[0]} == {i, j}}
+    assert met == {(k, a, b) for k, a, r in rows for q, b, s in rows if k == q and r != s and a < b}
+
+
+def test_results_do_not_depend_on_broadcasts(spark, data, monkeypatch):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").where("doc_id < 60")
+    usual = sorted(map(tuple, line_dedup.drop_copies(docs, counts=True).collect()))
+    monkeypatch.setattr(line_dedup, "broadcast_if_small", lambda df, *_, **__: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, line_dedup.drop_copies(docs, counts=True).collect())) == usual
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
