@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corpusprep.llm.common import col, fresh, strings
+from corpusprep.llm.common import batches, col, fresh, strings
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -236,7 +236,7 @@ def judged(text: Column, weights: Weights = PRIOR, min_share: float = MIN_CONTEN
 
     @F.pandas_udf(RESULT)
     def apply(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
+        for batch in batches(texts, 500):
             yield pd.DataFrame([judge(t, weights, min_share) for t in strings(batch)], columns=fields)
 
     return apply(text.cast(StringType()))
