@@ -148,6 +148,62 @@ def annotated(name: str, source: str) -> str:
       LEFT JOIN lex x ON x.lang = t.lang AND x.form = lower(t.form))"""
 
 
+# Tags by context. A run of ambiguous tokens is decoded step by step, all runs of the corpus side by side.
+TAGGED = """
+    lex2 AS (SELECT lang, form, lemma, pos AS tag FROM lex UNION ALL
+      SELECT lang, form, form, CASE WHEN pos = 'NOUN' THEN 'VERB' ELSE 'NOUN' END FROM lex WHERE length(form) IN (3, 4, 6)),
+    readings AS (SELECT lang, form, tag, count(*) AS n, min(lemma) AS lemma FROM lex2 GROUP BY 1, 2, 3),
+    emit AS (SELECT *, round(ln(n / (sum(n) OVER (PARTITION BY tag))::DOUBLE) * 1000000)::BIGINT AS score,
+      count(*) OVER (PARTITION BY lang, form) AS n_tags FROM readings),
+    seq AS (SELECT doc_id, lang, form, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM tok),
+    known AS (SELECT s.*, coalesce(e.n_tags, 0) AS n_tags, CASE WHEN e.n_tags = 1 THEN e.tag END AS sure FROM seq s
+      LEFT JOIN (SELECT lang, form, max(n_tags) AS n_tags, min(tag) AS tag FROM emit GROUP BY 1, 2) e
+      ON e.lang = s.lang AND e.form = lower(s.form)),
+    beside AS (SELECT *, lag(i) OVER d AS before, lead(i) OVER d AS behind, lag(sure) OVER d AS sure_before,
+        lead(sure) OVER d AS sure_behind, lag(n_tags) OVER d AS n_before, lead(n_tags) OVER d AS n_behind FROM known
+      WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+    pairs AS (SELECT CASE WHEN before IS NULL THEN '' ELSE sure_before END AS a, sure AS b FROM beside UNION ALL
+      SELECT sure, '' FROM beside WHERE behind IS NULL),
+    counted AS (SELECT a, b, count(*) AS n FROM pairs WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY 1, 2),
+    edges AS (SELECT DISTINCT tag FROM emit UNION SELECT ''),
+    follow AS (SELECT x.tag AS a, y.tag AS b, round(ln((coalesce(n, 0) + 1) /
+        (sum(coalesce(n, 0) + 1) OVER (PARTITION BY x.tag))::DOUBLE) * 1000000)::BIGINT AS score
+      FROM edges x CROSS JOIN edges y LEFT JOIN counted c ON c.a = x.tag AND c.b = y.tag),
+    unsure AS (SELECT b.doc_id, b.i, b.i - row_number() OVER (PARTITION BY b.doc_id ORDER BY b.i) AS run, lower(b.form) AS form,
+        b.lang, coalesce(b.sure_before, '') AS left_tag, coalesce(b.sure_behind, '') AS right_tag,
+        coalesce(n_before, 0) < 2 AS first, coalesce(n_behind, 0) < 2 AS last FROM beside b WHERE n_tags > 1),
+    path AS (
+      SELECT u.doc_id, u.run, u.i, u.last, u.right_tag, e.tag, e.score + f.score AS score, [e.tag] AS tags
+      FROM unsure u JOIN emit e USING (lang, form) JOIN follow f ON f.a = u.left_tag AND f.b = e.tag WHERE u.first
+      UNION ALL
+      SELECT * FROM (
+        SELECT u.doc_id, u.run, u.i, u.last, u.right_tag, e.tag, max(p.score + f.score) + any_value(e.score) AS score,
+          list_append(arg_max(p.tags, (p.score + f.score) * 100 + 99 - k.rank), e.tag) AS tags
+        FROM path p JOIN unsure u ON u.doc_id = p.doc_id AND u.run = p.run AND u.i = p.i + 1 JOIN emit e USING (lang, form)
+        JOIN follow f ON f.a = p.tag AND f.b = e.tag JOIN ranked k ON k.tag = p.tag
+        GROUP BY u.doc_id, u.run, u.i, u.last, u.right_tag, e.tag)),
+    won AS (SELECT p.doc_id, p.i, arg_max(p.tags, (p.score + f.score) * 100 + 99 - k.rank) AS tags FROM path p
+      JOIN follow f ON f.a = p.tag AND f.b = p.right_tag JOIN ranked k ON k.tag = p.tag WHERE p.last GROUP BY 1, 2),
+    decided AS (SELECT doc_id, i - len(tags) + unnest(range(1, len(tags) + 1)) AS i, unnest(tags) AS tag FROM won),
+    tagged AS (SELECT k.*, coalesce(sure, d.tag) AS tag FROM known k LEFT JOIN decided d ON d.doc_id = k.doc_id AND d.i = k.i),
+    chosen AS (SELECT t.*, r.lemma FROM tagged t
+      LEFT JOIN readings r ON r.lang = t.lang AND r.form = lower(t.form) AND r.tag = t.tag)"""
+TAGGED = TAGGED.replace("    path AS (", "    ranked AS (SELECT tag, row_number() OVER (ORDER BY tag) AS rank FROM edges),\n    path AS (", 1)
+
+GUESSED = """
+    held AS (SELECT * FROM lex WHERE ('0x' || substr(md5(form), 1, 8))::BIGINT % 5 = 0),
+    same AS (SELECT lang, form, lower(lemma) AS lemma, list_max(list_transform(range(0, length(form) + 1),
+        lambda i: CASE WHEN i <= length(lemma) AND form[1:i] = lower(lemma)[1:i] THEN i END)) AS n
+      FROM lex WHERE ('0x' || substr(md5(form), 1, 8))::BIGINT % 5 <> 0),
+    change AS (SELECT lang, form, length(form) - n AS cut, lemma[n + 1:] AS added FROM same),
+    ended AS (SELECT lang, cut, added, unnest(list_transform(range(1, least(5, length(form) - 2) + 1), lambda k: form[-k:])) AS ending
+      FROM change),
+    rule AS (SELECT lang, ending, cut, added, count(*) AS n FROM ended WHERE length(ending) >= cut GROUP BY 1, 2, 3, 4
+      QUALIFY row_number() OVER (PARTITION BY lang, ending ORDER BY n DESC, cut, added) = 1),
+    fits AS (SELECT h.lang, h.form, {'ending': r.ending, 'cut': r.cut, 'added': r.added} AS r FROM held h JOIN rule r
+      ON r.lang = h.lang AND r.n >= 3 AND length(h.form) >= length(r.ending) + 2 AND suffix(h.form, r.ending))"""
+
+
 def _with(*ctes: str, select: str) -> str:
     return "WITH " + ", ".join(c.strip() for c in ctes) + "\n" + select
 
@@ -256,6 +312,14 @@ def build() -> dict[str, str]:
         f"j AS ({joined('documents', 'kept', 'doc_id', 'lower(lemma)', 'lemmas')})",
         select="SELECT j.doc_id, (SELECT count(*) FROM kept k WHERE k.doc_id = j.doc_id)::INTEGER AS n_lemmas, lemmas FROM j",
     )
+    sql["pos_context"] = _with(LEXICON, DOC_TOKENS, TAGGED, select="""SELECT doc_id,
+      string_agg(coalesce(tag, '-'), ' ' ORDER BY i) AS tags,
+      coalesce(string_agg(lower(coalesce(lemma, form)), ' ' ORDER BY i) FILTER (tag IN ('VERB', 'NOUN', 'ADJ', 'PROPN')), '')
+        AS lemmas FROM chosen GROUP BY doc_id""").replace("WITH", "WITH RECURSIVE", 1)
+    sql["lemma_guess"] = _with(LEXICON, GUESSED, select="""SELECT f.lang, f.form,
+      coalesce(f.form[1:length(f.form) - b.cut] || b.added, f.form) AS lemma, b.ending
+      FROM held f LEFT JOIN (SELECT lang, form, unnest(arg_max(r, length(r.ending))) FROM fits GROUP BY 1, 2) b
+      ON b.lang = f.lang AND b.form = f.form""")
     sql["lemmas_column"] = _with(*DOC_FILTERED, select=joined("documents", "fil", "doc_id", "w", "lemmas"))
 
     sql["unigram_counts"] = _with(*DOC_FILTERED, select="SELECT w AS token, count(*) AS n FROM fil GROUP BY 1")

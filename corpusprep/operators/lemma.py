@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import alpha_words
+from corpusprep.operators.tagger import TagModel, tag_tokens
 from corpusprep.work import LITERAL_ENTRIES, attach, broadcast_if_small, explode_each, keyed, regroup, small_rows, unkeyed
 
 # Parts of speech that are kept.
@@ -95,6 +96,7 @@ def content_lemmas(
     lemma_stopwords: DataFrame | None = None,
     keep_pos: tuple[str, ...] | None = CONTENT_POS,
     keep_unlisted: bool = True,
+    model: TagModel | None = None,
     key: str | None = None,
     literal_entries: int = LITERAL_ENTRIES,
 ) -> DataFrame:
@@ -104,7 +106,9 @@ def content_lemmas(
     follow ``keep_unlisted``), its lowercased surface is not in
     ``surface_stopwords``, and its lemma is not in ``lemma_stopwords``. The last
     test comes before lowercasing and is case-sensitive. Documents that lose
-    every token keep their row, with an empty array.
+    every token keep their row, with an empty array. A ``model`` of the lexicon
+    (``tagger.train_tagger``) chooses among the readings of a form by its context;
+    without one the first counts.
     """
     if lexicon is None:
         # Surface and lemma are the same here, so the case-sensitive list goes
@@ -124,7 +128,7 @@ def content_lemmas(
     docs, key = keyed(docs, key)
     kept = lemma_arrays(
         docs, tokens, lang, lexicon=lexicon, surface_stopwords=surface_stopwords, lemma_stopwords=lemma_stopwords,
-        keep_pos=keep_pos, keep_unlisted=keep_unlisted, key=key, literal_entries=literal_entries,
+        keep_pos=keep_pos, keep_unlisted=keep_unlisted, model=model, key=key, literal_entries=literal_entries,
     )
     return unkeyed(attach(docs, kept, key, tokens), given)
 
@@ -139,11 +143,15 @@ def lemma_arrays(
     lemma_stopwords: DataFrame | None = None,
     keep_pos: tuple[str, ...] | None = CONTENT_POS,
     keep_unlisted: bool = True,
+    model: TagModel | None = None,
     key: str,
     literal_entries: int = LITERAL_ENTRIES,
 ) -> DataFrame:
     """(key, ``tokens``) as ``content_lemmas`` has them, for the documents that keep a token."""
-    _, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
+    if model is None:
+        _, long, key = lookup_lemmas(docs, tokens, lexicon, lang, key=key)
+    else:
+        long = tag_tokens(docs, tokens, model, lang, key).select(key, "lang", F.inline("tagged"))
     if keep_pos is not None:
         long = keep_parts_of_speech(long, keep_pos, keep_unlisted)
     for table, word in ((surface_stopwords, F.lower("form")), (lemma_stopwords, F.col("lemma"))):

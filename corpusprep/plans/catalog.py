@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
 from corpusprep.functions.vectors import parse_vector, vector_list_text, vector_text
-from corpusprep.operators import embed, extend, language, lemma, phrases, quality, rewrite, shape
+from corpusprep.operators import embed, extend, language, lemma, phrases, quality, rewrite, shape, tagger
 from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, tables
 from corpusprep.sources.mapping import FieldMapping
@@ -267,6 +267,36 @@ def pos_filter(spark, folder):
     return docs.select("doc_id", F.size("tokens").alias("n_lemmas"), tx.join_tokens(F.col("tokens")).alias("lemmas"))
 
 
+def ambiguous_lexicon(spark, folder):
+    """``corpus_lexicon`` with a second part of speech for forms of some lengths, whose lemma is the form itself."""
+    lexicon = corpus_lexicon(spark, folder)
+    other = F.when(F.col("pos") == "NOUN", "VERB").otherwise("NOUN")
+    second = lexicon.where("length(form) IN (3, 4, 6)").select("lang", "form", F.col("form").alias("lemma"), other.alias("pos"))
+    return written(lexicon.unionByName(second), "ambiguous_lexicon")
+
+
+def pos_context(spark, folder):
+    """Parts of speech by context where a form has several, and the lemmas of content words."""
+    docs = lemma.tokenise(staged_texts(spark, folder, "lang", "text"), "text").drop("text")
+    docs = staged(docs, "doc_id", "tokens", dealt=True)
+    model = tagger.train_tagger(docs, "tokens", ambiguous_lexicon(spark, folder), F.col("lang"), "doc_id")
+    tagged = tagger.tag_tokens(docs, "tokens", model, F.col("lang"), "doc_id")
+    content = F.filter("tagged", lambda t: t["upos"].isin(*lemma.CONTENT_POS))
+    return tagged.select(
+        "doc_id",
+        F.array_join(F.transform("tagged", lambda t: F.coalesce(t["upos"], F.lit("-"))), " ").alias("tags"),
+        F.array_join(F.transform(content, lambda t: F.lower(t["lemma"])), " ").alias("lemmas"),
+    )
+
+
+def lemma_guess(spark, folder):
+    """A fifth of the lexicon is held out; its lemmas are guessed by rules from the rest."""
+    lexicon = written(corpus_lexicon(spark, folder), "lexicon")
+    held_out = F.conv(F.substring(F.md5("form"), 1, 8), 16, 10).cast("bigint") % 5 == 0
+    rules = written(tagger.suffix_rules(lexicon.where(~held_out)), "rules")
+    return tagger.guess_lemmas(lexicon.where(held_out), rules)
+
+
 def _filtered(spark, folder, lang: str | None = None):
     """Tokens without stopwords, lowercased."""
     docs = texts(spark, folder)
@@ -485,7 +515,7 @@ QUERIES = {
         apply_mapping, title_concat, multi_field, null_fill, drop_unusable,
         lang_model_counts, lang_predict_nb, lang_predict_turns, lang_filter, lang_vote,
         acronym_expand, contraction_expand, tokens_alpha, stopword_filter,
-        lemma_lookup, pos_filter, lemmas_column,
+        lemma_lookup, pos_filter, pos_context, lemma_guess, lemmas_column,
         unigram_counts, bigram_counts, phrase_vocab, phrase_scores, phrase_merge,
         max_length, overlength_report, duplicate_ids,
         truncate_tokens, embed_hash, embed_word2vec, embedding_join, embedding_text,

@@ -19,6 +19,7 @@ from corpusprep.operators.quality import overlength_report
 from corpusprep.operators.rewrite import expand_acronyms, expand_contractions
 from corpusprep.operators.shape import apply_mapping, check_columns, corpus_text_columns, derived_names
 from corpusprep.operators.shape import drop_unusable, null_fill
+from corpusprep.operators.tagger import TagModel
 from corpusprep.sources.mapping import FieldMapping
 from corpusprep.sources.tables import embeddings_path, path_exists, read_table, refuse_overlap, reuse_result, save_parquet
 from corpusprep.work import keyed, staged
@@ -32,7 +33,8 @@ class Preparation:
 
     ``language_by`` decides which rows are in ``lang``: the name of a column with
     stored labels, a trained ``LanguageModel``, or a stopword table for a vote.
-    Dictionaries left as None are not applied. Set ``unique_id`` when no id is
+    Dictionaries left as None are not applied. ``tagger`` reads ambiguous forms of
+    the ``lexicon`` by their context. Set ``unique_id`` when no id is
     missing or occurs twice; otherwise rows are numbered.
     """
 
@@ -42,6 +44,7 @@ class Preparation:
     acronyms: DataFrame | None = None
     contractions: DataFrame | None = None
     lexicon: DataFrame | None = None
+    tagger: TagModel | None = None
     surface_stopwords: DataFrame | None = None
     lemma_stopwords: DataFrame | None = None
     keep_pos: tuple[str, ...] | None = CONTENT_POS
@@ -110,7 +113,7 @@ def token_table(corpus: DataFrame, plan: Preparation, key: str, text_col: str, t
 
 def _choices(plan: Preparation) -> dict:
     names = ("lexicon", "surface_stopwords", "lemma_stopwords", "keep_pos", "keep_unlisted")
-    return {name: getattr(plan, name) for name in names}
+    return {name: getattr(plan, name) for name in names} | {"model": plan.tagger}
 
 
 def prepare(df: DataFrame, plan: Preparation) -> DataFrame:
