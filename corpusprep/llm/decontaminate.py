@@ -245,13 +245,14 @@ def _clean_column(text: Column, found: Column, sent: list) -> Column:
         for k in changed:
             out[k] = cut(out[k], list(spans.iloc[k]))
         while changed:
-            again = set()
-            for phrases in sent:
+            hits = defaultdict(list)
+            for phrases in sent:  # all of them on the same text, so that it does not matter how items are put into blocks
                 for k, (_, hit, _) in zip(changed, phrases.value.search([out[k] for k in changed])):
                     if len(hit):
-                        out[k] = cut(out[k], merged_spans(out[k], hit))
-                        again.add(k)
-            changed = sorted(again)
+                        hits[k].append(hit)
+            for k, several in hits.items():
+                out[k] = cut(out[k], merged_spans(out[k], np.unique(np.concatenate(several))))
+            changed = sorted(hits)
         return pd.Series(out, dtype=object)
 
     return apply(text, found)

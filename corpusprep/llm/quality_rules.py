@@ -196,6 +196,7 @@ def fit_weights(examples: list[tuple[list[list[float]], int]], rounds: int = 150
     return tuple(theta[:-1].tolist()), float(theta[-1])
 
 
+#: Lines of a training document, unless ``train`` is told otherwise; the driver holds max_docs times as many at most.
 MAX_TRAINING_LINES = 400
 
 
@@ -208,9 +209,14 @@ def _features(text: Column) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = 1_500
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_docs: int = 1_500,
+    max_lines: int = MAX_TRAINING_LINES,
 ) -> Weights:
-    """Weights from at most ``max_docs`` labelled documents of up to ``MAX_TRAINING_LINES`` lines.
+    """Weights from a sample: at most ``max_docs`` labelled documents, of those the ones of up to ``max_lines`` lines.
 
     ``labels``: (id, quality). An id with several labels takes the smallest; ids and labels that are null are left out.
     The driver gets the features of the sampled lines, never texts.
@@ -224,7 +230,7 @@ def train(
         .limit(max_docs)
     )
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
-    texts = texts.where(F.size(F.split("text", "\n")) <= MAX_TRAINING_LINES)
+    texts = texts.where(F.size(F.split("text", "\n")) <= max_lines)
     rows = texts.join(F.broadcast(marks), "id").select("id", _features(F.col("text")).alias("lines"), "label").collect()
     rows.sort(key=lambda r: (r.id, r.label, len(r.lines)))
     return fit_weights([([list(f) for f in r.lines], int(r.label > 0)) for r in rows])

@@ -100,3 +100,13 @@ def test_query(spark, data):
             digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
             assert (row["n_words"], row["n_hit"], row["n_items"], row["items_sha256"]) == (n, len(hit), len(found), digest)
             assert row["contaminated"] == bool(hit)
+
+
+def test_blocks_of_the_benchmark_do_not_change_what_is_cut(spark):
+    items = spark.createDataFrame([("1", "a b c d"), ("2", "c d e f"), ("3", "p q")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, "a b p q c d p q e f"), (2, "x a b c p q d e f y"), (3, "a b c")], "doc_id bigint, text string")
+    results = []
+    for size in (3, 1 << 20):
+        rows = dc.remove_overlaps(docs, items, window=4, max_block_bytes=size).collect()
+        results.append({r["doc_id"]: r["text"].split() for r in rows})
+    assert results[0] == results[1] == {1: [], 2: ["x", "y"], 3: ["a", "b", "c"]}
