@@ -20,29 +20,42 @@ from corpusprep.llm.queries import BPE_RANKS
 from corpusprep.work import written
 
 
+#: Bytes of texts that a Python worker of a stage gets at once. Workers serve all stages and keep what they have grown to.
+BATCH_BYTES = "8m"
+
+
+def _in_small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     weights = quality_rules.train(docs, table(spark, sf_dir, "labels"))
     return quality_rules.keep_good(docs, weights=weights)
 
 
 def drop_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return _counted(line_dedup.drop_copies(docs)).select(docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return simhash.drop_near_duplicates(docs, shingle=3, max_bits=3)
 
 
 def cut_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _in_small_batches(spark)
     return _counted(decontaminate.remove_overlaps(docs, table(spark, sf_dir, "benchmark"))).select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, the packed token_ids, and whether they decode to the text."""
+    _in_small_batches(spark)
     path = public_tokenizers.path(BPE_RANKS)
     tokens = bpe.round_trip(docs, path, public_tokenizers.PATTERN)
     return tokens.select("doc_id", "lang", "source", "n_tokens", "token_ids", "exact")
