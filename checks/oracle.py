@@ -218,6 +218,7 @@ def build() -> dict[str, str]:
     everything = "SELECT doc_id, text, lang, source, n_chars FROM documents"
     sql["scan_parquet"] = everything
     sql["csv_round_trip"] = "SELECT doc_id, text, lang FROM documents"
+    sql["csv_split"] = sql["csv_round_trip"]
     sql["saved_result"] = _with(
         tokens("tok", "(SELECT doc_id, lang, lower(text) AS text FROM documents)", "doc_id"),
         select=joined("(SELECT doc_id, text AS raw_text FROM documents)", "tok", "doc_id", "form", "lemmas", "raw_text"),

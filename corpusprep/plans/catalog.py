@@ -54,6 +54,15 @@ def csv_round_trip(spark, folder):
     return tables.read_table(spark, path, "csv", schema="doc_id bigint, text string, lang string")
 
 
+def csv_split(spark, folder):
+    """Documents in one large csv file, line breaks and quotes included, that many tasks read in splits."""
+    path = new_path(spark, "documents_csv")
+    docs = documents(spark, folder).select("doc_id", F.concat(F.lit('"'), "text", F.lit('"')).alias("text"), "lang")
+    docs.write.csv(path, header=True, quote='"', escape='"')
+    back = tables.read_table(spark, path, "csv", schema="doc_id bigint, text string, lang string", multi_line="split")
+    return back.select("doc_id", F.expr("substring(text, 2, length(text) - 2)").alias("text"), "lang")
+
+
 def saved_result(spark, folder):
     """A result with lemmas is saved, found by its column names and taken up again."""
     docs = documents(spark, folder)
@@ -511,7 +520,7 @@ def prepare_embedded(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        scan_parquet, csv_round_trip, saved_result, input_parts, stopword_load, resume_parts,
+        scan_parquet, csv_round_trip, csv_split, saved_result, input_parts, stopword_load, resume_parts,
         apply_mapping, title_concat, multi_field, null_fill, drop_unusable,
         lang_model_counts, lang_predict_nb, lang_predict_turns, lang_filter, lang_vote,
         acronym_expand, contraction_expand, tokens_alpha, stopword_filter,

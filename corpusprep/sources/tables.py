@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusprep.sources.split_csv import read_split_csv
 from corpusprep.work import spread_small
 
 # Cell contents that a csv reader takes as missing.
@@ -24,15 +25,16 @@ def read_table(
     path: str | list[str],
     source_type: str = "parquet",
     schema=None,
-    multi_line: bool = True,
+    multi_line: bool | str = True,
     spread: bool = False,
 ) -> DataFrame:
     """A parquet or csv table: a file, a folder or a list of either.
 
     Csv files have a header, quoted fields may span lines, and missing-value
     words are read as null. For large csv inputs give a ``schema``, since
-    inference reads them one more time, and switch ``multi_line`` off when no
-    field holds a line break, since only then can one file be split over tasks.
+    inference reads them one more time, and say how files can be split over tasks:
+    ``multi_line=False`` when no field holds a line break, ``multi_line="split"``
+    when some do (see ``split_csv``). Otherwise one task reads one file.
 
     ``spread`` deals a table out evenly when it is too small to give every core
     work, see ``spread_small``.
@@ -42,6 +44,10 @@ def read_table(
     if source_type == "parquet":
         reader = spark.read.schema(schema) if schema else spark.read
         return reader.parquet(*([path] if isinstance(path, str) else path))
+    if source_type == "csv" and multi_line == "split":
+        if schema is None:
+            raise ValueError("give a schema for csv files that are to be split")
+        return _null_words(read_split_csv(spark, path, schema))
     if source_type == "csv":
         df = spark.read.csv(
             path, header=True, schema=schema, inferSchema=schema is None,
