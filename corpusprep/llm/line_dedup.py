@@ -54,7 +54,7 @@ REMEMBERED_LINES = 200_000
 REMEMBERED_OUTLINES = 20_000
 REMEMBERED_SHINGLES = 200_000
 #: Bits of a line's outline, see ``outlines``.
-OUTLINE_BITS = 8_192
+OUTLINE_BITS = 4_096
 #: Lines of a block, in the comparison of lines that share a key.
 BLOCK_LINES = 512
 
