@@ -68,7 +68,7 @@ def test_lengths_follow_texts(spark, data):
 def test_registered(spark):
     names = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE_SQL) <= set(entry_points.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_sql(spark, data):
