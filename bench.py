@@ -26,6 +26,7 @@ HEADLINE = (
     "tokens_alpha", "lemmas_column", "acronym_expand", "contraction_expand", "lang_vote", "lang_predict_nb",
     "pos_filter", "unigram_counts", "phrase_scores", "phrase_merge", "embed_hash", "embedding_join", "prepare_titled",
     "lang_filter", "prepare_fields", "prepare_embedded", "incremental_embed", "embed_word2vec", "user_model", "csv_round_trip",
+    "pos_context", "lemma_guess", "csv_split",
 )
 
 
