@@ -1,6 +1,6 @@
 """Connected components of a graph that is too large for one machine: distributed union-find.
 
-Edges are first contracted inside each partition by an ordinary union-find, which leaves one edge per node. Then rounds
+Edges are first contracted inside each partition by an ordinary union-find of bounded size, which leaves few edges per node. Then rounds
 of two steps follow: every node sends its larger neighbours to its smallest neighbour (large star), and every node sends
 its smaller neighbours and itself to the smallest (small star). Both keep components as they are. When a round changes
 nothing, every node points at the smallest node of its component. Each step is written to the shared folder, so a lost
@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from corpusprep.work import written
 
 MAX_ROUNDS = 60
+#: Nodes that a contracting task holds; then it hands on what it has and begins anew. Results do not depend on it.
+HELD_NODES = 500_000
 
 
 def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One edge (node, root) for each node of a partition that is not the smallest of its part."""
+    """Edges (node, root) that connect what the edges of a partition connect, one for each node among ``HELD_NODES``."""
     parent: dict = {}
 
     def root(x):
@@ -29,13 +31,19 @@ def _contract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             x = parent[x]
         return x
 
+    def contracted() -> pd.DataFrame:
+        nodes = [x for x in parent if parent[x] != x]
+        return pd.DataFrame({"u": nodes, "v": [root(x) for x in nodes]}, dtype="int64")
+
     for frame in frames:
         for a, b in zip(frame["u"].tolist(), frame["v"].tolist()):
             a, b = root(a), root(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = [x for x in parent if parent[x] != x]
-    yield pd.DataFrame({"u": nodes, "v": [root(x) for x in nodes]}, dtype="int64")
+        if len(parent) > HELD_NODES:
+            yield contracted()
+            parent.clear()
+    yield contracted()
 
 
 def _signature(edges: DataFrame) -> tuple:
