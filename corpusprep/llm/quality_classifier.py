@@ -174,7 +174,8 @@ def train(
         .limit(max_rows)
     )
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(marks), "id").select("id", "label", _statistics_column(F.col("text")).alias("x")).collect()
+    found = texts.join(F.broadcast(marks), "id").select("id", "label", _statistics_column(F.col("text")).alias("x"))
+    rows = found.orderBy(F.xxhash64("id"), "id", "x").limit(max_rows).collect()  # an id may have several rows
     rows.sort(key=lambda r: (r.id, r.x))
     x = np.array([r.x for r in rows], float).reshape(len(rows), len(STATISTICS))
     return grow(x, np.array([float(r.label > 0) for r in rows]))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from corpusprep.llm.common import batches, col, fresh, strings
+from corpusprep.llm.common import batches, col, fresh, strings, text_hash
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -231,8 +231,10 @@ def train(
     )
     texts = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
     texts = texts.where(F.size(F.split("text", "\n")) <= max_lines)
-    rows = texts.join(F.broadcast(marks), "id").select("id", _features(F.col("text")).alias("lines"), "label").collect()
-    rows.sort(key=lambda r: (r.id, r.label, len(r.lines)))
+    found = texts.join(F.broadcast(marks), "id")
+    found = found.select("id", text_hash(F.col("text")).alias("hash"), _features(F.col("text")).alias("lines"), "label")
+    rows = found.orderBy(F.xxhash64("id"), "id", "hash").limit(max_docs).collect()  # an id may have several rows
+    rows.sort(key=lambda r: (r.id, r.label, len(r.lines), r.hash))
     return fit_weights([([list(f) for f in r.lines], int(r.label > 0)) for r in rows])
 
 
