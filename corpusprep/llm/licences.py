@@ -1,7 +1,8 @@
 """Licence scans by canonical digest: DataFrame functions only.
 
 A text is brought to a canonical form: lines that state a copyright go, letters become lower-case, equivalent spellings
-become one, and what is neither letter nor digit becomes one space. The SHA-256 of the form is looked up among the
+become one, and what is neither letter nor digit becomes one space. Lines that only reserve all rights go too, and so does a
+title such as "The MIT License (MIT)" where the text begins with it, unless nothing else is there. The SHA-256 of the form is looked up among the
 digests of known licences and licence notices by a hash join. That is done for each whole text and for each line of it,
 since notices stand alone in a line.
 
@@ -42,6 +43,11 @@ MAY_CHANGE = (
     "licenc|sub licens|re licens|non infring|non commercial|is(e|es|ed|ing|ation|ations)\\b|our(s|ed|able)?\\b|"
     "acknowledgement|copyright holder|copyright owner|version|\\bv ?\\d|\\d 0\\b|http"
 )
+#: Canonical lines that a licence may have or not. A title counts as such only where the text begins.
+RIGHTS_LINE = "all rights reserved"
+TITLE_LINE = (
+    "^((the )?(mit|mit x11|expat|isc|(new |simplified |modified )?bsd( [23] clause)?|[23] clause bsd) )?license( mit| isc)?$"
+)
 COPYRIGHT_LINE = "^[^\\p{L}\\p{N}]*(copyright|\\(c\\)|©)"
 NOT_WORD = "[^\\p{L}\\p{N}]+"
 
@@ -144,6 +150,13 @@ def canonical_lines(text: Column) -> Column:
     return F.filter(lines, lambda line: line != "")
 
 
+def whole_form(lines: Column) -> Column:
+    """The canonical form of a text from its canonical lines, without the title line and lines that reserve rights."""
+    lines = F.filter(lines, lambda line: line != RIGHTS_LINE)
+    titled = (F.size(lines) > 1) & F.coalesce(F.get(lines, F.lit(0)).rlike(TITLE_LINE), F.lit(False))
+    return F.array_join(F.when(titled, F.slice(lines, F.lit(2), F.size(lines) - 1)).otherwise(lines), " ")
+
+
 def digest(form: Column) -> Column:
     """The digest of a canonical form; null for an empty one."""
     return F.when(form != "", F.sha2(form, 256))
@@ -151,7 +164,7 @@ def digest(form: Column) -> Column:
 
 def known_digests(known: DataFrame) -> DataFrame:
     """(digest, licence) for a table of known texts (licence, text); of equal digests the licence that sorts first."""
-    digests = known.select(digest(F.array_join(canonical_lines(F.col("text")), " ")).alias("digest"), "licence")
+    digests = known.select(digest(whole_form(canonical_lines(F.col("text")))).alias("digest"), "licence")
     return digests.dropna().groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
@@ -172,7 +185,7 @@ def scan(
         "id",
         F.posexplode(
             F.concat(
-                F.array(digest(F.array_join("lines", " "))),
+                F.array(digest(whole_form(F.col("lines")))),
                 F.transform(F.coalesce("lines", F.array().cast("array<string>")), digest),
             )
         ).alias("pos", "digest"),

@@ -42,7 +42,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archive(table(spark, sf_dir, "pages"), new_path(spark, "archive"))
-    back = warc.read_archive(spark, path)
+    back = warc.parse_records(warc.read_records(spark, path))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -148,7 +148,8 @@ def _canonical_line_sql(line: str) -> str:
 
 
 def _known_sql() -> str:
-    quoted = [(licence, text.replace("'", "''")) for licence, text in licences.TEXTS.items()]
+    texts = [*licences.TEXTS.items(), *licences.full_texts()]
+    quoted = [(licence, text.replace("'", "''")) for licence, text in texts]
     quoted += [(i, form.format(name)) for i, names in licences.NAMES.items() for name in names for form in licences.NOTICES]
     return ", ".join(f"('{licence}', '{text}')" for licence, text in quoted)
 
@@ -158,6 +159,12 @@ def _lines_sql(text: str) -> str:
     return f"list_filter({lines}, lambda l: l IS NOT NULL AND l <> '')"
 
 
+def _whole_form_sql(lines: str) -> str:
+    rest = f"list_filter({lines}, lambda l: l <> '{licences.RIGHTS_LINE}')"
+    titled = f"len({rest}) > 1 AND regexp_matches({rest}[1], '{licences.TITLE_LINE}')"
+    return f"array_to_string(CASE WHEN {titled} THEN {rest}[2:] ELSE {rest} END, ' ')"
+
+
 def _secret_matches_sql() -> str:
     """row, kind, i, skip, size, value for each match, as one SELECT for each kind."""
     patterns = (secrets.ASSIGN, secrets.ACCESS, secrets.HEX, secrets.OPAQUE)
@@ -184,13 +191,13 @@ ORACLE_SQL: dict[str, str] = {
         FROM m""",
     "op8_licence_scan": f"""
         WITH known AS (
-            SELECT sha256(array_to_string({_lines_sql("text")}, ' ')) AS digest, min(licence) AS licence
-            FROM (VALUES {_known_sql()}) AS k(licence, text) GROUP BY 1
+            SELECT sha256({_whole_form_sql("lines")}) AS digest, min(licence) AS licence
+            FROM (SELECT licence, {_lines_sql("text")} AS lines FROM (VALUES {_known_sql()}) AS k(licence, text)) GROUP BY 1
         ), forms AS (
             SELECT row_number() OVER () AS row, doc_id, {_lines_sql("text")} AS lines FROM documents
         ), whole AS (
-            SELECT *, CASE WHEN array_to_string(lines, ' ') <> '' THEN sha256(array_to_string(lines, ' ')) END AS text_digest
-            FROM forms
+            SELECT *, CASE WHEN form <> '' THEN sha256(form) END AS text_digest
+            FROM (SELECT *, {_whole_form_sql("lines")} AS form FROM forms)
         ), by_line AS (
             SELECT row, licence FROM (SELECT row, sha256(unnest(lines)) AS digest FROM forms) JOIN known USING (digest)
         ), by_text AS (SELECT row, licence FROM whole JOIN known ON text_digest = digest

@@ -2,7 +2,7 @@
 
 Two tables make the archive. ``payloads`` has each payload once, under its SHA-256. ``records`` has the exact header of
 each WARC record and the key of its payload. Joining the two gives the original records back, byte for byte, and every
-payload is checked against its key when it is read.
+payload is checked against its key when it is read. ``read_records`` rebuilds the records, ``parse_records`` reads them.
 
 Of records with equal payloads of at least ``min_bytes`` bytes, the one with the largest id is the response and the others
 are revisits of it; smaller ones are all responses. Headers say so as WARC/1.1 does.
@@ -156,9 +156,65 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): each record of an archive, byte for byte as it would stand in a WARC file.
+
+    Only responses are joined with payloads; a revisit is a header, however many of them refer to one payload.
+    """
+    records = spark.read.schema(RECORDS_SCHEMA).parquet(f"{path}/records")
+    payloads = spark.read.schema(PAYLOADS_SCHEMA).parquet(f"{path}/payloads")
+    wrong = F.raise_error(F.concat(F.lit("payload is not what its digest says: "), "digest"))
+    body = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(wrong.cast("binary"))
+    response = _from_header("WARC-Type", "(\\w+)").eqNullSafe("response")
+    header, ends = F.encode("header", "UTF-8"), F.lit((NEW_LINE + NEW_LINE).encode())
+    whole = records.where(response).join(payloads, "digest").select(F.concat(header, body, ends).alias("record"))
+    return whole.unionAll(records.where(~response).select(F.concat(header, ends).alias("record")))
+
+
+def parse_records(records: DataFrame) -> DataFrame:
+    """What the bytes of ``records`` (record) say: page_id, url, record_type, refers_to, payload_bytes, payload_digest.
+
+    Length and SHA-1 of a response are those of the bytes behind its headers, and a response whose header states another
+    digest fails the query. A revisit has those of the response that it refers to, or nulls if that is not there.
+    """
+    blank = NEW_LINE + NEW_LINE
+    # Without the copy of a decoded text: both headers are what stands before the second blank line.
+    head = F.substring_index(F.col("record").cast("string"), blank, 2)
+    start = F.octet_length(head) + len(blank)
+    body = F.substring(F.col("record"), start + 1, F.octet_length("record") - start - len(blank))
+    kind = _from_header("WARC-Type", "(\\w+)")
+    stated = _from_header("WARC-Payload-Digest", "sha1:([0-9a-f]+)")
+    wrong = F.raise_error(F.concat(F.lit("payload is not what its header says: sha1:"), "stated"))
+    parts = records.select(head.alias("header"), body.alias("body"))
+    parsed = parts.select(
+        _from_header("WARC-Record-ID", "<urn:x-page:(-?\\d+)>").cast("bigint").alias("page_id"),
+        _from_header("WARC-Target-URI", "([^\r\n]*)").alias("url"),
+        kind.alias("record_type"),
+        _from_header("WARC-Refers-To", "<urn:x-page:(-?\\d+)>").cast("bigint").alias("refers_to"),
+        stated.alias("stated"),
+        F.when(kind == "response", F.octet_length("body").cast("bigint")).alias("n_bytes"),
+        F.when(kind == "response", F.sha1("body")).alias("sha1"),
+    )
+    checked = F.when(F.col("sha1").isNull() | (F.col("sha1") == F.col("stated")), F.col("sha1")).otherwise(wrong)
+    parsed = written(parsed.withColumn("sha1", checked), "parsed")
+    # Many revisits may refer to one response; distinct references are worked out in the tasks first.
+    wanted = parsed.where("record_type = 'revisit'").select(F.col("refers_to").alias("to_id"), F.col("stated").alias("to_sha1"))
+    responses = parsed.where("record_type = 'response'").select("page_id", "sha1", F.col("n_bytes").alias("to_bytes"))
+    found = F.col("page_id").eqNullSafe(F.col("to_id")) & (F.col("sha1") == F.col("to_sha1"))
+    targets = wanted.distinct().join(responses, found).select("to_id", "to_sha1", "to_bytes").distinct()
+    targets = broadcast_if_small(written(targets, "targets"))
+    same = F.col("refers_to").eqNullSafe(F.col("to_id")) & (F.col("stated") == F.col("to_sha1"))
+    same = (F.col("record_type") == "revisit") & same
+    return parsed.join(targets, same, "left").select(
+        "page_id", "url", "record_type", "refers_to",
+        F.coalesce("n_bytes", "to_bytes").alias("payload_bytes"),
+        F.coalesce("sha1", "to_sha1").alias("payload_digest"),
+    )
+
+
 def export_warc(spark: SparkSession, path: str, target: str, compression: str = "none") -> None:
     """Write the records of an archive of text payloads as WARC files, one per partition, below ``target``."""
     text = F.decode("record", "UTF-8")
     ends = NEW_LINE + NEW_LINE
-    lines = read_archive(spark, path).select(F.substring(text, F.lit(1), F.length(text) - len(ends)).alias("value"))
+    lines = read_records(spark, path).select(F.substring(text, F.lit(1), F.length(text) - len(ends)).alias("value"))
     lines.write.option("lineSep", ends).option("compression", compression).text(target)

@@ -1,10 +1,13 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import difference
 from corpusprep.llm import licences
+from corpusprep.llm.queries import ORACLE_SQL
 from tests.llm.frames import no_documents, odd_documents
 
 MIT = licences.TEXTS["MIT"]
@@ -18,8 +21,10 @@ def plain_form(text):
         form = re.sub(r"[\W_]+", " ", line.lower()).strip()
         for pattern, spelling in licences.SPELLINGS:
             form = re.sub(pattern, lambda m: re.sub(r"\$(\d)", lambda g: m[int(g[1])] or "", spelling), form)
-        if form:
+        if form and form != "all rights reserved":
             lines.append(form)
+    if len(lines) > 1 and re.search(licences.TITLE_LINE, lines[0]):
+        del lines[0]
     return " ".join(lines)
 
 
@@ -29,6 +34,10 @@ VARIANTS = [
     "(C) 1999\n" + MIT.replace(",", " ").replace('"', "'"),
     MIT.replace("sublicense", "sub-licence").replace("NONINFRINGEMENT", "NON-INFRINGEMENT").replace("COPYRIGHT HOLDERS", "copyright owners"),
     "\r\n".join(MIT.split("\n")),
+    MIT.replace("MIT License", "The MIT License (MIT)"),
+    MIT.replace("MIT License\n", ""),
+    MIT.replace("MIT License", "Copyright 2020 Somebody\nAll rights reserved.\n\nThe MIT Licence"),
+    MIT.replace("MIT License", "MIT License\n\nCopyright 2020 Somebody\nAll rights reserved."),
 ]
 
 
@@ -39,6 +48,25 @@ def test_variants_are_the_same_licence(spark, text):
     assert row["text_digest"] == hashlib.sha256(plain_form(text).encode()).hexdigest()
 
 
+def test_titles_count_only_at_the_beginning(spark):
+    isc = licences.TEXTS["ISC"]
+    body = isc.split("\n", 1)[1]
+    docs = [(1, body), (2, "The ISC License (ISC)\n" + body), (3, body + "\nISC License"), (4, "MIT License"), (5, "All rights reserved.")]
+    rows = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert [rows[i]["licence"] for i in range(1, 6)] == ["ISC", "ISC", None, None, None]
+    assert rows[4]["text_digest"] == hashlib.sha256(b"mit license").hexdigest() and rows[5]["text_digest"] is None
+
+
+def test_sql_knows_all_texts(spark, tmp_path):
+    texts = [text for _, text in licences.known_texts(spark).select("licence", "text").collect()]
+    docs = [*texts, *VARIANTS, None, "", "MIT License", "MIT License\nAll rights reserved.", "nothing\nall rights reserved\n"]
+    docs = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    assert difference(licences.scan(docs), con, ORACLE_SQL["op8_licence_scan"]) is None
+
+
 def test_notices_in_lines(spark):
     docs = [
         (1, "Some text.\nReleased under the MIT license\nLICENSED UNDER THE APACHE LICENCE -- VERSION 2.0.\nmore"),
