@@ -235,29 +235,49 @@ def cut(text: str, spans: list) -> str:
     return "".join(kept) + text[end:]
 
 
-def _clean_column(text: Column, found: Column, sent: list) -> Column:
-    """The text without the spans found, and without what their removal has brought together."""
+def cleaned(texts: list[str | None], spans: list, blocks: list[Phrases]) -> list[str | None]:
+    """Texts without the spans found in them, and without what their removal has brought together; None where none was."""
+    out: list[str | None] = [None] * len(texts)
+    changed = [k for k, s in enumerate(spans) if s is not None and len(s)]
+    for k in changed:
+        out[k] = cut(texts[k], list(spans[k]))
+    while changed:
+        hits = defaultdict(list)
+        for phrases in blocks:  # all of them on the same text, so that it does not matter how items are put into blocks
+            for k, (_, hit, _) in zip(changed, phrases.search([out[k] for k in changed])):
+                if len(hit):
+                    hits[k].append(hit)
+        for k, several in hits.items():
+            out[k] = cut(out[k], merged_spans(out[k], np.unique(np.concatenate(several))))
+        changed = sorted(hits)
+    return out
+
 
+def _clean_column(text: Column, found: Column, sent: list) -> Column:
     @F.pandas_udf("string")
     def apply(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        out = strings(texts)
-        changed = [k for k, s in enumerate(spans) if s is not None and len(s)]
-        for k in changed:
-            out[k] = cut(out[k], list(spans.iloc[k]))
-        while changed:
-            hits = defaultdict(list)
-            for phrases in sent:  # all of them on the same text, so that it does not matter how items are put into blocks
-                for k, (_, hit, _) in zip(changed, phrases.value.search([out[k] for k in changed])):
-                    if len(hit):
-                        hits[k].append(hit)
-            for k, several in hits.items():
-                out[k] = cut(out[k], merged_spans(out[k], np.unique(np.concatenate(several))))
-            changed = sorted(hits)
-        return pd.Series(out, dtype=object)
+        return pd.Series(cleaned(strings(texts), spans.tolist(), [phrases.value for phrases in sent]), dtype=object)
 
     return apply(text, found)
 
 
+def _search_and_clean_column(text: Column, phrases) -> Column:
+    """The finding and the cleaned text (null if nothing was cut), from one Python worker."""
+
+    @F.pandas_udf(T.StructType([*RESULT.fields, T.StructField("clean", T.StringType())]))
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for shard in shards(strings(batch)):
+                found = phrases.value.search(shard)
+                spans = [merged_spans(text or "", hit) for text, (_, hit, _) in zip(shard, found)]
+                clean = cleaned(shard, spans, [phrases.value])
+                rows += [(n, len(hit), s, items, c) for (n, hit, items), s, c in zip(found, spans, clean)]
+            yield pd.DataFrame(rows, columns=[*RESULT.names, "clean"])
+
+    return apply.asNondeterministic()(text)
+
+
 def remove_overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -273,6 +293,12 @@ def remove_overlaps(
     Where cutting brings words together that make a window, they are cut too, until the text has none.
     """
     sent = _sent(benchmark, item_col, item_text_col, window, max_block_bytes)
+    if len(sent) == 1:
+        both = fresh("found", docs)
+        found = docs.withColumn(both, _search_and_clean_column(col(text_col), sent[0]))
+        result = F.struct(*[F.col(f"{both}.{name}") for name in RESULT.names])
+        found = found.withColumn(text_col, F.coalesce(F.col(f"{both}.clean"), col(text_col)))
+        return found.withColumn(out, result).drop(both)
     found = _with_findings(docs, sent, text_col, out)
     clean = F.when(F.size(f"{out}.spans") > 0, _clean_column(col(text_col), F.col(f"{out}.spans"), sent))
     return found.withColumn(text_col, F.coalesce(clean, col(text_col)))
