@@ -55,6 +55,8 @@ REMEMBERED_OUTLINES = 20_000
 REMEMBERED_SHINGLES = 200_000
 #: Bits of a line's outline, see ``outlines``.
 OUTLINE_BITS = 4_096
+#: Pairs whose outlines are compared at once. Results do not depend on it.
+STEP_PAIRS = 4_096
 #: Lines of a block, in the comparison of lines that share a key.
 BLOCK_LINES = 512
 
@@ -172,14 +174,14 @@ def drawn_outlines(lines: list[str], width: int = SHINGLE) -> tuple[np.ndarray,
             chars += len(lines[stop])
             stop += 1
         hashes, counts = shingle_hashes(lines[start:stop], width)
-        owner = np.repeat(np.arange(stop - start), counts)
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
-        first = np.ones(len(hashes), bool)
-        first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        sizes.append(np.bincount(owner[first], minlength=stop - start))
+        owner = np.repeat(np.arange(stop - start, dtype=np.uint64), counts)
+        # One sort of whole numbers: the line above, 54 bits of the hash below.
+        marked = np.sort((owner << np.uint64(54)) | (hashes >> np.uint64(10)))
+        marked = marked[np.concatenate(([True], marked[1:] != marked[:-1]))]
+        owner = (marked >> np.uint64(54)).astype(np.int64)
+        sizes.append(np.bincount(owner, minlength=stop - start))
         bits = np.zeros((stop - start, OUTLINE_BITS), bool)
-        bits[owner, ((hashes >> np.uint64(40)) % np.uint64(OUTLINE_BITS)).astype(np.int64)] = True
+        bits[owner, (marked % np.uint64(OUTLINE_BITS)).astype(np.int64)] = True
         rows.append(np.packbits(bits, axis=1).view(np.uint64))
         start = stop
     return np.concatenate(sizes), np.concatenate(rows)
@@ -256,28 +258,31 @@ def _compared(dealt: DataFrame, least: float) -> DataFrame:
     """Links (u, v) between lines of different roots that meet in a pair (i, j) of blocks of a key."""
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []  # the rows of the pair that is being read
+        held: list[tuple] = []  # rows whose last pair may go on in the next frame
         for frame in frames:
-            links: list[tuple[int, int]] = []
-            for row in frame.itertuples(index=False, name=None):
-                if held and held[0][:3] != row[:3]:
-                    links += _links_in(held, least)
-                    held = []
-                held.append(row)
-            yield pd.DataFrame(links, columns=["u", "v"], dtype="int64")
-        if held:
-            yield pd.DataFrame(_links_in(held, least), columns=["u", "v"], dtype="int64")
+            held += frame.itertuples(index=False, name=None)
+            last = len(held)
+            while last and held[last - 1][:3] == held[-1][:3]:
+                last -= 1
+            yield pd.DataFrame(_links_in(held[:last], least), columns=["u", "v"], dtype="int64")
+            held = held[last:]
+        yield pd.DataFrame(_links_in(held, least), columns=["u", "v"], dtype="int64")
 
     ordered = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "line")
     return ordered.mapInPandas(apply, "u bigint, v bigint")
 
 
 def _links_in(rows: list[tuple], least: float) -> list[tuple[int, int]]:
-    """The links among the lines of one block, or between two; lines that are connected already need none."""
-    _, i, j, *_ = rows[0]
-    lines, texts = [r[4] for r in rows], [r[6] for r in rows]
-    sizes, bits = drawn_outlines(texts)
-    second = np.array([i == j or r[3] == j for r in rows])
+    """The links among the lines of each block, or between two; lines that are connected already need none."""
+    if not rows:
+        return []
+    lines, roots = [r[4] for r in rows], np.array([r[5] for r in rows])
+    own = np.array([r[3] for r in rows])
+    text_of = {r[4]: r[6] for r in rows}
+    place = {line: n for n, line in enumerate(text_of)}
+    at = np.array([place[line] for line in lines])
+    sizes, bits = drawn_outlines(list(text_of.values()))
+    ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     parent = {r[5]: r[5] for r in rows}
 
     def root(x: int) -> int:
@@ -285,31 +290,54 @@ def _links_in(rows: list[tuple], least: float) -> list[tuple[int, int]]:
             parent[x] = x = parent[parent[x]]
         return x
 
-    roots = np.array([r[5] for r in rows])
     sets: dict[int, frozenset[str]] = {}
     links = []
-    for a in range(len(rows)):
-        if i != j and second[a]:
-            continue
-        at = np.flatnonzero(second & (roots != roots[a]))
-        at = at[at > a] if i == j else at
-        if not len(at):
-            continue
-        only_a = np.bitwise_count(bits[a] & ~bits[at]).sum(axis=1, dtype=np.int64)
-        only_b = np.bitwise_count(bits[at] & ~bits[a]).sum(axis=1, dtype=np.int64)
-        most = np.minimum(sizes[a] - only_a, sizes[at] - only_b)
-        for b in at[most >= least * (sizes[a] + sizes[at] - most)].tolist():
-            x, y = root(rows[a][5]), root(rows[b][5])
-            if x != y:
-                for k in (a, b):
-                    if k not in sets:
-                        sets[k] = _shingles(texts[k])
-                if similar(sets[a], sets[b], least):
-                    links.append((lines[a], lines[b]))
-                    parent[max(x, y)] = min(x, y)
+    for a, b in _pairs(rows, own):
+        n, m = sizes[at[a]], sizes[at[b]]
+        fit = (roots[a] != roots[b]) & (np.minimum(n, m) >= least * np.maximum(n, m))
+        a, b, n, m = a[fit], b[fit], n[fit], m[fit]
+        for start in range(0, len(a), STEP_PAIRS):
+            some = slice(start, start + STEP_PAIRS)
+            x, y, n_some, m_some = at[a[some]], at[b[some]], n[some], m[some]
+            both = np.bitwise_count(bits[x] & bits[y]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(n_some - (ones[x] - both), m_some - (ones[y] - both))
+            possible = start + np.flatnonzero(most >= least * (n_some + m_some - most))
+            for i, j in zip(a[possible].tolist(), b[possible].tolist()):
+                p, q = root(rows[i][5]), root(rows[j][5])
+                if p != q:
+                    for line in (lines[i], lines[j]):
+                        if line not in sets:
+                            sets[line] = _shingles(text_of[line])
+                    if similar(sets[lines[i]], sets[lines[j]], least):
+                        links.append((lines[i], lines[j]))
+                        parent[max(p, q)] = min(p, q)
     return links
 
 
+def _pairs(rows: list[tuple], own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The places of the lines to compare, a step at a time, for rows that are in the order of their pairs of blocks."""
+    firsts, seconds, waiting = [], [], 0
+    start = 0
+    while start < len(rows):
+        key = rows[start][:3]
+        stop = start + 1
+        while stop < len(rows) and rows[stop][:3] == key:
+            stop += 1
+        if key[1] == key[2]:
+            a, b = np.triu_indices(stop - start, 1)
+        else:
+            second = own[start:stop] == key[2]
+            x, y = np.flatnonzero(~second), np.flatnonzero(second)
+            a, b = np.repeat(x, len(y)), np.tile(y, len(x))
+        firsts.append(start + a)
+        seconds.append(start + b)
+        waiting += len(a)
+        start = stop
+        if waiting >= 16 * STEP_PAIRS or start == len(rows):
+            yield np.concatenate(firsts), np.concatenate(seconds)
+            firsts, seconds, waiting = [], [], 0
+
+
 def _texts_of(wanted: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """(line, text) for the line hashes in ``wanted`` (line, each once)."""
     lines = docs.select(F.explode(F.split(col(text_col), "\n")).alias("text"))
