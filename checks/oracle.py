@@ -331,6 +331,8 @@ def build() -> dict[str, str]:
     sql["phrase_scores"] = _with(
         *DOC_PHRASES, select="SELECT w, nx, n, n_w, n_nx, round(score, 6) AS score FROM ph_phr"
     )
+    sql["phrase_vocab_estimate"] = _with(*DOC_PHRASES, select="SELECT count(*) AS vocab_size, true AS close FROM ph_dict")
+    sql["phrases_incremental"] = sql["phrase_scores"]
     sql["phrase_merge"] = _with(*DOC_PHRASES, select=joined("documents", "ph_out", "doc_id", "token", "lemmas"))
 
     sql["max_length"] = """SELECT max(length(text))::INTEGER AS max_text, max(length(source))::INTEGER AS max_source,

@@ -15,7 +15,8 @@ from corpusprep.operators import embed, extend, language, lemma, phrases, qualit
 from corpusprep.plans import prepare as prep
 from corpusprep.sources import lexicons, tables
 from corpusprep.sources.mapping import FieldMapping
-from corpusprep.streaming.incremental import process_missing_parts, process_new_files, read_processed
+from corpusprep.streaming.incremental import PART, process_missing_parts, process_new_files, read_processed
+from corpusprep.streaming.phrase_counts import count_new_files, counts_so_far
 from corpusprep.work import explode_each, new_path, staged, written
 
 DIMS = 64
@@ -107,7 +108,7 @@ def resume_parts(spark, folder):
         docs.where(F.pmod("doc_id", F.lit(4)) == part).write.parquet(path)
 
     def step(df):
-        return df.select("doc_id", F.length("raw_text").cast("bigint").alias("n_chars"))
+        return df.select("doc_id", F.length("raw_text").cast("bigint").alias("n_chars"), *([PART] if PART in df.columns else []))
 
     for part in (0, 2):
         step(spark.read.parquet(f"{base}/in/documents_part_{part}.parquet")).write.parquet(f"{base}/out/documents_part_{part}.parquet")
@@ -342,6 +343,27 @@ def phrase_scores(spark, folder):
     return learned.withColumn("score", F.round("score", 6))
 
 
+def phrase_vocab_estimate(spark, folder):
+    """The size of the dictionary, and whether its estimate from the sketches of two halves of the corpus is close."""
+    docs = written(_filtered(spark, folder).select("doc_id", "tokens"), "tokens")
+    halves = [phrases.follow_counts(docs.where(F.pmod("doc_id", F.lit(2)) == half)) for half in (0, 1)]
+    sketches = phrases.vocabulary_sketch(halves[0]).unionAll(phrases.vocabulary_sketch(halves[1]))
+    estimate = phrases.vocabulary_size(sketches)
+    size = phrases.vocabulary(phrases.follow_counts(docs)).agg(F.count(F.lit(1)).alias("vocab_size"))
+    return size.withColumn("close", F.abs(F.lit(estimate) - F.col("vocab_size")) <= 0.04 * F.col("vocab_size"))
+
+
+def phrases_incremental(spark, folder):
+    """Phrases from counts that are kept while documents arrive in three steps."""
+    base = new_path(spark, "phrases")
+    docs = _filtered(spark, folder).select("doc_id", "tokens")
+    for n in range(3):
+        docs.where(F.pmod("doc_id", F.lit(3)) == n).write.mode("append").parquet(f"{base}/in")
+        count_new_files(spark, f"{base}/in", f"{base}/counts", f"{base}/checkpoint", lambda batch: batch)
+    learned = phrases.learn_from_counts(counts_so_far(spark, f"{base}/counts"))
+    return learned.withColumn("score", F.round("score", 6))
+
+
 def phrase_merge(spark, folder):
     """Flagship: phrases of the whole corpus, merged into every document."""
     docs = staged(_filtered(spark, folder).select("doc_id", "tokens"), "doc_id", "tokens")
@@ -525,7 +547,8 @@ QUERIES = {
         lang_model_counts, lang_predict_nb, lang_predict_turns, lang_filter, lang_vote,
         acronym_expand, contraction_expand, tokens_alpha, stopword_filter,
         lemma_lookup, pos_filter, pos_context, lemma_guess, lemmas_column,
-        unigram_counts, bigram_counts, phrase_vocab, phrase_scores, phrase_merge,
+        unigram_counts, bigram_counts, phrase_vocab, phrase_vocab_estimate, phrase_scores,
+        phrases_incremental, phrase_merge,
         max_length, overlength_report, duplicate_ids,
         truncate_tokens, embed_hash, embed_word2vec, embedding_join, embedding_text,
         unprocessed_docs, incremental_embed, user_model,

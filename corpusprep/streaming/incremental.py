@@ -18,6 +18,7 @@ before.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from corpusprep.functions.text import part_number
 from corpusprep.sources.tables import path_exists, refuse_overlap
 
+#: The column that tells which numbered part a row is from.
+PART = "_part"
 _BATCH = "batch"
 _ANY_AGE = "36500d"
 
@@ -70,20 +73,50 @@ def process_new_files(
 
 
 def process_missing_parts(
-    spark: SparkSession, source: str, target: str, step: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, source: str, target: str, step: Callable[[DataFrame], DataFrame], gather: bool = False
 ) -> list[str]:
-    """Apply ``step`` to each part ``…_part_<n>.parquet`` of ``source`` whose number ``target`` does not have.
-
-    A part is written under its own name; it counts as done when its writing has
-    been completed, and is written again otherwise. Returns the names taken.
+    """Apply ``step`` to the parts ``…_part_<n>.parquet`` of ``source`` whose number ``target`` does not have.
+
+    All of them are one DataFrame and one job. ``step`` has to keep the column
+    ``_part``, the number of the part a row is from, which is not in the results;
+    columns that only some parts have are null in the others. ``gather`` is for
+    steps that regroup rows: it brings the rows of a part together again, in
+    several tasks if it is a large one, so that not every task writes a file for
+    every part.
+
+    Results are written aside and each is put in place, under the part's name and
+    complete, by a rename. A part without its mark of completion is replaced.
+    Returns the names taken.
     """
     refuse_overlap(spark, target, [source])
     there = _part_names(spark, source)
     done = {n for n, name in _part_names(spark, target).items() if path_exists(spark, f"{target}/{name}/_SUCCESS")}
-    taken = [name for n, name in sorted(there.items()) if n not in done]
-    for name in taken:
-        step(spark.read.parquet(f"{source}/{name}")).write.mode("overwrite").parquet(f"{target}/{name}")
-    return taken
+    missing = {n: name for n, name in sorted(there.items()) if n not in done}
+    if not missing:
+        return []
+    rows = spark.read.option("mergeSchema", True).parquet(*(f"{source}/{name}" for name in missing.values()))
+    # A part is a file or a folder of files.
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"part_(\d+)\.parquet(?:/[^/]*)?$", 1).cast("bigint")
+    results = step(rows.withColumn(PART, number))
+    if PART not in results.columns:
+        raise ValueError(f"the step has to keep the column {PART}")
+    if gather:
+        results = results.hint("rebalance", PART)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    aside = f"{target.rstrip('/')}/_new.{uuid.uuid4().hex}"
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        results.write.partitionBy(PART).parquet(aside)
+        for n, name in missing.items():
+            new, place = path(f"{aside}/{PART}={n}"), path(f"{target}/{name}")
+            system.mkdirs(new)  # parts without results have no folder yet
+            system.create(path(new, "_SUCCESS")).close()
+            system.delete(place, True)
+            if not system.rename(new, place):
+                raise OSError(f"{new.toString()} could not be moved to {place.toString()}")
+    finally:
+        system.delete(path(aside), True)
+    return list(missing.values())
 
 
 def _part_names(spark: SparkSession, folder: str) -> dict[int, str]:

@@ -10,7 +10,8 @@ from corpusprep.operators import phrases as ph
 from corpusprep.operators.embed import embed_hash
 from corpusprep.operators.rewrite import expand_acronyms
 from corpusprep.sources import lexicons
-from corpusprep.streaming.incremental import finished_parts, process_missing_parts, process_new_files, read_processed
+from corpusprep.streaming.incremental import PART, finished_parts, process_missing_parts, process_new_files, read_processed
+from corpusprep.streaming.phrase_counts import count_new_files, counts_so_far
 
 
 def step(batch):
@@ -79,6 +80,47 @@ def test_parts_that_are_missing_are_processed(spark, tmp_path):
     assert process_missing_parts(spark, source, target, lambda d: d) == []
 
 
+def test_missing_parts_are_one_job(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(5):
+        rows = spark.range(n * 10, n * 10 + 4).withColumn("x", F.col("id") % 2)
+        rows.where("id < 40").write.parquet(f"{source}/x_part_{n}.parquet")
+    spark.createDataFrame([(9,)], "id bigint").toPandas().to_parquet(tmp_path / "in" / "x_part_7.parquet")
+    calls = []
+
+    def step(df):
+        calls.append(1)
+        return df.groupBy(PART, "x").agg(F.sum("id").alias("total"))
+
+    with pytest.raises(ValueError, match="_part"):
+        process_missing_parts(spark, source, target, lambda d: d.drop(PART))
+    with pytest.raises(Exception, match="no good"):
+        process_missing_parts(spark, source, target, lambda d: d.withColumn("id", F.raise_error(F.lit("no good"))))
+    assert not (tmp_path / "out").exists() or not list((tmp_path / "out").iterdir())
+    assert len(process_missing_parts(spark, source, target, step, gather=True)) == 6 and calls == [1]
+    assert process_missing_parts(spark, source, target, step) == [] and calls == [1]
+    for n in (0, 3, 7):
+        got = {(r["x"], r["total"]) for r in spark.read.parquet(f"{target}/x_part_{n}.parquet").collect()}
+        assert got == ({(None, 9)} if n == 7 else {(0, 20 * n + 2), (1, 20 * n + 4)})
+    assert [p.name for p in (tmp_path / "out" / "x_part_4.parquet").iterdir() if not p.name.startswith(".")] == ["_SUCCESS"]
+
+
+def test_phrase_counts_over_batches(spark, tmp_path):
+    source, store, checkpoint = (str(tmp_path / n) for n in ("in", "counts", "check"))
+    texts = ["a b a b", "a b c", "", "c c c", "b a"]
+    docs = spark.createDataFrame([(i, x.split()) for i, x in enumerate(texts)], "id bigint, tokens array<string>")
+    for i in range(len(texts)):
+        docs.where(F.col("id") == i).coalesce(1).write.mode("append").parquet(source)
+        assert count_new_files(spark, source, store, checkpoint, lambda b: b) == 1
+    # The last batch was written and not committed, as after a failure: it is repeated.
+    for name in ("4", ".4.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    assert count_new_files(spark, source, store, checkpoint, lambda b: b) == 1
+    rows = sorted(map(str, counts_so_far(spark, store).collect()))
+    assert rows == sorted(map(str, ph.follow_counts(docs).collect()))
+    assert counts_so_far(spark, str(tmp_path / "none")) is None
+
+
 def test_files_can_be_taken_a_few_at_a_time(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
     df = spark.range(0, 40, 1, 4).select("id", F.lit("text").alias("raw_text"))

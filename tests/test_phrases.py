@@ -4,6 +4,7 @@ import time
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusprep.operators import phrases as ph
 
@@ -148,3 +149,21 @@ def test_merging_takes_time_in_proportion_to_the_hits(spark):
     out = ph.merge_phrases(docs, table, key="id").first()["lemmas"]
     assert time.perf_counter() - began < 20
     assert out == one_by_one(tokens, pairs)
+
+
+def test_dictionary_size_from_sketches(spark):
+    ten = F.sequence(F.lit(0), F.lit(9))
+    words = F.transform(ten, lambda i: F.concat(F.lit("w"), (F.col("id") * 7 + i * i) % 6_000))
+    docs = spark.range(4_000).select(words.alias("tokens"))
+    halves = docs.randomSplit([0.5, 0.5], 1)
+    exact = ph.vocabulary(ph.follow_counts(docs)).count()
+    sketches = [ph.vocabulary_sketch(ph.follow_counts(x)) for x in (*halves, docs)]
+    together = ph.vocabulary_size(sketches[0].unionAll(sketches[1]).unionAll(sketches[2]))
+    assert abs(together - exact) <= 0.04 * exact and exact > 20_000
+    assert ph.vocabulary_size(ph.vocabulary_sketch(ph.follow_counts(docs.where("false")))) == 0
+    follows = ph.written(ph.follow_counts(docs), "follows")
+    usual = ph.learn_from_counts(follows, 0, 0.0)
+    close = ph.learn_from_counts(follows, 0, 0.0, estimated_size=True)
+    ratio = F.col("other") / F.col("score")
+    both = usual.join(close.withColumnRenamed("score", "other"), ["w", "nx"])
+    assert 0.96 <= both.agg(F.min(ratio)).first()[0] <= both.agg(F.max(ratio)).first()[0] <= 1.04
