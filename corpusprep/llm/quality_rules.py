@@ -6,7 +6,8 @@ in content lines decides whether the document stays. A few plain counts come wit
 
 The weights are fitted to a bounded sample of documents with a quality label (``max_docs``, the ones whose ids hash
 lowest). No line labels exist, so each line takes the label of its document. The penalty pulls the weights towards
-``PRIOR``: without labelled documents they are ``PRIOR``.
+``PRIOR``: without labelled documents they are ``PRIOR``. The weight of staying is not learned: labels never change inside
+a document that has one label, so such documents would only teach that they never change.
 
 Defined results: a null or empty text has no words, so ``n_words`` is 0 and it is rejected. Texts of any length are read
 whole; a document is one row and one task reads it. Repeated rows and repeated ids each get their own, equal, result. An
@@ -170,7 +171,7 @@ def sequence_gradient(x: np.ndarray, y: np.ndarray, real: np.ndarray, w: np.ndar
 
 def fit_weights(examples: list[tuple[list[list[float]], int]], rounds: int = 150, pull: float = 5.0) -> Weights:
     """Weights of the highest penalised likelihood for (line features, label of the document) examples."""
-    prior = np.array([*PRIOR[0], PRIOR[1]])
+    prior = np.array(PRIOR[0])
     examples = sorted((e for e in examples if e[0]), key=lambda e: len(e[0]))
     if len({label for _, label in examples}) < 2:
         return PRIOR
@@ -184,16 +185,14 @@ def fit_weights(examples: list[tuple[list[list[float]], int]], rounds: int = 150
             x[i, : len(lines)] = lines
             real[i, : len(lines)] = True
         blocks.append((x, np.repeat([[label] for _, label in part], length, axis=1), real))
-    theta, mean, spread = prior.copy(), np.zeros_like(prior), np.zeros_like(prior)
+    theta, mean, spread = prior.copy(), np.zeros(len(FEATURES)), np.zeros(len(FEATURES))
     for i in range(1, rounds + 1):
         gradient = -pull * (theta - prior)
         for x, y, real in blocks:
-            by_feature, by_stay = sequence_gradient(x, y, real, theta[:-1], theta[-1])
-            gradient[:-1] += by_feature
-            gradient[-1] += by_stay
+            gradient += sequence_gradient(x, y, real, theta, PRIOR_STAY)[0]
         mean, spread = 0.9 * mean + 0.1 * gradient, 0.99 * spread + 0.01 * gradient**2
         theta = theta + 0.1 * (mean / (1 - 0.9**i)) / (np.sqrt(spread / (1 - 0.99**i)) + 1e-8)
-    return tuple(theta[:-1].tolist()), float(theta[-1])
+    return tuple(theta.tolist()), PRIOR_STAY
 
 
 #: Lines of a training document, unless ``train`` is told otherwise; the driver holds max_docs times as many at most.

@@ -74,6 +74,20 @@ def test_without_labels_of_both_kinds_the_weights_are_the_prior(spark):
     assert qr.train(odd_documents(spark), labels) == qr.PRIOR
 
 
+def test_trained_weights_split_documents_that_mix_both(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    weights = qr.train(docs, labels)
+    assert weights[1] == qr.PRIOR_STAY and weights[0] != qr.PRIOR[0]
+    rows = docs.join(labels.select("doc_id", "quality"), "doc_id").where("length(text) > 200").orderBy("doc_id").collect()
+    good, bad = ([r["text"].replace("\n", " ") for r in rows if r["quality"] == q][:10] for q in (1, 0))
+    assert len(good) == len(bad) == 10
+    split = 0
+    for x, y in zip(good, bad):
+        for lines, marks in (([x, x + " .", y, y + " !"], "ccbb"), ([y, x, x + " ."], "bcc")):
+            split += qr.judge("\n".join(lines), weights, 0.5)[6] == marks
+    assert split >= 18, split
+
+
 def test_odd_documents(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (4, None), (6, 0), (2, 1)], "doc_id bigint, quality int")
