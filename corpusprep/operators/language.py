@@ -1,9 +1,10 @@
 """Language of each document: a trained trigram model, or a stopword vote.
 
-The model is two aggregations over labelled texts. A document is scored by
-joining its trigrams with the model and summing per document; the partial sums
-leave one row per document and task before anything is shuffled. Whole texts are
-used for training and for scoring.
+The model is two aggregations over labelled texts. Trigrams are counted for each
+batch of texts in its task, so what is shuffled goes with the distinct trigrams. A
+document is scored in its task by a model that is small enough to be sent there,
+otherwise by joining its trigrams with the model and summing per document. Whole
+texts are used for training and for scoring.
 
 Weights are whole millionths, so a sum does not depend on the order of its parts
 and a retried task cannot change a label.
@@ -12,12 +13,18 @@ and a retried task cannot change a label.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusprep.functions.text import letter_trigrams, words
+from corpusprep.functions.text import letter_text, letter_trigrams, words
+from corpusprep.operators import trigrams
 from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, unkeyed, written
 
 # Fixed value: label of a text whose language cannot be told.
@@ -26,6 +33,9 @@ OTHER = "Other"
 _MILLION = 1_000_000
 _MAX_LANGUAGES = 1000
 
+# Cells (trigrams times languages) of a model that is sent to the tasks whole.
+MODEL_CELLS = 2_000_000
+
 
 @dataclass(frozen=True)
 class LanguageModel:
@@ -43,8 +53,22 @@ class LanguageModel:
 
 def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, gram, n) over labelled texts."""
-    grams = explode_each(labelled, [F.col(lang_col).alias("lang")], letter_trigrams(F.col(text_col)), "gram")
-    return grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    spoken = labelled.select(F.col(lang_col).alias("lang"), letter_text(F.col(text_col)).alias("letters"))
+    schema = T.StructType([spoken.schema["lang"], T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())])
+    return spoken.mapInArrow(_counted, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spoken: dict[str | None, list[str]] = {}
+        for lang, letters in zip(batch["lang"].to_pylist(), batch["letters"].to_pylist()):
+            if letters is not None:
+                spoken.setdefault(lang, []).append(letters)
+        for lang, texts in spoken.items():
+            codes, n = trigrams.counted(texts)
+            grams = pa.array([trigrams.unpack(code) for code in codes.tolist()], pa.string())
+            langs = pa.array([lang] * len(grams), batch.schema.field("lang").type)
+            yield pa.RecordBatch.from_arrays([langs, grams, pa.array(n)], names=["lang", "gram", "n"])
 
 
 def train_language_model(labelled: DataFrame, text_col: str, lang_col: str) -> LanguageModel:
@@ -69,26 +93,53 @@ def train_language_model(labelled: DataFrame, text_col: str, lang_col: str) -> L
 
 
 def predict_language(
-    docs: DataFrame, text_col: str, model: LanguageModel, out: str = "pred_lang", key: str | None = None
+    docs: DataFrame, text_col: str, model: LanguageModel, out: str = "pred_lang", key: str | None = None,
+    model_cells: int = MODEL_CELLS,
 ) -> DataFrame:
     """Add the best-scoring language, or ``Other`` for texts without any trigram.
 
-    Equal scores go to the first language in alphabetical order.
+    Equal scores go to the first language in alphabetical order. A model of more
+    than ``model_cells`` is not sent to the tasks but joined with the trigrams.
     """
     given = key
     docs, key = keyed(docs, key)
-    grams = explode_each(docs, [key], letter_trigrams(F.col(text_col)), "gram")
-    found = grams.join(broadcast_if_small(model.weights), "gram", "left")
     indices = range(len(model.languages))
-    sums = found.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.coalesce(F.sum(f"w{i}"), F.lit(0)).alias(f"_s{i}") for i in indices]
-    )
+    weights = _small_weights(model, model_cells)
+    if weights is None:
+        grams = explode_each(docs, [key], letter_trigrams(F.col(text_col)), "gram")
+        found = grams.join(broadcast_if_small(model.weights), "gram", "left")
+        counts = [F.lit(1).alias("_n"), *[F.coalesce(f"w{i}", F.lit(0)).alias(f"_s{i}") for i in indices]]
+        found = found.select(key, *counts)
+    else:
+        found = docs.select(key, _scorer(*weights)(F.coalesce(letter_text(F.col(text_col)), F.lit(""))).alias("_sums"))
+        found = found.select(key, *[F.get("_sums", F.lit(i)).alias(name) for i, name in enumerate(["_n", *[f"_s{i}" for i in indices]])])
+    sums = found.groupBy(key).agg(*[F.sum(name).alias(name) for name in ["_n", *[f"_s{i}" for i in indices]]]).where("_n > 0")
     scores = [F.col(f"_s{i}") + F.col("_n") * model.unknown[i] for i in indices]
     labels = sums.select(key, _best(scores, model.languages).alias(out))
     labelled = docs.drop(out).join(labels, key, "left").withColumn(out, F.coalesce(out, F.lit(OTHER)))
     return unkeyed(labelled, given)
 
 
+def _small_weights(model: LanguageModel, cells: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Sorted trigrams and a row of weights for each language, if the model has at most so many cells."""
+    limit = cells // max(1, len(model.languages))
+    table = model.weights.limit(limit + 1).toPandas()
+    if len(table) > limit:
+        return None
+    codes = np.array([trigrams.pack(gram) for gram in table["gram"]], np.int64)
+    order = np.argsort(codes)
+    rows = [np.append(table[f"w{i}"].to_numpy(np.int64)[order], 0) for i in range(len(model.languages))]
+    return codes[order], np.array(rows, np.int64).reshape(len(model.languages), len(codes) + 1)
+
+
+def _scorer(known: np.ndarray, weights: np.ndarray):
+    @F.pandas_udf("array<bigint>")
+    def sums(letters: pd.Series) -> pd.Series:
+        return pd.Series(list(trigrams.summed(letters.tolist(), known, weights)), dtype=object)
+
+    return sums
+
+
 def _best(scores: list[Column], names: list[str]) -> Column:
     """Name of the highest score; ``names`` are sorted, the first of equals wins."""
     return F.array_max(F.array(*_ranked(scores, names)))["name"]

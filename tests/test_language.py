@@ -1,3 +1,5 @@
+import collections
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,39 @@ def test_large_models_are_not_broadcast(spark, data, monkeypatch):
         assert sorted(shuffled.collect()) == sorted(usual.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_trigrams_are_counted_in_the_tasks(spark, data):
+    """What is grouped are distinct trigrams of a batch, not one row for each letter."""
+    from corpusprep.operators import trigrams
+    from tests.conftest import plan_text
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("lang", "text")
+    counts = language.trigram_counts(docs, "text", "lang")
+    model = language.train_language_model(docs, "text", "lang")
+    labelled = language.predict_language(docs.withColumn("id", F.monotonically_increasing_id()), "text", model, key="id")
+    assert "Generate" not in plan_text(counts) and "Generate" not in plan_text(labelled)
+
+    def by_hand(text):
+        letters = f" {' '.join(''.join(c if c.isalpha() else ' ' for c in text.lower()).split())} "
+        return [letters[i : i + 3] for i in range(len(letters) - 2)]
+
+    rows = docs.collect()
+    expected = collections.Counter((r["lang"], g) for r in rows for g in by_hand(r["text"]))
+    assert {(r["lang"], r["gram"]): r["n"] for r in counts.collect()} == expected
+    assert trigrams.unpack(trigrams.pack("a😀 ")) == "a😀 "
+
+
+def test_models_of_any_size_give_the_same_labels(spark, data, monkeypatch):
+    from corpusprep.operators import trigrams
+
+    monkeypatch.setattr(trigrams, "CHARACTERS", 500)
+    docs = spark.read.parquet(f"{data}/documents.parquet").select(F.col("doc_id").alias("id"), "text", "lang")
+    odd = spark.createDataFrame([(-1, "", None), (-2, None, "de"), (-3, "1 2", "en"), (-4, "a", "xx"), (-4, "der", None)], docs.schema)
+    docs = docs.unionAll(odd)
+    model = language.train_language_model(docs, "text", "lang")
+    sent, joined = (
+        sorted(language.predict_language(docs, "text", model, key="id", model_cells=cells).select("id", "pred_lang").collect())
+        for cells in (10**6, 0)
+    )
+    assert sent == joined and len(sent) == docs.count()
