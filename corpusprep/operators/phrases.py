@@ -29,8 +29,12 @@ SKETCH_PRECISION = 14
 
 def follow_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(w, nx, n): how often token ``w`` is followed by ``nx``; null at a document's end."""
-    follows = docs.select(F.inline_outer(next_pairs(F.col(tokens))).alias("w", "nx")).where("w IS NOT NULL")
-    return follows.groupBy("w", "nx").agg(F.count(F.lit(1)).alias("n"))
+    return follows(docs, tokens).groupBy("w", "nx").agg(F.count(F.lit(1)).alias("n"))
+
+
+def follows(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(w, nx) for every token, uncounted: enough for a sketch, which takes repeats."""
+    return docs.select(F.inline_outer(next_pairs(F.col(tokens))).alias("w", "nx")).where("w IS NOT NULL")
 
 
 def unigram_counts(follows: DataFrame) -> DataFrame:
@@ -117,7 +121,8 @@ def vocabulary_sketch(follows: DataFrame, precision: int = SKETCH_PRECISION) ->
     """One row (sketch) from which the number of dictionary entries can be estimated.
 
     Sketches of parts of a corpus can be put in one table. An entry counts once,
-    however many parts have it, so nothing is grouped and no entry is shuffled.
+    however often and in however many parts it is, so nothing is grouped and no
+    entry is shuffled; ``follows`` need not be counted.
     The relative standard error is about ``1.04 / 2 ** (precision / 2)``.
     """
     keys = F.array("w", F.when(F.col("nx").isNotNull(), F.concat_ws(DELIMITER, "w", "nx")))

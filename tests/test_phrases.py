@@ -167,3 +167,10 @@ def test_dictionary_size_from_sketches(spark):
     ratio = F.col("other") / F.col("score")
     both = usual.join(close.withColumnRenamed("score", "other"), ["w", "nx"])
     assert 0.96 <= both.agg(F.min(ratio)).first()[0] <= both.agg(F.max(ratio)).first()[0] <= 1.04
+
+
+def test_a_sketch_takes_uncounted_pairs(spark):
+    docs = spark.createDataFrame([(["a", "b", "a", "b"],), (["b"],), ([],), (None,)], "tokens array<string>")
+    follows = ph.follows(docs)
+    assert sorted(map(tuple, follows.collect()), key=str) == [("a", "b"), ("a", "b"), ("b", "a"), ("b", None), ("b", None)]
+    assert ph.vocabulary_size(ph.vocabulary_sketch(follows)) == ph.vocabulary(ph.follow_counts(docs)).count() == 4
