@@ -125,3 +125,25 @@ def test_user_model_replaces_a_column_of_the_same_name(spark):
     df = spark.createDataFrame([(1, "ab")], "id int, t string")
     out = apply_model(df, "t", "t", "string", lambda: lambda texts: [t.upper() for t in texts])
     assert out.columns == ["id", "t"] and out.first()["t"] == "AB"
+
+
+def test_vectors_of_rare_words_are_kept_out_of_the_driver(spark):
+    texts = ["one two rare one", "two one", "lone lone", "rare two", "one", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    words = embed.train_word_vectors(docs, "t", dims=3, min_count=2, partitions=1, driver_words=2)
+    of = {r["word"]: np.array(r["vector"].toArray()) for r in words.model.getVectors().collect()}
+    assert set(of) == {"one", "two"}
+    rare = {r["word"]: np.array(r["vector"]) for r in words.rare.collect()}
+    assert set(rare) == {"rare", "lone"}
+    # The start vector is small, and alone where no fitted word is around.
+    start = rare["rare"] - (of["one"] * 2 + of["two"] * 2) / 4
+    assert np.abs(start).max() <= 0.5 / 3 and np.abs(rare["lone"]).max() <= 0.5 / 3 and rare["lone"].any()
+    of |= rare
+    coded = words.encode(docs, "t")
+    assert coded.columns == ["id", "t", "embeddings"]
+    rows = coded.collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        tokens = row["t"].split()
+        mean = sum((of[w] for w in tokens), np.zeros(3)) / max(1, len(tokens))
+        assert row["embeddings"] == pytest.approx(mean.tolist())
