@@ -8,10 +8,9 @@ are counted in parts before anything is shuffled.
 
 Reading a text then means choosing one tag for each ambiguous token. A token with
 one possible tag separates what is left of it from what is right of it, so only
-runs of ambiguous tokens have to be decoded. They are, inside the row, with array
-functions: the best score of each tag is carried along the run, with the path that
-leads to it. Paths are kept in blocks, so that a long run takes time in proportion
-to its length.
+runs of ambiguous tokens have to be decoded. Documents meet the readings of their
+forms in chunks (``lookup``), and a task decodes the runs of a chunk together
+(``viterbi``). A long run takes time in proportion to its length.
 
 Scores are whole millionths, so results do not depend on the order of additions.
 Equal scores go to the tag that sorts first, at each token on its own.
@@ -22,16 +21,22 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusprep.operators.lookup import by_chunk, chunk_entries, chunked, found_lists, match, whole, with_found
+from corpusprep.operators.viterbi import best_path
 from corpusprep.work import broadcast_if_small, explode_each, small_rows, written
 
 _MILLION = 1_000_000
 # Tags that a model may have; a score for each pair of them is held in the expression.
 MAX_TAGS = 64
-# Tokens of a run that are decoded before their paths are put aside.
-BLOCK = 256
+# Pairs of readings that are compared at once.
+BLOCK = 1 << 20
 # What the model has for the start and the end of a text, and for tokens without a known tag.
 EDGE = ""
 
@@ -64,25 +69,43 @@ def tag_pairs(docs: DataFrame, tokens: str, lang: Column, readings: DataFrame, k
     """(tag, next, n): how often a token with the one tag is followed by one with the other.
 
     A form with several tags, or with none, counts as neither; the start and the end of a text count as an edge.
+    Rows of one key count as one text, in which the greater of two tags stands at a place.
     """
     sure = readings.groupBy("lang", "folded").agg(F.min("tag").alias("tag"), F.max("tag").alias("last"))
     sure = sure.where(F.col("tag") == F.col("last")).drop("last")
-    long = explode_each(docs, [key, lang.alias("lang"), F.size(tokens).alias("size")], F.col(tokens), "form")
-    found = long.withColumn("folded", F.lower("form")).join(broadcast_if_small(sure, measured=readings), ["lang", "folded"])
-    # A pair is put together at the place of its second token: each token goes there and to the place behind it.
-    ends = F.array(
-        F.struct(F.col("pos").alias("place"), F.lit(None).cast("string").alias("first"), F.col("tag").alias("second")),
-        F.struct((F.col("pos") + 1).alias("place"), F.col("tag").alias("first"), F.lit(None).cast("string").alias("second")),
-    )
-    halves = found.select(key, "size", F.explode(ends).alias("half")).select(key, "size", "half.*")
-    pairs = halves.groupBy(key, "place").agg(
-        F.max("first").alias("first"), F.max("second").alias("second"), F.max("size").alias("size")
-    )
-    at_start, at_end = F.col("place") == 0, F.col("place") == F.col("size")
-    first = F.when(at_start, EDGE).otherwise(F.col("first"))
-    second = F.when(at_end, EDGE).otherwise(F.col("second"))
-    pairs = pairs.select(first.alias("tag"), second.alias("next")).dropna()
-    return pairs.groupBy("tag", "next").agg(F.count(F.lit(1)).alias("n"))
+    chunks = chunked(docs, tokens, lang, key)
+    schema = T.StructType().add("tag", "string").add("next", "string").add("n", "long")
+    pairs = by_chunk(chunks, chunk_entries(chunks, sure), _count_pairs, schema)
+    return pairs.groupBy("tag", "next").agg(F.sum("n").alias("n"))
+
+
+def _count_pairs(docs: pa.Table, entries: pa.Table) -> pa.Table:
+    at = match(docs, entries)
+    names = sorted(set(entries["tag"].to_pylist()))
+    number = np.append(pc.index_in(whole(entries["tag"]), value_set=pa.array(names, pa.string())).to_numpy(zero_copy_only=False), -1)
+    text, places, tag = _texts(docs, ["key"])[at.doc], at.pos, number[at.entry].astype(np.int64)
+    # The tokens of a text by place, the greatest tag last; only that one stays.
+    order = np.lexsort((tag, places, text))
+    text, places, tag = text[order], places[order], tag[order]
+    last = np.append((text[1:] != text[:-1]) | (places[1:] != places[:-1]), True)
+    text, tag = text[last], tag[last]
+    # Between two texts stands an edge; pairs of two edges do not occur, because every text has a token.
+    breaks = np.append(0, np.append(np.flatnonzero(text[1:] != text[:-1]) + 1, len(text)))
+    edge = len(names)
+    tag = np.insert(tag, breaks, edge)
+    first, second = tag[:-1], tag[1:]
+    pairs, n = np.unique((first * (edge + 1) + second)[(first >= 0) & (second >= 0)], return_counts=True)
+    names = pa.array([*names, EDGE], pa.string())
+    return pa.table({"tag": names.take(pa.array(pairs // (edge + 1))), "next": names.take(pa.array(pairs % (edge + 1))), "n": n.astype(np.int64)})
+
+
+def _texts(docs: pa.Table, by: list[str]) -> np.ndarray:
+    """A number for each row, equal for rows that are equal in ``by``: that of the first such row."""
+    codes = np.zeros(len(docs), np.int64)
+    for name in by:
+        column = whole(docs[name]).dictionary_encode(null_encoding="encode")
+        codes = np.unique(codes * (len(column.dictionary) + 1) + column.indices.to_numpy(), return_inverse=True)[1]
+    return np.unique(codes, return_index=True)[1][codes]
 
 
 def train_tagger(docs: DataFrame, tokens: str, lexicon: DataFrame, lang: Column, key: str) -> TagModel:
@@ -121,123 +144,82 @@ def tag_tokens(docs: DataFrame, tokens: str, model: TagModel, lang: Column, key:
     """(key, lang, ``out``): for each document an array of (pos, form, lemma, upos) in text order.
 
     A token without a reading is its own lemma and has no part of speech. Documents without tokens have no row.
+    Rows of one key and language are one text, with their tokens by place and form.
     """
-    long = explode_each(docs, [key, lang.alias("lang")], F.col(tokens), "form")
-    found = long.withColumn("folded", F.lower("form")).join(broadcast_if_small(model.readings), ["lang", "folded"], "left")
-    token = F.struct("pos", "form", F.coalesce("readings", F.array().cast(model.readings.schema["readings"].dataType)).alias("readings"))
-    grouped = found.groupBy(key, "lang").agg(F.array_sort(F.collect_list(token)).alias("tokens"))
-    # A column of its own, because an expression inside a lambda is worked out again for each element.
-    grouped = grouped.withColumn("_readings", F.transform("tokens", lambda t: t["readings"]))
-    return grouped.select(key, "lang", decoded(F.col("tokens"), F.col("_readings"), model).alias(out))
-
-
-def decoded(tokens: Column, readings: Column, model: TagModel) -> Column:
-    """An array of (pos, form, lemma, upos) from one of (pos, form, readings), with the best tags."""
-    tag_of = best_tags(readings, model)
-    tags = F.array(*map(F.lit, model.tags))
-
-    def named(token: Column, tag: Column) -> Column:
-        reading = F.get(F.filter(token["readings"], lambda r: r["tag"] == tag), F.lit(0))
-        return F.struct(
-            token["pos"].alias("pos"),
-            token["form"].alias("form"),
-            F.coalesce(reading["lemma"], token["form"]).alias("lemma"),
-            F.get(tags, tag).alias("upos"),
-        )
-
-    return F.zip_with(tokens, tag_of, named)
+    tags, follows, block = model.tags, np.array(model.follows, np.int64), BLOCK
+
+    def tagged(docs: pa.Table, entries: pa.Table) -> pa.Table:
+        return _tag_chunk(docs, entries, tags, follows, block)
+
+    chunks = chunked(docs, tokens, lang, key)
+    other = F.transform("readings", lambda r: F.struct(r["tag"].alias("tag"), r["score"].alias("score"), F.nullif(r["lemma"], F.col("form")).alias("lemma")))
+    entries = chunk_entries(chunks, model.readings.drop("n_tags")).withColumn("readings", other)
+    return with_found(chunks, entries, tagged, key, out)
+
+
+def _tag_chunk(docs: pa.Table, entries: pa.Table, tags: list[str], follows: np.ndarray, block: int) -> pa.Table:
+    at = match(docs, entries)
+    texts = _texts(docs, ["key", "lang"])
+    form, pos, entry, text = at.form, at.pos, at.entry, texts[at.doc]
+    if len(np.unique(texts)) < len(docs):
+        words = pc.rank(form, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()
+        order = np.lexsort((words, pos, text))
+        form, pos, entry, text = form.take(pa.array(order)), pos[order], entry[order], text[order]
+    rows, sizes = np.unique(text, return_counts=True)
+    r = _flat_readings(whole(entries["readings"]), len(tags))
+    starts, counts = np.append(r.starts, 0)[entry], np.append(r.counts, 0)[entry]
+    chosen = best_path(starts, counts, r.tags, r.scores, r.missing, sizes, follows, block)
+    # The readings of a form have different tags; the one that was chosen has the lemma.
+    at = np.full(len(entry), -1, np.int64)
+    for k in range(counts.max(initial=0)):
+        own = np.flatnonzero(counts > k)
+        own = own[r.tags[starts[own] + k] == chosen[own]]
+        at[own] = starts[own] + k
+    lemma = r.flat.field(r.flat.type.get_field_index("lemma")).take(pa.array(at, mask=at < 0))
+    upos = pa.array(tags, pa.string()).take(pa.array(chosen, mask=chosen < 0))
+    found = found_lists(sizes, pos, form, lemma, upos)
+    return pa.table({"key": docs["key"].take(pa.array(rows)), "lang": docs["lang"].take(pa.array(rows)), "found": found})
 
 
 def best_tags(readings: Column, model: TagModel) -> Column:
     """The number of the best tag for each token, null for a token without readings.
 
-    ``readings`` is an array with an array of (tag, score, …) for each token. Runs of ambiguous tokens are found by their
-    ends; the token before a run and the one behind it give it its edges.
+    ``readings`` is an array with an array of (tag, score, …) for each token, by tag.
     """
-    ambiguous = lambda r: F.size(r) > 1
-    numbered = F.transform(readings, lambda r, i: F.struct(r.alias("r"), i.alias("i")))
-    firsts = F.filter(numbered, lambda t: ambiguous(t["r"]) & ((t["i"] == 0) | ~F.coalesce(ambiguous(F.get(readings, t["i"] - 1)), F.lit(False))))
-    lasts = F.filter(numbered, lambda t: ambiguous(t["r"]) & ~F.coalesce(ambiguous(F.get(readings, t["i"] + 1)), F.lit(False)))
-    paths = F.zip_with(firsts, lasts, lambda a, b: F.struct(a["i"].alias("start"), _run(readings, a["i"], b["i"], model).alias("path")))
-    # Tags of ambiguous tokens in text order, and how many such tokens come before each place, by runs.
-    spread = F.flatten(F.transform(paths, lambda p: F.transform(p["path"], lambda tag, k: F.struct((p["start"] + k).alias("i"), tag.alias("tag")))))
-    single = F.transform(
-        F.filter(numbered, lambda t: ~ambiguous(t["r"])), lambda t: F.struct(t["i"].alias("i"), F.get(t["r"], F.lit(0))["tag"].alias("tag"))
-    )
-    return F.transform(F.array_sort(F.concat(spread, single)), lambda t: t["tag"])
-
-
-def _follow(model: TagModel, first: Column, second: Column) -> Column:
-    edge = len(model.tags)
-    scores = F.array(*[F.lit(x) for row in model.follows for x in row])
-    return F.get(scores, F.coalesce(first, F.lit(edge)) * (edge + 1) + F.coalesce(second, F.lit(edge))).cast("bigint")
-
+    follows, block = np.array(model.follows, np.int64), BLOCK
 
-def _once(value: Column, use) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    @F.arrow_udf("array<int>")
+    def decoded(texts: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+        r = _flat_readings(texts.flatten(), len(follows) - 1)
+        tags = best_path(r.starts, r.counts, r.tags, r.scores, r.missing, sizes.astype(np.int64), follows, block)
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        # A null where a list starts makes the list null.
+        ends = pa.array(ends, mask=np.append(texts.is_null().to_numpy(zero_copy_only=False), False))
+        return pa.ListArray.from_arrays(ends, pa.array(tags, pa.int32(), mask=tags < 0))
 
+    return decoded(readings)
 
-def _run(readings: Column, first: Column, last: Column, model: TagModel) -> Column:
-    """The best tags of the tokens from ``first`` to ``last``.
 
-    The state has, for each tag of the current token, its score, the path of the block so far and the blocks before.
-    """
-
-    def only_tag(place: Column) -> Column:
-        """The tag of the token beside a run; none at the edge of the text and for a token without readings."""
-        return F.when(place >= 0, F.get(F.get(readings, place), F.lit(0))["tag"])
-
-    none = F.array().cast("array<int>")
-    blocks = F.array().cast("array<array<int>>")
-    left = only_tag(first - 1)
-    begin = F.transform(
-        F.get(readings, first),
-        lambda r: F.struct(
-            (r["score"] + _follow(model, left, r["tag"])).alias("score"), F.array(r["tag"]).alias("path"), blocks.alias("blocks")
-        ),
-    )
-
-    def step(state: Column, i: Column) -> Column:
-        def best(r: Column) -> Column:
-            # Of equal scores the tag that sorts first; states stand in the order of tags.
-            options = F.transform(
-                state,
-                lambda s, k: F.struct(
-                    (s["score"] + _follow(model, F.element_at(s["path"], -1), r["tag"])).alias("score"),
-                    (-k).alias("order"),
-                    s["path"].alias("path"),
-                    s["blocks"].alias("blocks"),
-                ),
-            )
-
-            def extended(won: Column) -> Column:
-                full = F.size(won["path"]) >= BLOCK
-                return F.struct(
-                    (won["score"] + r["score"]).alias("score"),
-                    F.concat(F.when(full, none).otherwise(won["path"]), F.array(r["tag"])).alias("path"),
-                    F.when(full, F.concat(won["blocks"], F.array(won["path"]))).otherwise(won["blocks"]).alias("blocks"),
-                )
-
-            return _once(F.array_max(options), extended)
-
-        return F.transform(F.get(readings, i), best)
-
-    def finish(state: Column) -> Column:
-        right = only_tag(F.when(last + 1 < F.size(readings), last + 1).otherwise(-1))
-        ends = F.transform(
-            state,
-            lambda s, k: F.struct(
-                (s["score"] + _follow(model, F.element_at(s["path"], -1), right)).alias("score"),
-                (-k).alias("order"),
-                F.concat(F.flatten(s["blocks"]), s["path"]).alias("path"),
-            ),
-        )
-        return F.array_max(ends)["path"]
-
-    # From first to first the sequence would count down, so a run of one token has no further steps.
-    rest = F.when(last > first, F.sequence(first + 1, last)).otherwise(none)
-    return F.aggregate(rest, begin, step, finish)
+@dataclass(frozen=True)
+class _Readings:
+    """Lists of readings (tag, score, …), one after the other."""
+
+    counts: np.ndarray
+    starts: np.ndarray
+    tags: np.ndarray
+    scores: np.ndarray
+    missing: np.ndarray
+    flat: pa.StructArray
+
+
+def _flat_readings(lists: pa.Array, edge: int) -> _Readings:
+    flat = lists.flatten()
+    tags, scores = (flat.field(flat.type.get_field_index(name)) for name in ("tag", "score"))
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    missing = scores.is_null().to_numpy(zero_copy_only=False)
+    tags, scores = pc.fill_null(tags, edge).to_numpy().astype(np.int64), pc.fill_null(scores, 0).to_numpy()
+    return _Readings(counts, np.cumsum(counts) - counts, tags, scores, missing, flat)
 
 
 # Lemmas of forms that are not listed

@@ -1,11 +1,13 @@
 import math
 import random
+import re
 from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import lemma, tagger
+from tests.conftest import plan_text
 
 TAGS = ["ADJ", "NOUN", "VERB"]
 
@@ -167,3 +169,30 @@ def test_lemmas_of_a_text_by_context_and_by_rules(spark):
     more = tagger.with_guesses(docs, "tokens", F.col("lang"), lexicon)
     found = lemma.content_lemmas(docs, "tokens", F.col("lang"), lexicon=more, key="id")
     assert {r["id"]: r["tokens"] for r in found.collect()}[2] == ["jaz", "run"]
+
+
+def test_rows_of_one_key_and_odd_tokens(spark):
+    lexicon = spark.createDataFrame(LEXICON, LEXICON_SCHEMA)
+    schema = "id bigint, lang string, tokens array<string>"
+    rows = [(1, "en", ["run", "dogs"]), (1, "en", ["eat", "a", "cats"]), (2, None, ["run"]), (None, "en", ["the", None, "", "naïve", "RUN"])]
+    docs = spark.createDataFrame(rows, schema)
+    pairs = {(r["tag"], r["next"]): r["n"] for r in tagger.tag_pairs(docs, "tokens", F.col("lang"), tagger.form_readings(lexicon), "id").collect()}
+    # Rows with the key 1 read VERB, NOUN, NOUN: the greater tag at each place.
+    assert pairs == {("", "VERB"): 1, ("VERB", "NOUN"): 1, ("NOUN", "NOUN"): 1, ("NOUN", ""): 1, ("", "DET"): 1}
+    model = tagger.train_tagger(docs, "tokens", lexicon, F.col("lang"), "id")
+    found = {(r["id"], r["lang"]): [(t["pos"], t["form"], t["lemma"]) for t in r["tagged"]] for r in tagger.tag_tokens(docs, "tokens", model, F.col("lang"), "id").collect()}
+    assert found == {
+        (1, "en"): [(0, "eat", "eat"), (0, "run", "run"), (1, "a", "a"), (1, "dogs", "dog"), (2, "cats", "cat")],
+        (2, None): [(0, "run", "run")],
+        (None, "en"): [(0, "the", "the"), (1, None, None), (2, "", ""), (3, "naïve", "naïve"), (4, "RUN", "run")],
+    }
+
+
+def test_tokens_do_not_move_one_by_one(spark):
+    """What is shuffled for the readings are the distinct forms of chunks, and documents as they are."""
+    docs = spark.createDataFrame([(i, "en", ["run", "dogs"] * 200) for i in range(300)], "id bigint, lang string, tokens array<string>")
+    model = tagger.train_tagger(docs, "tokens", spark.createDataFrame(LEXICON, LEXICON_SCHEMA), F.col("lang"), "id")
+    tagged = tagger.tag_tokens(docs, "tokens", model, F.col("lang"), "id")
+    plan = plan_text(tagged)
+    assert not re.search(r"\(\d+\) (Exchange|Sort)\b[^\n]*\nInput \[\d+\]: \[[^\]]*\b(pos|key)#[^\]]*\bform#", plan)
+    assert tagged.count() == 300
