@@ -47,7 +47,9 @@ def chunked(docs: DataFrame, tokens: str, lang: Column, key: str) -> DataFrame:
 def chunk_entries(chunks: DataFrame, table: DataFrame) -> DataFrame:
     """(chunk, lang, form, …): the forms of each chunk that ``table`` (lang, folded, …) has, in whatever case."""
     forms = explode_each(chunks, ["chunk", "lang"], F.col("tokens"), "form").select("chunk", "lang", "form").distinct()
-    found = forms.withColumn("folded", F.lower("form")).join(table, ["lang", "folded"]).drop("folded")
+    # Most forms are in lower case already and travel once.
+    folded = forms.select("chunk", "lang", F.lower("form").alias("folded"), F.nullif(F.col("form"), F.lower("form")).alias("form"))
+    found = folded.join(table, ["lang", "folded"]).withColumn("form", F.coalesce("form", "folded")).drop("folded")
     # Names of their own, because the documents have the same columns.
     return found.select(*[F.col(name).alias(name) for name in found.columns])
 
@@ -63,9 +65,27 @@ def by_chunk(chunks: DataFrame, entries: DataFrame, work: Callable[[pa.Table, pa
 
 
 def with_found(chunks: DataFrame, entries: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], key: str, out: str) -> DataFrame:
-    """(key, lang, ``out``): ``work`` gives an array of (pos, form, lemma, upos) for each document."""
-    names = T.StructType([chunks.schema["key"], chunks.schema["lang"]]).add("found", FOUND)
-    return by_chunk(chunks, entries, work, names).toDF(key, "lang", out)
+    """(key, lang, ``out``, repeated): ``work`` gives an array of (pos, form, lemma, upos) for each document.
+
+    ``repeated`` says that the key has several rows here; rows of one key are in one chunk.
+    """
+
+    def found(docs: pa.Table, entries: pa.Table) -> pa.Table:
+        rows = work(docs, entries)
+        _, text, n = np.unique(texts_of(rows, ["key"]), return_inverse=True, return_counts=True)
+        return rows.append_column("repeated", pa.array(n[text] > 1))
+
+    names = T.StructType([chunks.schema["key"], chunks.schema["lang"]]).add("found", FOUND).add("repeated", "boolean")
+    return by_chunk(chunks, entries, found, names).toDF(key, "lang", out, "repeated")
+
+
+def texts_of(docs: pa.Table, by: list[str]) -> np.ndarray:
+    """A number for each row, equal for rows that are equal in ``by``: that of the first such row."""
+    codes = np.zeros(len(docs), np.int64)
+    for name in by:
+        column = whole(docs[name]).dictionary_encode(null_encoding="encode")
+        codes = np.unique(codes * (len(column.dictionary) + 1) + column.indices.to_numpy(), return_inverse=True)[1]
+    return np.unique(codes, return_index=True)[1][codes]
 
 
 @dataclass(frozen=True)
@@ -120,7 +140,7 @@ def found_lists(sizes: np.ndarray, pos: np.ndarray, form: pa.Array, lemma: pa.Ar
 
 
 def annotated(docs: DataFrame, tokens: str, table: DataFrame, lang: Column, key: str, out: str = "found") -> DataFrame:
-    """(key, lang, ``out``): for each document with tokens an array of (pos, form, lemma, upos), in text order.
+    """(key, lang, ``out``, repeated): for each document with tokens an array of (pos, form, lemma, upos), in text order.
 
     ``table`` is (lang, folded, lemma, upos) with one row for each folded form. A form that it does not have, or has
     without a lemma, is its own lemma.

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.operators.lookup import by_chunk, chunk_entries, chunked, found_lists, match, whole, with_found
+from corpusprep.operators.lookup import by_chunk, chunk_entries, chunked, found_lists, match, texts_of, whole, with_found
 from corpusprep.operators.viterbi import best_path
 from corpusprep.work import broadcast_if_small, explode_each, small_rows, written
 
@@ -83,7 +83,7 @@ def _count_pairs(docs: pa.Table, entries: pa.Table) -> pa.Table:
     at = match(docs, entries)
     names = sorted(set(entries["tag"].to_pylist()))
     number = np.append(pc.index_in(whole(entries["tag"]), value_set=pa.array(names, pa.string())).to_numpy(zero_copy_only=False), -1)
-    text, places, tag = _texts(docs, ["key"])[at.doc], at.pos, number[at.entry].astype(np.int64)
+    text, places, tag = texts_of(docs, ["key"])[at.doc], at.pos, number[at.entry].astype(np.int64)
     # The tokens of a text by place, the greatest tag last; only that one stays.
     order = np.lexsort((tag, places, text))
     text, places, tag = text[order], places[order], tag[order]
@@ -99,15 +99,6 @@ def _count_pairs(docs: pa.Table, entries: pa.Table) -> pa.Table:
     return pa.table({"tag": names.take(pa.array(pairs // (edge + 1))), "next": names.take(pa.array(pairs % (edge + 1))), "n": n.astype(np.int64)})
 
 
-def _texts(docs: pa.Table, by: list[str]) -> np.ndarray:
-    """A number for each row, equal for rows that are equal in ``by``: that of the first such row."""
-    codes = np.zeros(len(docs), np.int64)
-    for name in by:
-        column = whole(docs[name]).dictionary_encode(null_encoding="encode")
-        codes = np.unique(codes * (len(column.dictionary) + 1) + column.indices.to_numpy(), return_inverse=True)[1]
-    return np.unique(codes, return_index=True)[1][codes]
-
-
 def train_tagger(docs: DataFrame, tokens: str, lexicon: DataFrame, lang: Column, key: str) -> TagModel:
     """The model of a corpus and its lexicon. Counts are written; the driver gets one row for each pair of tags."""
     readings = written(form_readings(lexicon), "readings")
@@ -146,6 +137,11 @@ def tag_tokens(docs: DataFrame, tokens: str, model: TagModel, lang: Column, key:
     A token without a reading is its own lemma and has no part of speech. Documents without tokens have no row.
     Rows of one key and language are one text, with their tokens by place and form.
     """
+    return tagged_texts(docs, tokens, model, lang, key, out).drop("repeated")
+
+
+def tagged_texts(docs: DataFrame, tokens: str, model: TagModel, lang: Column, key: str, out: str) -> DataFrame:
+    """``tag_tokens`` with a column ``repeated``: whether there are rows of the key in other languages."""
     tags, follows, block = model.tags, np.array(model.follows, np.int64), BLOCK
 
     def tagged(docs: pa.Table, entries: pa.Table) -> pa.Table:
@@ -159,7 +155,7 @@ def tag_tokens(docs: DataFrame, tokens: str, model: TagModel, lang: Column, key:
 
 def _tag_chunk(docs: pa.Table, entries: pa.Table, tags: list[str], follows: np.ndarray, block: int) -> pa.Table:
     at = match(docs, entries)
-    texts = _texts(docs, ["key", "lang"])
+    texts = texts_of(docs, ["key", "lang"])
     form, pos, entry, text = at.form, at.pos, at.entry, texts[at.doc]
     if len(np.unique(texts)) < len(docs):
         words = pc.rank(form, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy()

@@ -1,7 +1,10 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusprep.operators import lemma
+from tests.conftest import plan_text
 
 
 @pytest.fixture
@@ -93,3 +96,27 @@ def test_small_lists_move_no_rows(spark, docs):
     stop = words(spark, ("en", "the"))
     text = plan_text(lemma.content_lemmas(docs, "tokens", F.col("lang"), surface_stopwords=stop))
     assert "Exchange" not in text and "Join" not in text
+
+
+def test_a_large_lexicon_meets_documents_in_chunks(spark, docs, lexicon, monkeypatch):
+    """Tokens are not joined one by one, and rows are those of the broadcast; a key may have several rows."""
+    more = spark.createDataFrame([(3, "en", ["Houses", None, "the"]), (3, "de", None), (None, "en", ["polish"])], docs.schema)
+    docs = docs.unionByName(more)
+    stop, capital = words(spark, ("en", "the"), ("de", "the")), words(spark, ("en", "Polish"))
+
+    def results(literal_entries):
+        found = lemma.lookup_lemmas(docs, "tokens", lexicon, F.col("lang"), key="id")[1]
+        kept = lemma.content_lemmas(
+            docs, "tokens", F.col("lang"), lexicon=lexicon, surface_stopwords=stop, lemma_stopwords=capital, key="id",
+            literal_entries=literal_entries,
+        )
+        return found, kept, [sorted(map(str, rows.collect())) for rows in (found, kept)]
+
+    usual = results(100)[2]
+    monkeypatch.setattr(lemma, "is_small", lambda measured: False)
+    for literal_entries in (100, 0):
+        found, kept, rows = results(literal_entries)
+        assert rows == usual
+        for plan in map(plan_text, (found, kept)):
+            assert "FlatMapCoGroupsInArrow" in plan
+            assert not re.search(r"\(\d+\) Exchange\b[^\n]*\nInput \[\d+\]: \[[^\]]*\bpos#[^\]]*\bform#", plan)
