@@ -12,7 +12,7 @@ to their document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusprep.functions.text import join_tokens, next_pairs
@@ -85,10 +85,34 @@ def learn_phrases(
 ) -> DataFrame:
     """The phrase table of a corpus, written to the work folder.
 
-    The counts are written first: scoring reads them several times, and the
-    corpus is to be scanned once.
+    Most pairs are too rare to score and only count for the size of the dictionary.
+    They are counted while the others are written, and go nowhere.
     """
-    return learn_from_counts(written(follow_counts(docs, tokens), "follow_counts"), min_count, threshold)
+    counts = written(token_counts(docs, tokens), "unigram_counts")
+    if threshold < 0 or _like_pairs(counts):
+        return learn_from_counts(written(follow_counts(docs, tokens), "follow_counts"), min_count, threshold)
+    return _learn(counts, bigram_counts(follow_counts(docs, tokens)), min_count, threshold)
+
+
+def token_counts(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(token, n) of a corpus."""
+    said = explode_each(docs, [], F.col(tokens), "token").where("token IS NOT NULL")
+    return said.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _like_pairs(counts: DataFrame) -> bool:
+    """Whether a token may read like a pair, so that the two are one dictionary entry."""
+    return not counts.where(F.contains("token", F.lit(DELIMITER))).isEmpty()
+
+
+def _learn(counts: DataFrame, pairs: DataFrame, min_count: int, threshold: float, size: int | None = None) -> DataFrame:
+    """The phrase table from dictionary counts; of ``pairs``, which are read once, only those that can score are written."""
+    seen = Observation()
+    pairs = pairs.observe(seen, F.count(F.lit(1)).alias("pairs"))
+    frequent = written(pairs.where(F.col("n") > min_count), "frequent_pairs")
+    if size is None:
+        size = counts.count() + seen.get["pairs"]
+    return written(score_phrases(frequent, counts, size, min_count, threshold), "phrases")
 
 
 def learn_from_counts(
@@ -101,8 +125,10 @@ def learn_from_counts(
     counts = written(unigram_counts(follows), "unigram_counts")
     pairs = bigram_counts(follows)
     estimate = vocabulary_size(vocabulary_sketch(follows)) if estimated_size else None
-    if counts.where(F.contains("token", F.lit(DELIMITER))).isEmpty():
+    if not _like_pairs(counts):
         # No token can read like a pair, so every count is its dictionary entry.
+        if threshold >= 0:
+            return _learn(counts, pairs, min_count, threshold, estimate)
         size = estimate if estimated_size else counts.count() + pairs.count()
     else:
         vocab = written(vocabulary(follows), "vocabulary")

@@ -174,3 +174,21 @@ def test_a_sketch_takes_uncounted_pairs(spark):
     follows = ph.follows(docs)
     assert sorted(map(tuple, follows.collect()), key=str) == [("a", "b"), ("a", "b"), ("b", "a"), ("b", None), ("b", None)]
     assert ph.vocabulary_size(ph.vocabulary_sketch(follows)) == ph.vocabulary(ph.follow_counts(docs)).count() == 4
+
+
+def test_rare_pairs_are_counted_but_not_written(spark, monkeypatch):
+    """Pairs that cannot score are most of all pairs; only their number is needed."""
+    docs = frame(spark, [["a", "b", f"c{i}", f"d{i}"] for i in range(40)] + [[], None])
+    tables = {}
+
+    def write(df, name, *args):
+        table = written(df, name, *args)
+        tables[name] = table.count()
+        return table
+
+    written = ph.written
+    monkeypatch.setattr(ph, "written", write)
+    learned = ph.learn_phrases(docs, threshold=1.0).collect()
+    assert [(r["w"], r["nx"], r["n"], r["n_w"], r["n_nx"]) for r in learned] == [("a", "b", 40, 40, 40)]
+    assert learned[0]["score"] == pytest.approx((40 - 2) / (40 * 40) * (82 + 81))
+    assert tables == {"unigram_counts": 82, "frequent_pairs": 1, "phrases": 1}
