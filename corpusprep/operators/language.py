@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusprep.functions.text import letter_text, letter_trigrams, words
+from corpusprep.functions.text import LETTERS, letter_trigrams, words
 from corpusprep.operators import trigrams
+from corpusprep.operators.points import flags, in_class
 from corpusprep.work import LITERAL_ENTRIES, broadcast_if_small, explode_each, keyed, small_rows, unkeyed, written
 
 # Fixed value: label of a text whose language cannot be told.
@@ -53,19 +55,21 @@ class LanguageModel:
 
 def trigram_counts(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, gram, n) over labelled texts."""
-    spoken = labelled.select(F.col(lang_col).alias("lang"), letter_text(F.col(text_col)).alias("letters"))
+    spoken = labelled.select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("text"))
     schema = T.StructType([spoken.schema["lang"], T.StructField("gram", T.StringType()), T.StructField("n", T.LongType())])
-    return spoken.mapInArrow(_counted, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = partial(_counted, in_class(labelled.sparkSession, LETTERS))
+    return spoken.mapInArrow(counted, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(letters: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    letter = flags(letters)
     for batch in batches:
         spoken: dict[str | None, list[str]] = {}
-        for lang, letters in zip(batch["lang"].to_pylist(), batch["letters"].to_pylist()):
-            if letters is not None:
-                spoken.setdefault(lang, []).append(letters)
+        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+            if text is not None:
+                spoken.setdefault(lang, []).append(text)
         for lang, texts in spoken.items():
-            codes, n = trigrams.counted(texts)
+            codes, n = trigrams.counted(texts, letter)
             grams = pa.array([trigrams.unpack(code) for code in codes.tolist()], pa.string())
             langs = pa.array([lang] * len(grams), batch.schema.field("lang").type)
             yield pa.RecordBatch.from_arrays([langs, grams, pa.array(n)], names=["lang", "gram", "n"])
@@ -111,7 +115,7 @@ def predict_language(
         counts = [F.lit(1).alias("_n"), *[F.coalesce(f"w{i}", F.lit(0)).alias(f"_s{i}") for i in indices]]
         found = found.select(key, *counts)
     else:
-        found = docs.select(key, _scorer(*weights)(F.coalesce(letter_text(F.col(text_col)), F.lit(""))).alias("_sums"))
+        found = docs.select(key, _scorer(*weights, in_class(docs.sparkSession, LETTERS))(F.coalesce(F.lower(text_col), F.lit(""))).alias("_sums"))
         found = found.select(key, *[F.get("_sums", F.lit(i)).alias(name) for i, name in enumerate(["_n", *[f"_s{i}" for i in indices]])])
     sums = found.groupBy(key).agg(*[F.sum(name).alias(name) for name in ["_n", *[f"_s{i}" for i in indices]]]).where("_n > 0")
     scores = [F.col(f"_s{i}") + F.col("_n") * model.unknown[i] for i in indices]
@@ -132,10 +136,10 @@ def _small_weights(model: LanguageModel, cells: int) -> tuple[np.ndarray, np.nda
     return codes[order], np.array(rows, np.int64).reshape(len(model.languages), len(codes) + 1)
 
 
-def _scorer(known: np.ndarray, weights: np.ndarray):
+def _scorer(known: np.ndarray, weights: np.ndarray, letters: bytes):
     @F.pandas_udf("array<bigint>")
-    def sums(letters: pd.Series) -> pd.Series:
-        return pd.Series(list(trigrams.summed(letters.tolist(), known, weights)), dtype=object)
+    def sums(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(trigrams.summed(texts.tolist(), known, weights, flags(letters))), dtype=object)
 
     return sums
 
