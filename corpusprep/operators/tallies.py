@@ -1,6 +1,6 @@
-"""Words, counted inside a task for each batch of documents.
+"""Words and pairs of tokens, counted inside a task for each batch of documents.
 
-A row leaves the task for each distinct word of a batch, not for each
+A row leaves the task for each distinct word or pair of a batch, not for each
 word of a text. Counts of batches add up to those of a corpus.
 """
 
@@ -31,6 +31,12 @@ def word_tallies(docs: DataFrame, text: Column, by: Column) -> DataFrame:
     return chosen.mapInArrow(partial(_words, letters, others), schema)
 
 
+def pair_tallies(docs: DataFrame, tokens: Column) -> DataFrame:
+    """(w, nx, n) of each batch: how often token ``w`` is followed by ``nx``, which is null at a document's end."""
+    schema = T.StructType().add("w", "string").add("nx", "string").add("n", "long")
+    return docs.select(tokens.alias("tokens")).mapInArrow(_pairs, schema)
+
+
 def _words(letters: bytes, others: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = flags(letters) + 2 * flags(others).astype(np.uint8)
     for batch in batches:
@@ -71,6 +77,24 @@ def _counted(texts: list[str], kinds: np.ndarray) -> pa.Table:
     return pa.table({"word": coded.dictionary, "n": pa.array(n, pa.int64())})
 
 
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct tokens, the place of each token in them (-1 for null), and the number of tokens of each document."""
+    coded = lists.flatten().dictionary_encode()
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return coded.dictionary, coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64), sizes
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        distinct, place, sizes = _flat(batch["tokens"])
+        after = np.append(place[1:], -1)
+        after[np.cumsum(sizes)[sizes > 0] - 1] = -1
+        codes, n = np.unique((place * (len(distinct) + 1) + after + 1)[place >= 0], return_counts=True)
+        place, after = np.divmod(codes, len(distinct) + 1)
+        following = distinct.take(pa.array(after - 1, mask=after == 0))
+        yield from _handed([distinct.take(pa.array(place)), following, pa.array(n, pa.int64())], ["w", "nx", "n"])
+
+
 def _handed(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
     rows = pa.RecordBatch.from_arrays(columns, names=names)
     for begin in range(0, len(rows), _ROWS):

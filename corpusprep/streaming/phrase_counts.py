@@ -2,7 +2,10 @@
 
 Each micro-batch leaves a table of its own counts, under its batch number. A
 batch that is repeated after a failure replaces its table, so no text is counted
-twice. Counts of all batches add up to those of one run over all files.
+twice. Counts of all batches add up to those of one run over all files. A table has
+the counts as tasks found them, with several rows for some pairs: adding up all
+batches moves pairs once, so that adding up each of them before would only move
+them once more.
 """
 
 from __future__ import annotations
@@ -10,8 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusprep.operators import phrases
+from corpusprep.operators import phrases, tallies
 from corpusprep.streaming.incremental import process_new_files, read_processed
 from corpusprep.work import written
 
@@ -32,7 +36,7 @@ def count_new_files(
     """
 
     def step(batch: DataFrame) -> DataFrame:
-        return phrases.follow_counts(tokenise(batch), tokens)
+        return tallies.pair_tallies(tokenise(batch), F.col(tokens))
 
     return process_new_files(spark, source, store, checkpoint, step, schema, max_files_per_batch)
 

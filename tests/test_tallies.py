@@ -3,8 +3,9 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from corpusprep.functions import text as tx
-from corpusprep.operators import language, tallies
-from corpusprep.work import explode_each
+from corpusprep.operators import language, phrases, tallies
+from corpusprep.streaming import phrase_counts
+from corpusprep.work import explode_each, new_path
 from tests.conftest import plan_text
 
 ODD = [
@@ -43,3 +44,26 @@ def test_scores_by_numbers_are_those_of_the_join(spark):
         for cells in (language.MODEL_CELLS, 1)
     )
     assert sorted(by_numbers) == sorted(by_join) and len(by_join) == len(ODD)
+
+
+def test_pairs_are_counted_where_they_are_read(spark):
+    rows = [(["a", "b", "a", "b"],), (["b", None, "a"],), (["c"],), ([],), (None,), (["a", "b"],)]
+    docs = spark.createDataFrame(rows, "tokens array<string>").coalesce(1)
+    right = sorted(phrases.follow_counts(docs).collect(), key=str)
+    found = tallies.pair_tallies(docs, F.col("tokens"))
+    assert sorted(phrases.merge_counts(found).collect(), key=str) == right
+    assert "Exchange" not in plan_text(found)
+
+
+def test_a_batch_of_files_is_not_shuffled(spark, monkeypatch):
+    base = new_path(spark, "pairs")
+    docs = spark.createDataFrame([(["a", "b", "a"],), (["a", "b"],)], "tokens array<string>")
+    docs.write.parquet(f"{base}/in")
+    plans = []
+
+    def process(spark, source, store, checkpoint, step, *args):
+        plans.append(plan_text(step(spark.read.parquet(source))))
+
+    monkeypatch.setattr(phrase_counts, "process_new_files", process)
+    phrase_counts.count_new_files(spark, f"{base}/in", f"{base}/counts", f"{base}/checkpoint", lambda batch: batch)
+    assert "Exchange" not in plans[0]
