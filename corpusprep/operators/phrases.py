@@ -139,7 +139,12 @@ def learn_from_counts(
 
 
 def merge_counts(counts: DataFrame) -> DataFrame:
-    """(w, nx, n) of a whole corpus from the counts of its parts, which may repeat a pair."""
+    """(w, nx, n) of a whole corpus from the counts of its parts, which may repeat a pair.
+
+    Most pairs are in one part only. Adding up before the shuffle would leave nearly as many rows and keep all of a
+    scan in memory, so rows are shuffled first and added up in the smaller partitions.
+    """
+    counts = counts.repartition("w", "nx")
     return counts.groupBy("w", "nx").agg(F.sum("n").alias("n"))
 
 

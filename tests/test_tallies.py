@@ -67,3 +67,12 @@ def test_a_batch_of_files_is_not_shuffled(spark, monkeypatch):
     monkeypatch.setattr(phrase_counts, "process_new_files", process)
     phrase_counts.count_new_files(spark, f"{base}/in", f"{base}/counts", f"{base}/checkpoint", lambda batch: batch)
     assert "Exchange" not in plans[0]
+
+
+def test_counts_of_parts_are_added_up_behind_the_shuffle(spark):
+    rows = [("a", "b", 1), ("a", "b", 2), ("a", None, 1), ("a", None, 4), (None, "b", 1)]
+    counts = spark.createDataFrame(rows, "w string, nx string, n bigint")
+    merged = phrases.merge_counts(counts)
+    tree = plan_text(merged).split("\n\n")[0]
+    assert sorted(map(tuple, merged.collect()), key=str) == sorted([("a", "b", 3), ("a", None, 5), (None, "b", 1)], key=str)
+    assert tree.count("Exchange") == 1 and tree.rindex("HashAggregate") < tree.index("Exchange")
