@@ -9,7 +9,7 @@ into the join key: the first segment as it is and every variant of the second th
 and more, and the full distance, are the join's condition. So only real links leave the join.
 
 Copies of one fingerprint are folded into one row before the search and after it share the label by a join. Fingerprints
-go through written tables; nothing is gathered by the driver.
+go through written tables; nothing is gathered by the driver, and keys meet behind a shuffle whatever their number.
 
 Defined results: a null or empty text, or one of white space, has the fingerprint 0 and is linked like any other.
 ``component_id`` is the smallest id that can be reached; ids that are null are in no minimum, and the component has a
@@ -108,7 +108,8 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     within = F.lit(False)
     for i in reversed(range(SEGMENTS)):
         within = F.when(start == i, _ring_condition(i, max_bits)).otherwise(within)
-    pairs = index.join(probes, "key").where((F.col("x") < F.col("y")) & within)
+    # Spark sizes both sides as if nothing were exploded, and would broadcast the probes of very many fingerprints.
+    pairs = index.hint("merge").join(probes, "key").where((F.col("x") < F.col("y")) & within)
     return pairs.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from corpusprep.llm import simhash
 from corpusprep.llm.components import components as connected
 from corpusprep.llm.queries import QUERIES
+from corpusprep.work import written
+from tests.conftest import plan_text
 from tests.llm.frames import LONG, components, no_documents, odd_documents
 
 
@@ -43,6 +45,14 @@ def test_links_are_all_pairs_within_the_distance(spark, max_bits):
     assert len(got) == len({(r["u"], r["v"]) for r in got})
 
 
+def test_probes_are_not_broadcast_however_small_spark_takes_them_to_be(spark):
+    prints = written(spark.range(1000).select(F.xxhash64("id").alias("fp")), "prints")
+    found = simhash.links(prints, 3)
+    assert found.count() == 0
+    assert "BroadcastHashJoin" not in plan_text(found)
+    assert "SortMergeJoin" in plan_text(found)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (2000, 2001), (2001, 2000), (None, 3)]
     edges += [(3000 + i, 3000 + (i * 7) % 50) for i in range(50)]
