@@ -8,6 +8,8 @@ import corpus_pipeline
 from checks.compare import connect, difference
 from corpusprep.llm import bpe, quality_rules
 from corpusprep.llm.queries import BPE_RANKS, ORACLE_SQL, QUERIES
+from corpusprep.work import written
+from tests.conftest import plan_text
 from tests.llm.frames import DOCUMENT_SCHEMA, cut_words, hit_words, no_documents, odd_documents, without_copied_lines
 from tests.llm.test_simhash import plain_fingerprint
 
@@ -75,3 +77,16 @@ def test_sql(spark, data):
     con = connect(data)
     for name, sql in ORACLE_SQL.items():
         assert difference(QUERIES[name](spark, data), con, sql) is None, name
+
+
+def test_near_duplicate_stage_broadcasts_no_probes(spark, data, monkeypatch):
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = plan_text(df)
+        return written(df, name)
+
+    monkeypatch.setattr(corpus_pipeline.simhash, "written", noted)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    corpus_pipeline.drop_near_duplicates(spark, docs, data)
+    assert "Generate" in plans["links"] and "BroadcastHashJoin" not in plans["links"]
